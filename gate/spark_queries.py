@@ -41,7 +41,7 @@ from ordermart.schemas import (
 )
 from ordermart.session import freeze, scratch_path
 from ordermart.sources.landing import read_landing
-from ordermart.streaming.landing import start_landing_stream
+from ordermart.streaming.landing import run_landing_stream
 
 RUNS = ["RUN_A", "RUN_B"]
 AT = datetime(2026, 1, 1)
@@ -267,8 +267,7 @@ def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     layers = Layers(raw=f"raw_{tag}", staging=f"staging_{tag}", root=root)
     for run_id in RUNS:
         _write_landing(of_run(raw, run_id), f"{root}/landing")
-        query = start_landing_stream(spark, f"{root}/landing", f"{root}/progress", layers=layers)
-        query.awaitTermination()
+        run_landing_stream(spark, f"{root}/landing", f"{root}/progress", layers)
     return plain(spark.table(layers.stg_sales).drop("_ingested_at", "_transformed_at", "_order_month"))
 
 

@@ -68,3 +68,15 @@ def start_landing_stream(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def run_landing_stream(
+    spark: SparkSession, directory: str, checkpoint_dir: str, layers: Layers = Layers(), **options
+) -> None:
+    """Process the files that have arrived and return when they are loaded.
+
+    Batches write from a session of their own, so the tables are refreshed for the caller.
+    """
+    start_landing_stream(spark, directory, checkpoint_dir, layers=layers, **options).awaitTermination()
+    for table in (layers.raw_sales_orders, layers.stg_sales):
+        spark.catalog.refreshTable(table)

@@ -1,0 +1,127 @@
+import json
+from datetime import datetime
+from decimal import Decimal
+
+import pytest
+from conftest import write_csv
+
+from ordermart.plans import transformation
+from ordermart.plans.batch import run_full_pipeline
+from ordermart.plans.ingestion import run_ingestion
+from ordermart.plans.models import declared_tests, refresh_product_sales, refresh_stg_sales
+from ordermart.plans.runlog import PIPELINE_NAME, log_run, new_run_id, run_log_row
+from ordermart.plans.transformation import StepFailed, run_transformations
+from ordermart.schemas import RUN_LOG
+
+AT = datetime(2024, 3, 1)
+SAMPLE = [
+    {"order_id": "S-1", "quantity": "2", "unit_price": "100.00", "total_amount": "200.00"},
+    {"order_id": "S-2", "customer_id": "CUST-2", "customer_name": "second co", "order_date": "2024-01-31"},
+    {"order_id": "S-3", "customer_id": None, "product_id": "PROD-2", "category": "parts", "status": "PENDING"},
+    {"order_id": "S-4", "product_id": "PROD-3", "quantity": "0", "total_amount": "0.00"},
+    {"order_id": "S-5", "order_date": "2024-02-02", "status": "FAILED"},
+]
+
+
+def test_full_run(spark, layers, tmp_path):
+    path = write_csv(tmp_path / "orders.csv", SAMPLE)
+    result = run_full_pipeline(spark, path, layers=layers)
+    assert result["status"] == "SUCCESS" and result["run_id"].startswith("RUN_")
+    assert (result["rows_ingested"], result["rows_transformed"]) == (5, 5)
+    assert result["dq_pass_rate"] == pytest.approx(80.0) and result["dq_passed"] is False
+    assert set(result["steps"].values()) == {"SUCCESS"}
+    assert spark.table(layers.raw_sales_orders).count() == 5
+    staged = spark.table(layers.stg_sales_orders)
+    assert staged.count() == 5 and staged.where("_is_valid").count() == 4
+    assert spark.table(layers.dim_customer).count() == 2 and spark.table(layers.dim_product).count() == 2
+    assert spark.table(layers.dim_date).count() == 19
+    fact = spark.table(layers.fact_sales_orders)
+    assert fact.count() == 4 and fact.where("customer_sk IS NULL").count() == 1
+    total = spark.table(layers.sales_summary).selectExpr("sum(order_count)", "sum(total_revenue)").first()
+    assert tuple(total) == (4, Decimal("37700.0000"))
+    log = spark.table(layers.pipeline_run_log).selectExpr(
+        "*", "variant_get(metadata_json, '$.steps.staging_to_fact', 'string') AS step"
+    ).first()
+    assert (log.run_id, log.pipeline_name, log.status, log.step) == (result["run_id"], PIPELINE_NAME, "SUCCESS", "SUCCESS")
+    assert (log.rows_ingested, log.dq_pass_rate, log.error_message) == (5, pytest.approx(80.0), "")
+    assert spark.table(layers.dq_report).count() == 10
+
+
+def test_second_run_adds_new_orders_only(spark, layers, tmp_path):
+    first = write_csv(tmp_path / "a.csv", SAMPLE)
+    second = write_csv(tmp_path / "b.csv", [*SAMPLE, {"order_id": "S-6", "customer_id": "CUST-9"}])
+    run_full_pipeline(spark, first, "RUN_1", layers)
+    run_full_pipeline(spark, second, "RUN_2", layers)
+    assert spark.table(layers.raw_sales_orders).count() == 11
+    fact = spark.table(layers.fact_sales_orders)
+    assert sorted((r.order_sk, r._pipeline_run_id) for r in fact.collect())[-1] == (5, "RUN_2")
+    assert fact.count() == 5 and spark.table(layers.dim_customer).count() == 3
+    before = sorted(map(tuple, fact.collect()))
+    run_transformations(spark, "RUN_2", AT, layers, dimensions_from="all")
+    assert sorted(map(tuple, spark.table(layers.fact_sales_orders).collect())) == before
+    assert spark.table(layers.stg_sales_orders).count() == 11
+    assert spark.table(layers.dim_customer).count() == 3 and spark.table(layers.dim_date).count() == 19
+
+
+def test_failed_read_is_logged_and_raised(spark, layers, tmp_path):
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        run_full_pipeline(spark, str(tmp_path / "missing.csv"), "RUN_X", layers)
+    log = spark.table(layers.pipeline_run_log).first()
+    assert log.status == "FAILED" and "missing.csv" in log.error_message
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        run_ingestion(spark, str(tmp_path / "missing.csv"), "RUN_Y", layers)
+
+
+def test_failed_step_stops_the_rest(spark, layers, tmp_path, monkeypatch):
+    run_ingestion(spark, write_csv(tmp_path / "a.csv", SAMPLE), "RUN_1", layers)
+
+    def broken(*_):
+        raise RuntimeError("no space left")
+
+    monkeypatch.setattr(transformation, "load_dim_date", broken)
+    with pytest.raises(StepFailed) as failure:
+        run_transformations(spark, "RUN_1", AT, layers)
+    assert failure.value.step == "staging_to_dim_date"
+    assert failure.value.results["staging_to_dim_product"] == "SUCCESS"
+    assert failure.value.results["staging_to_dim_date"] == "FAILED: no space left"
+    assert "staging_to_fact" not in failure.value.results
+    with pytest.raises(ValueError, match="dimensions_from"):
+        run_transformations(spark, "RUN_1", AT, layers, dimensions_from="none")
+
+
+def test_ingestion_result(spark, layers, tmp_path):
+    first = run_ingestion(spark, write_csv(tmp_path / "a.csv", SAMPLE), "RUN_1", layers)
+    assert (first["status"], first["rows_ingested"], first["raw_table_rows"], first["error"]) == ("SUCCESS", 5, 5, None)
+    assert first["counts"]["customer_id_null"] == 1 and first["counts"]["loadable"] == 5
+    again = run_ingestion(spark, write_csv(tmp_path / "a.csv", SAMPLE), "RUN_2", layers)
+    assert (again["rows_ingested"], again["raw_table_rows"]) == (5, 10)
+
+
+def test_run_log_defaults_and_types(spark):
+    row = run_log_row(spark, {"run_id": "R", "status": "SUCCESS"})
+    assert row.columns == RUN_LOG.names
+    assert [f.dataType for f in row.schema] == [f.dataType for f in RUN_LOG]
+    values = row.drop("metadata_json").first()
+    assert tuple(values) == ("R", PIPELINE_NAME, None, None, "SUCCESS", 0, 0, 0.0, "")
+    text = row.selectExpr("to_json(metadata_json)").first()[0]
+    assert json.loads(text) == {"run_id": "R", "status": "SUCCESS"}
+    assert new_run_id(datetime(2024, 3, 1, 2, 3, 4)) == "RUN_20240301_020304"
+
+
+def test_log_failure_only_warns(spark, layers, caplog):
+    assert log_run(spark, {"run_id": "R", "start_time": "not a time"}, layers) is False
+    assert "was not logged" in caplog.text
+
+
+def test_models_beside_the_star(spark, layers, tmp_path):
+    run_ingestion(spark, write_csv(tmp_path / "a.csv", SAMPLE), "RUN_1", layers)
+    run_transformations(spark, "RUN_1", AT, layers)
+    refresh_stg_sales(spark, AT, layers)
+    refresh_product_sales(spark, layers)
+    staged = spark.table(layers.stg_sales)
+    assert staged.count() == 5 and staged.where("_is_valid").count() == 5
+    assert spark.table(layers.dim_product_sales).count() == 2
+    failing = {name: df.count() for name, df in declared_tests(spark, layers).items()}
+    assert {name for name, n in failing.items() if n} == {"raw_sales_orders.customer_id not_null"}
+    refresh_stg_sales(spark, AT, layers)  # nothing is newer than the watermark
+    assert spark.table(layers.stg_sales).count() == 5

@@ -1,0 +1,90 @@
+import pytest
+from conftest import ORDER, write_csv
+
+from ordermart.operators.ingest import upper_columns, with_ingest_metadata, with_row_hash
+from ordermart.plans.runlog import utc_now
+from ordermart.schemas import BUSINESS_COLUMNS, RAW
+from ordermart.sources.landing import malformed_rows, read_landing
+
+HEADER = ",".join(BUSINESS_COLUMNS)
+
+
+def line(**changes):
+    return ",".join({**ORDER, **changes}.values())
+
+
+def test_every_column_is_text_and_missing_tokens_become_null(spark, tmp_path):
+    path = write_csv(tmp_path / "a.csv", [{"customer_id": None, "region": "NA", "status": "null", "quantity": "007"}])
+    row = read_landing(spark, path).first()
+    assert row.customer_id is None and row.region is None and row.status is None
+    assert row.quantity == "007"
+
+
+def test_quotes_commas_and_blank_lines(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_text(f'{HEADER}\n{line(customer_name=chr(34) + "Bolt, " + chr(34) * 2 + "Nut" + chr(34) * 3)}\n\n{line(product_name=chr(34) * 2)}\n')
+    rows = read_landing(spark, str(path)).collect()
+    assert [r.customer_name for r in rows] == ['Bolt, "Nut"', "Customer A"]
+    assert rows[1].product_name is None
+
+
+def test_line_break_in_quotes_needs_multi_line(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_text(f'{HEADER}\n{line(customer_name=chr(34) + "two" + chr(10) + "lines" + chr(34))}\n')
+    assert read_landing(spark, str(path), multi_line=True).first().customer_name == "two\nlines"
+
+
+def test_short_and_long_rows_are_kept_and_reported(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_text(f"{HEADER}\n{line()}\n{line()},extra\nORD-9,2024-01-01\n")
+    assert read_landing(spark, str(path)).count() == 3
+    marked = malformed_rows(spark, str(path)).collect()
+    assert sorted(r.order_id for r in marked) == ["ORD-001", "ORD-9"]
+    assert {r._source_file for r in marked} == {"a.csv"}
+    assert any(r._corrupt_record == "ORD-9,2024-01-01" for r in marked)
+
+
+def test_foreign_header_raises(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_text("id," + HEADER.split(",", 1)[1] + f"\n{line()}\n")
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        read_landing(spark, str(path)).collect()
+
+
+def test_directory_and_list_of_files(spark, tmp_path):
+    first = write_csv(tmp_path / "in" / "a.csv", [{}])
+    second = write_csv(tmp_path / "in" / "b.csv", [{}, {}])
+    assert read_landing(spark, str(tmp_path / "in")).count() == 3
+    assert read_landing(spark, [first, second]).count() == 3
+    assert read_landing(spark, str(tmp_path / "in" / "b*.csv")).count() == 2
+
+
+def test_ingest_columns_make_the_raw_contract(spark, tmp_path):
+    path = write_csv(tmp_path / "orders.csv", [{}])
+    now = utc_now()
+    df = with_row_hash(with_ingest_metadata(read_landing(spark, path), "RUN_1", now))
+    assert df.columns == RAW.names
+    assert [f.dataType for f in df.schema] == [f.dataType for f in RAW]
+    row = df.first()
+    assert (row._pipeline_run_id, row._source_file) == ("RUN_1", "orders.csv")
+    assert row._ingested_at == now.replace(microsecond=0)
+
+
+def test_row_hash_golden_value(spark, orders):
+    row = {
+        "order_id": "ORD-014",
+        "order_date": "2024-01-28",
+        "customer_id": None,
+        "customer_name": "Heavy Equipment AG",
+        "product_id": "PROD-513",
+        "product_name": "Bucket Pin Kit",
+        "category": "Maintenance Parts",
+        "quantity": "20",
+        "unit_price": "35.50",
+        "total_amount": "710.00",
+    }
+    assert with_row_hash(orders(row)).first()._row_hash == "4c6c856a71cf2e3db7aa559bd23c8460"
+
+
+def test_upper_columns(orders):
+    assert upper_columns(orders({})).columns == [name.upper() for name in BUSINESS_COLUMNS]
