@@ -42,8 +42,12 @@ def clean_orders(
     transformed_at: datetime,
     rule: str = "strict",
     date_formats: Sequence[str] = DATE_FORMATS,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Raw text rows to typed staging rows; nothing is dropped, broken rows are flagged."""
+    """Raw text rows to typed staging rows; nothing is dropped, broken rows are flagged.
+
+    ``keep`` names raw columns to carry along behind the staging columns.
+    """
     typed = raw.select(
         "order_id",
         strict_date(F.col("order_date"), date_formats).alias("order_date"),
@@ -62,5 +66,6 @@ def clean_orders(
         "_pipeline_run_id",
         "_ingested_at",
         F.lit(transformed_at.replace(tzinfo=None).isoformat()).cast("timestamp_ntz").alias("_transformed_at"),
+        *keep,
     )
-    return typed.withColumn("_is_valid", validity(rule)).select(*STAGING.names)
+    return typed.withColumn("_is_valid", validity(rule)).select(*STAGING.names, *keep)

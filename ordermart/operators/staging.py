@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -16,22 +17,30 @@ def of_run(df: DataFrame, run_id: str) -> DataFrame:
     return df.where(F.col("_pipeline_run_id") == F.lit(run_id))
 
 
+def _latest_cleaned(
+    raw: DataFrame, keys: Sequence[str], transformed_at: datetime, rule: str
+) -> DataFrame:
+    """Clean, then keep the latest row per key.
+
+    Cleaning passes keys and ingest time through, so the order of the two does not change
+    the result; done first, it runs once, on the map side, and the shuffle carries typed
+    values. The row hash rides along to settle ties.
+    """
+    cleaned = clean_orders(raw, transformed_at, rule, keep=["_row_hash"])
+    return latest_per_key(cleaned, keys, latest_ingest()).drop("_row_hash")
+
+
 def stage_runs(
     raw: DataFrame, transformed_at: datetime, run_id: str | None = None, rule: str = "strict"
 ) -> DataFrame:
     """Latest row per order within each run, cleaned and flagged; one run, or all of them."""
     rows = raw if run_id is None else of_run(raw, run_id)
-    latest = latest_per_key(rows, ["_pipeline_run_id", "order_id"], latest_ingest())
-    return clean_orders(latest, transformed_at, rule)
+    return _latest_cleaned(rows, ["_pipeline_run_id", "order_id"], transformed_at, rule)
 
 
 def stage_latest(raw: DataFrame, transformed_at: datetime, rule: str = "lenient") -> DataFrame:
-    """Latest row per order over all given rows, cleaned and flagged.
-
-    Ranking comes before cleaning: cleaning passes order id and ingest time through, and
-    the row hash that settles ties is still there.
-    """
-    return clean_orders(latest_per_key(raw, ["order_id"], latest_ingest()), transformed_at, rule)
+    """Latest row per order over all given rows, cleaned and flagged."""
+    return _latest_cleaned(raw, ["order_id"], transformed_at, rule)
 
 
 def high_watermark(target: DataFrame) -> datetime | None:

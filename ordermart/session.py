@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,6 +65,21 @@ def freeze(df: DataFrame, name: str) -> DataFrame:
     For results used several times where partition order does not matter: later readers
     scan only the columns they need, and a lost executor costs a re-read, not a re-run.
     """
-    path = scratch_path(df.sparkSession, name)
+    return _stored(df, scratch_path(df.sparkSession, name))
+
+
+def _stored(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def frozen(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``freeze`` for the length of a ``with`` block; the files are removed behind it."""
+    context = df.sparkSession.sparkContext
+    folder = scratch_path(df.sparkSession, name)
+    try:
+        yield _stored(df, folder)
+    finally:
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)

@@ -22,7 +22,7 @@ from ordermart.schemas import (
     STAGING,
     Layers,
 )
-from ordermart.session import freeze
+from ordermart.session import frozen
 
 RUN = "_pipeline_run_id"
 MONTH = "_order_month"
@@ -62,7 +62,7 @@ def setup_dwh(spark: SparkSession, layers: Layers) -> None:
     ensure_table(spark, layers.dim_product, DIM_PRODUCT)
     ensure_table(spark, layers.dim_date, DIM_DATE)
     ensure_table(spark, layers.fact_sales_orders, FACT)
-    ensure_table(spark, layers.sales_summary, SALES_SUMMARY)
+    ensure_table(spark, layers.sales_summary, SALES_SUMMARY, ["year", "month"])
     ensure_table(spark, layers.dim_product_sales, PRODUCT_SALES)
 
 
@@ -137,14 +137,19 @@ def upsert_orders(batch: DataFrame, table: str, run_id: str | None = None) -> No
     ``run_id``, rows an earlier attempt of the same run left behind are replaced as well,
     also those without an order id, so a retry gives the same table.
     """
+    with frozen(with_order_month(batch), "upsert") as stored:
+        _replace_months(stored, table, run_id)
+
+
+def _replace_months(batch: DataFrame, table: str, run_id: str | None) -> None:
     spark = batch.sparkSession
-    batch = freeze(with_order_month(batch), "upsert")
     keys = batch.select("order_id")
     target = spark.table(table)
     replaced = target.join(keys, "order_id", "left_semi").select(MONTH)
     if run_id is not None:
         replaced = replaced.unionByName(target.where(F.col(RUN) == F.lit(run_id)).select(MONTH))
 
+    # Months are bounded by the calendar, so their names may come to the driver.
     new_months = {row[0] for row in batch.select(MONTH).distinct().collect()}
     old_months = {row[0] for row in replaced.distinct().collect()}
     touched = sorted(new_months | old_months)

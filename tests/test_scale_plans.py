@@ -1,0 +1,177 @@
+"""What the plans must look like for large and skewed data."""
+
+import re
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from ordermart.operators.calendar import calendar_rows
+from ordermart.operators.dimensions import CUSTOMER, members
+from ordermart.operators.facts import fact_rows, new_orders, with_dimension_keys
+from ordermart.operators.marts import product_sales, sales_summary
+from ordermart.operators.quality import run_checks
+from ordermart.operators.staging import newer_than, stage_latest, stage_runs
+from ordermart.plans.ingestion import prepare
+from ordermart.schemas import DIM_CUSTOMER, DIM_DATE, DIM_PRODUCT, FACT, Layers
+from ordermart.sinks.tables import append_table, setup_dwh, setup_raw, setup_staging
+from conftest import write_csv
+
+AT = datetime(2024, 3, 1)
+
+
+def plan_of(df):
+    return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple")
+
+
+def exchanges(plan):
+    return re.findall(r"Exchange (\w+)", plan)
+
+
+@pytest.fixture
+def settings(spark):
+    """Change session settings for one test."""
+    before = {}
+
+    def change(**values):
+        for key, value in values.items():
+            key = key.replace("__", ".")
+            before.setdefault(key, spark.conf.get(key, None))
+            spark.conf.set(key, value)
+
+    yield change
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+NO_BROADCAST = {
+    "spark__sql__autoBroadcastJoinThreshold": "-1",
+    "spark__sql__adaptive__autoBroadcastJoinThreshold": "-1",
+}
+
+
+@pytest.fixture
+def tables(spark, layers):
+    setup_raw(spark, layers)
+    setup_staging(spark, layers)
+    setup_dwh(spark, layers)
+    return layers
+
+
+def star_plans(spark, layers: Layers):
+    raw, staged, fact = (
+        spark.table(t) for t in (layers.raw_sales_orders, layers.stg_sales_orders, layers.fact_sales_orders)
+    )
+    dim_d, dim_c, dim_p = (spark.table(t) for t in (layers.dim_date, layers.dim_customer, layers.dim_product))
+    return {
+        "stage": stage_runs(raw, AT, "R1"),
+        "stage_latest": stage_latest(newer_than(raw, AT), AT),
+        "members": members(staged, *CUSTOMER[:2]),
+        "fact": with_dimension_keys(new_orders(staged, fact, "R1"), dim_c, dim_p),
+        "summary": sales_summary(fact, dim_d, dim_c, dim_p),
+        "products": product_sales(fact, dim_p),
+        "checks": run_checks(raw, "R1"),
+        "calendar": calendar_rows(staged, dim_d),
+    }
+
+
+def test_no_plan_pairs_all_rows_or_leaves_built_in_functions(spark, tables, settings):
+    settings(**NO_BROADCAST)
+    for name, df in star_plans(spark, tables).items():
+        plan = plan_of(df)
+        for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "EvalPython", "MapInPandas"):
+            assert word not in plan, (name, word)
+
+
+def test_rows_are_cut_to_one_per_key_before_the_shuffle(spark, tables):
+    plans = star_plans(spark, tables)
+    for name in ("stage", "stage_latest", "members", "fact"):
+        plan = plan_of(plans[name])
+        before = plan[plan.index("Exchange hashpartitioning") :]
+        assert re.search(r"WindowGroupLimit .*Partial", before), name
+    assert exchanges(plan_of(plans["stage"])) == ["hashpartitioning"]
+
+
+def test_fact_batch_is_shuffled_once_for_ranking_and_anti_join(spark, tables, settings):
+    settings(**NO_BROADCAST)
+    plan = plan_of(new_orders(spark.table(tables.stg_sales_orders), spark.table(tables.fact_sales_orders), "R1"))
+    assert "LeftAnti" in plan
+    assert plan.count("Exchange hashpartitioning(order_id") == 2  # the batch and the stored keys
+    stored = plan[plan.index("fact_sales_orders[") :]
+    assert stored.startswith("fact_sales_orders[order_id#") and "ReadSchema: struct<order_id:string>" in stored
+
+
+def test_sums_are_made_before_the_large_joins(spark, tables, settings):
+    settings(**NO_BROADCAST)
+    plan = plan_of(star_plans(spark, tables)["summary"])
+    first_sum = plan.rindex("partial_count(1)")  # the text is top-down
+    assert all(plan.index(f"SortMergeJoin [{key}_sk#") < first_sum for key in ("customer", "product"))
+    assert "ReadSchema: struct<date_key:int,customer_sk:bigint,product_sk:bigint,quantity" in plan
+
+
+def test_run_and_watermark_reach_the_scan(spark, tables, raw):
+    append_table(raw({}, {"_pipeline_run_id": "R2"}), tables.raw_sales_orders)
+    stage = plan_of(stage_runs(spark.table(tables.raw_sales_orders), AT, "R1"))
+    assert re.search(r"PartitionFilters: \[isnotnull\(_pipeline_run_id#\d+\), \(_pipeline_run_id#\d+ = R1\)\]", stage)
+    assert "created_by" not in stage and "_source_file" not in stage
+    newer = plan_of(newer_than(spark.table(tables.raw_sales_orders), AT))
+    assert re.search(r"PushedFilters: \[.*GreaterThan\(_ingested_at,", newer)
+
+
+def test_raw_load_is_one_narrow_stage(spark, tables, tmp_path):
+    rows = prepare(spark, write_csv(tmp_path / "a.csv", [{}]), "R1", AT)
+    rows.select(*spark.table(tables.raw_sales_orders).columns).createOrReplaceTempView("incoming")
+    plan = spark.sql(f"EXPLAIN INSERT INTO {tables.raw_sales_orders} SELECT * FROM incoming").first()[0]
+    assert "WriteFiles" in plan and "Exchange" not in plan and "Sort" not in plan
+
+
+def test_large_dimension_with_a_hot_customer_is_split(spark, settings, tmp_path):
+    """A third of the orders belong to one customer, another third have none."""
+    settings(
+        **NO_BROADCAST,
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="50k",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="50k",
+        spark__sql__adaptive__coalescePartitions__enabled="false",
+        spark__sql__shuffle__partitions="16",
+    )
+    customer = F.when(F.col("id") % 3 == 0, F.lit("HOT")).when(F.col("id") % 3 == 1, F.lit(None)).otherwise(F.col("id").cast("string"))
+    orders = spark.range(0, 60000, 1, 8).select(
+        F.md5(F.col("id").cast("string")).alias("order_id"), customer.alias("customer_id"), (F.col("id") % 50).cast("string").alias("product_id")
+    )
+    dim_c = orders.groupBy("customer_id").agg(F.max("order_id").alias("x")).where("customer_id IS NOT NULL")
+    dim_c = dim_c.select("customer_id", F.xxhash64("customer_id").alias("customer_sk"))
+    dim_c.write.parquet(str(tmp_path / "dim"))
+    dim_c = spark.read.parquet(str(tmp_path / "dim"))
+    dim_p = spark.range(50).select(F.col("id").cast("string").alias("product_id"), F.col("id").alias("product_sk"))
+    joined = with_dimension_keys(orders, dim_c, dim_p)
+    result = joined.agg(F.count_distinct("order_id"), F.count("customer_sk"), F.count("product_sk"))
+    assert tuple(result.collect()[0]) == (60000, 40000, 60000)
+    assert "SortMergeJoin(skew=true)" in result._jdf.queryExecution().toString()
+
+
+def test_hot_keys_and_missing_keys_give_whole_results(spark, raw, tables):
+    """One order id and a NULL id hold a third of the rows each; one customer holds most."""
+    seed = raw({}).drop("order_id", "customer_name", "_row_hash")
+    rows = spark.range(0, 9000, 1, 8).crossJoin(seed).select(
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).when(F.col("id") % 3 == 2, F.concat(F.lit("O-"), "id")).alias("order_id"),
+        F.concat(F.lit("name "), F.col("id") % 500).alias("customer_name"),
+        F.md5(F.col("id").cast("string")).alias("_row_hash"),
+        *seed.columns,
+    )
+    staged = stage_runs(rows, AT)
+    assert staged.count() == 3002
+    dim = members(staged, *CUSTOMER[:2])
+    assert dim.count() == 1
+    fact = fact_rows(
+        staged,
+        spark.createDataFrame([], FACT),
+        dim.withColumn("customer_sk", F.lit(1).cast("long")),
+        spark.createDataFrame([], DIM_PRODUCT),
+        "R1",
+        AT,
+    )
+    assert fact.count() == 3001
+    summary = sales_summary(
+        fact, spark.createDataFrame([], DIM_DATE), spark.createDataFrame([], DIM_CUSTOMER), spark.createDataFrame([], DIM_PRODUCT)
+    )
+    assert [r.order_count for r in summary.collect()] == [3001]
