@@ -2,7 +2,8 @@
 
     BENCH_SF_DIR   folder of tables      (default /root/testdata/sf0.1)
     BENCH_CPUS     local cores           (default 4)
-    BENCH_RUNS     timed runs per query  (default 3, after one warm-up; the median counts)
+    BENCH_RUNS     timed runs of a query from the given tables, after one warm-up (default 1)
+    BENCH_REPEATS  timed runs of a step on the loaded tables, after one warm-up (default 3)
     BENCH_ONLY     comma-separated query names
 """
 
@@ -65,7 +66,8 @@ def median_seconds(work: Callable[[], None], runs: int) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "4")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
+    repeats = int(os.environ.get("BENCH_REPEATS", "3"))
     only = os.environ.get("BENCH_ONLY")
     work_dir = tempfile.mkdtemp(prefix="ordermart-bench-")
     settings = {
@@ -81,13 +83,13 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     seconds: dict[str, float] = {}
 
-    def timed(name: str, work: Callable[[], None], repeat: int = runs) -> None:
+    def timed(name: str, work: Callable[[], None], repeat: int = repeats) -> None:
         if only is None or name in only.split(","):
             seconds[name] = median_seconds(work, repeat)
             print(f"{name} {seconds[name]}", file=sys.stderr, flush=True)
 
     for name in HEADLINE:
-        timed(name, lambda name=name: consume(QUERIES[name](spark, sf_dir)))
+        timed(name, lambda name=name: consume(QUERIES[name](spark, sf_dir)), runs)
 
     # The tables of the job, loaded once, for the incremental and layout measures.
     layers = Layers(root=f"{work_dir}/tables")

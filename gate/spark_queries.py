@@ -160,7 +160,7 @@ def _dimension_loads(spark: SparkSession, staged: DataFrame, definition, schema:
     for run_id in RUNS:
         batch = of_run(staged, run_id)
         new = dimension_rows(batch, dimension, key, attributes, surrogate, AT.date())
-        dimension = freeze(dimension.unionByName(new), surrogate)
+        dimension = dimension.unionByName(new)
     return dimension
 
 
@@ -172,8 +172,7 @@ def build_star(spark: SparkSession, sf_dir: str) -> Star:
     star = Star(staged, dim_customer, dim_product, calendar_rows(staged, _empty(spark, DIM_DATE)), [])
     for run_id in RUNS:
         stored = star.fact if star.loads else _empty(spark, FACT)
-        rows = fact_rows(staged, stored, dim_customer, dim_product, run_id, AT)
-        star.loads.append(freeze(rows, "fact"))
+        star.loads.append(fact_rows(staged, stored, dim_customer, dim_product, run_id, AT))
     return star
 
 

@@ -5,12 +5,13 @@ from decimal import Decimal
 import pytest
 from conftest import write_csv
 
+from ordermart import __main__ as cli
 from ordermart.plans import transformation
 from ordermart.plans.batch import run_full_pipeline
 from ordermart.plans.ingestion import run_ingestion
 from ordermart.plans.models import declared_tests, refresh_product_sales, refresh_stg_sales
 from ordermart.plans.runlog import PIPELINE_NAME, log_run, new_run_id, run_log_row
-from ordermart.plans.transformation import StepFailed, run_transformations
+from ordermart.plans.transformation import StepFailed, refresh_sales_summary, run_transformations
 from ordermart.schemas import RUN_LOG
 
 AT = datetime(2024, 3, 1)
@@ -72,6 +73,25 @@ def test_failed_read_is_logged_and_raised(spark, layers, tmp_path):
         run_ingestion(spark, str(tmp_path / "missing.csv"), "RUN_Y", layers)
 
 
+def test_summary_rebuilds_only_the_months_of_a_run(spark, layers, tmp_path):
+    run_full_pipeline(spark, write_csv(tmp_path / "a.csv", SAMPLE), "RUN_1", layers)
+
+    def files():
+        rows = spark.table(layers.sales_summary).select("year", "month", "_metadata.file_name").distinct()
+        return set(map(tuple, rows.collect()))
+
+    before = files()
+    late = [{"order_id": "L-1", "order_date": "2024-02-03"}, {"order_id": "L-2", "order_date": "2023-12-31"}]
+    run_full_pipeline(spark, write_csv(tmp_path / "b.csv", late), "RUN_2", layers)
+    after = files()
+    assert {f for f in before if f[:2] == (2024, 1)} == {f for f in after if f[:2] == (2024, 1)}
+    monthly = sorted(map(str, spark.table(layers.sales_summary).collect()))
+    refresh_sales_summary(spark, layers)
+    assert sorted(map(str, spark.table(layers.sales_summary).collect())) == monthly
+    months = spark.table(layers.sales_summary).groupBy("year", "month").sum("order_count").collect()
+    assert sorted(map(tuple, months)) == [(2023, 12, 1), (2024, 1, 3), (2024, 2, 2)]
+
+
 def test_failed_step_stops_the_rest(spark, layers, tmp_path, monkeypatch):
     run_ingestion(spark, write_csv(tmp_path / "a.csv", SAMPLE), "RUN_1", layers)
 
@@ -97,6 +117,20 @@ def test_ingestion_result(spark, layers, tmp_path):
     assert (again["rows_ingested"], again["raw_table_rows"]) == (5, 10)
 
 
+def test_command_line(spark, tmp_path, capsys, layers, monkeypatch):
+    path = write_csv(tmp_path / "a.csv", SAMPLE)
+    monkeypatch.setattr(cli, "Layers", lambda root: layers)
+    ingested = cli.main(["ingest", path, "--run-id", "RUN_1"])
+    assert ingested["rows_ingested"] == 5
+    assert set(cli.main(["transform", "RUN_1"]).values()) == {"SUCCESS"}
+    tests = cli.main(["models"])
+    assert tests["stg_sales.order_id unique"] == 0 and tests["raw_sales_orders.customer_id not_null"] == 1
+    assert '"rows_ingested": 5' in capsys.readouterr().out
+    with pytest.raises(SystemExit):
+        cli.parse([])
+    assert cli.parse(["run"]).source == ["landing"]
+
+
 def test_run_log_defaults_and_types(spark):
     row = run_log_row(spark, {"run_id": "R", "status": "SUCCESS"})
     assert row.columns == RUN_LOG.names
