@@ -24,8 +24,8 @@ def plan_of(df):
     return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple")
 
 
-def exchanges(plan):
-    return re.findall(r"Exchange (\w+)", plan)
+def shuffles(plan):
+    return re.findall(r"(?<!Broadcast)Exchange (\w+)", plan)
 
 
 @pytest.fixture
@@ -89,7 +89,7 @@ def test_rows_are_cut_to_one_per_key_before_the_shuffle(spark, tables):
         plan = plan_of(plans[name])
         before = plan[plan.index("Exchange hashpartitioning") :]
         assert re.search(r"WindowGroupLimit .*Partial", before), name
-    assert exchanges(plan_of(plans["stage"])) == ["hashpartitioning"]
+    assert shuffles(plan_of(plans["stage"])) == ["hashpartitioning"]
 
 
 def test_fact_batch_is_shuffled_once_for_ranking_and_anti_join(spark, tables, settings):
@@ -176,3 +176,30 @@ def test_hot_keys_and_missing_keys_give_whole_results(spark):
         fact, spark.createDataFrame([], DIM_DATE), spark.createDataFrame([], DIM_CUSTOMER), spark.createDataFrame([], DIM_PRODUCT)
     )
     assert [r.order_count for r in summary.collect()] == [3001]
+
+
+def test_fact_files_come_out_clustered_without_another_shuffle(spark, tables, settings):
+    """Keys, checkpoint and layout share one range shuffle; a hot day is spread over files."""
+    settings(spark__sql__adaptive__coalescePartitions__enabled="false")
+    fixed = {**ORDER, **INGEST}
+    day = F.when(F.col("id") % 3 == 0, F.lit(100)).otherwise(F.col("id") % 300).cast("int")
+    rows = spark.range(0, 6000, 1, 8).select(
+        F.concat(F.lit("O-"), "id").alias("order_id"),
+        F.date_add(F.lit("2024-01-01").cast("date"), day).cast("string").alias("order_date"),
+        F.md5(F.col("id").cast("string")).alias("_row_hash"),
+        F.lit("2024-02-01").cast("timestamp_ntz").alias("_ingested_at"),
+        *[F.lit(v).alias(k) for k, v in fixed.items() if k not in ("order_id", "order_date", "_ingested_at")],
+    )
+    dims = [spark.table(t) for t in (tables.dim_customer, tables.dim_product)]
+    fact = fact_rows(stage_runs(rows, AT), spark.table(tables.fact_sales_orders), *dims, "R1", AT)
+    assert shuffles(plan_of(fact)) == []
+    append_table(fact, tables.fact_sales_orders)
+    files = (
+        spark.table(tables.fact_sales_orders)
+        .groupBy("_metadata.file_name")
+        .agg(F.min("date_key"), F.max("date_key"), F.min("order_sk"), F.max("order_sk"), F.count(F.lit(1)))
+        .collect()
+    )
+    spans = sorted((f[3], f[4], f[1], f[2], f[5]) for f in files)
+    assert len(spans) == 8 and max(f[4] for f in spans) < 1500
+    assert all(a[1] + 1 == b[0] and a[3] <= b[2] for a, b in zip(spans, spans[1:]))
