@@ -65,7 +65,7 @@ def powers(base: int, n: int) -> np.ndarray:
 
 
 def prefix_sums(data: np.ndarray) -> np.ndarray:
-    """Polynomial prefix hashes of a byte array; see ``slice_hash``."""
+    """Polynomial prefix hashes of bytes or 64-bit values; see ``slice_hash``."""
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(BASE, len(data)), out=sums[1:])
     return sums

@@ -5,10 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ordermart.llm.contamination import contamination
+from ordermart.llm.jaccard import near_duplicate_classes
 from ordermart.llm.packing import pack_documents
+from ordermart.llm.quality import judge_quality
 from ordermart.llm.sharding import shard_documents
+from ordermart.llm.spans import cut_repeated_spans
+from ordermart.llm.suffixes import deduplicate_bytes
+from ordermart.llm.topk import search_embeddings
+from ordermart.llm.toxicity import judge_toxicity
 from ordermart.llm.urls import fixed_rules, judge_urls
 
 
@@ -20,10 +27,40 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(_table(spark, sf_dir, "documents"), shards=24)
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search_embeddings(_table(spark, sf_dir, "embeddings"), k=10)
+
+
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return cut_repeated_spans(docs).select(
+        "doc_id",
+        "text",
+        F.col("_n_sentences").alias("n_sentences"),
+        F.col("_n_removed").alias("n_removed"),
+    )
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(_table(spark, sf_dir, "pages"), fixed_rules(spark))
 
 
+def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_classes(_table(spark, sf_dir, "documents"))
+
+
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return deduplicate_bytes(_table(spark, sf_dir, "documents"))
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -36,13 +73,32 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_sharding,
+        op2_quality_classifier,
+        op3_exact_top_k,
+        op4_substring_dedup,
+        op5_toxicity,
         op6_url_filters,
+        op7_ngram_jaccard_join,
+        op8_suffix_array_dedup,
         op9_benchmark_decontamination,
         op10_best_fit_packing,
     )
 }
 
 ORACLE: dict[str, str] = {
+    "op3_exact_top_k": r"""
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: x > 0) AS code FROM embeddings
+), pairs AS (
+    SELECT q.vec_id AS query_id, v.vec_id,
+           len(list_filter(list_zip(q.code, v.code), lambda p: p[1] <> p[2])) AS distance
+    FROM v q, v WHERE q.vec_id % 100 = 0
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank FROM pairs
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(distance AS INTEGER) AS distance
+FROM ranked WHERE rank <= 10
+""",
     "op6_url_filters": r"""
 WITH rules(verdict, host, path) AS (
     VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'),
