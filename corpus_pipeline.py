@@ -11,10 +11,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ordermart.llm.contamination import drop_contaminated
+from ordermart.llm.jaccard import drop_near_copies
 from ordermart.llm.packing import pack_documents
+from ordermart.llm.spans import deduplicate_substrings
+from ordermart.llm.toxicity import drop_toxic
 from ordermart.session import freeze
 
 
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the model, fitted on the labelled ones among them, does not reject."""
+    return drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of every group of near copies."""
+    return drop_near_copies(docs)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the sentences of passages that came before."""
+    return deduplicate_substrings(docs)
+
+
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no phrase of the benchmark."""
     return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
@@ -26,6 +44,9 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 STAGES = [
+    ("toxicity", toxicity),
+    ("n-gram Jaccard join", ngram_jaccard_join),
+    ("substring dedup", substring_dedup),
     ("benchmark decontamination", benchmark_decontamination),
     ("best-fit packing", best_fit_packing),
 ]
@@ -37,5 +58,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = freeze(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        docs = freeze(stage(spark, docs, sf_dir), name.replace(" ", "-").lower())
     return STAGES[-1][1](spark, docs, sf_dir)
