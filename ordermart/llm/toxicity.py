@@ -20,7 +20,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -40,16 +40,31 @@ ADDRESSING = "you your youre u tu te toi vous votre du dich dir dein ihr euch us
 QUOTES = "\"“”„«»‹›"
 
 WINDOW = 8
-QUOTED, REPORTED, ADDRESSED, NEAR = 0.3, 0.5, 1.25, 0.25
+QUOTED, REPORTED, ADDRESSED, NEAR, MISSPELLED = 0.3, 0.5, 1.25, 0.25, 0.6
 BEGINNINGS = (4, 5, 6)
 MAX_TERMS = 100
+COVER = 3
+# Log ratio, less two standard errors, of a term beyond doubt.
+SURE = 4.0
+# Share of harmless texts with near misses of a term above which they are ordinary words.
+ORDINARY = 0.001
 THRESHOLD = 0.7
-FEATURES = 4
+FEATURES = 3
 
 
-def allowed_edits(term: str, beginning: bool) -> int:
-    """Edits by which a word may miss a term: none for short terms and beginnings."""
-    return 0 if beginning or len(term) < 5 else 1 if len(term) < 9 else 2
+@dataclass(frozen=True)
+class Term:
+    form: str
+    beginning: bool  # any word that begins so is a hit
+    strength: float  # 1 for terms that mark toxic texts without doubt
+    edits: int = 0  # by which a word may miss the term
+
+
+def usual_edits(form: str, beginning: bool, strength: float) -> int:
+    """Edits to try: none for short or doubtful terms and for beginnings."""
+    if beginning or strength < 1 or len(form) < 5:
+        return 0
+    return 1 if len(form) < 9 else 2
 
 
 @dataclass
@@ -64,7 +79,7 @@ class Automaton:
     depth: int  # letters after which nothing is decided any more
 
 
-def intersect(terms: list[tuple[str, bool]]) -> Automaton:
+def intersect(terms: list[Term]) -> Automaton:
     """Trie of the terms intersected with their Levenshtein automata, made deterministic.
 
     A state is the set of trie nodes a word may have reached, each with the edits spent.
@@ -72,10 +87,10 @@ def intersect(terms: list[tuple[str, bool]]) -> Automaton:
     children: list[dict[str, int]] = [{}]
     ends: list[list[int]] = [[]]
     budget = [0]
-    for number, (term, beginning) in enumerate(terms):
-        node, edits = 0, allowed_edits(term, beginning)
+    for number, term in enumerate(terms):
+        node, edits = 0, term.edits
         budget[0] = max(budget[0], edits)
-        for letter in term:
+        for letter in term.form:
             if letter not in children[node]:
                 children[node][letter] = len(children)
                 children.append({})
@@ -84,7 +99,7 @@ def intersect(terms: list[tuple[str, bool]]) -> Automaton:
             node = children[node][letter]
             budget[node] = max(budget[node], edits)
         ends[node].append(number)
-    alphabet = {letter: k + 1 for k, letter in enumerate(sorted({c for t, _ in terms for c in t}))}
+    alphabet = {letter: k + 1 for k, letter in enumerate(sorted({c for t in terms for c in t.form}))}
 
     def close(reached: dict[int, int]) -> frozenset:
         """Add nodes reached by letters the word leaves out; keep the fewest edits of each."""
@@ -101,20 +116,19 @@ def intersect(terms: list[tuple[str, bool]]) -> Automaton:
         best = (99, -1)
         for node, spent in state:
             for number in ends[node]:
-                term, is_beginning = terms[number]
-                if is_beginning == beginning and spent <= allowed_edits(term, is_beginning):
+                if terms[number].beginning == beginning and spent <= terms[number].edits:
                     best = min(best, (spent, number))
         return best
 
     start = close({0: 0})
     numbers = {frozenset(): 0, start: 1}
     queue, rows = [start], [[0] * (len(alphabet) + 1)]
-    term, edits, absorbing = [-1], [0], [False]
+    accepts, edits, absorbing = [-1], [0], [False]
     for state in queue:
         whole, opening = accepted(state, False), accepted(state, True)
         absorbs = opening[1] >= 0
         spent, number = opening if absorbs else whole
-        term.append(number)
+        accepts.append(number)
         edits.append(spent if number >= 0 else 0)
         absorbing.append(absorbs)
         row = []
@@ -133,8 +147,8 @@ def intersect(terms: list[tuple[str, bool]]) -> Automaton:
                 queue.append(following)
             row.append(numbers[following])
         rows.append([numbers[state]] * len(row) if absorbs else row)
-    depth = max((len(t) + allowed_edits(t, b) for t, b in terms), default=0)
-    return Automaton(np.array(rows, np.int32), np.array(term), np.array(edits), np.array(absorbing), alphabet, depth)
+    depth = max((len(t.form) + t.edits for t in terms), default=0)
+    return Automaton(np.array(rows, np.int32), np.array(accepts), np.array(edits), np.array(absorbing), alphabet, depth)
 
 
 def run_words(automaton: Automaton, letters: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -156,7 +170,7 @@ def run_words(automaton: Automaton, letters: np.ndarray, start: np.ndarray, end:
 
 @dataclass
 class Lexicon:
-    terms: list[tuple[str, bool]]
+    terms: list[Term]
     automaton: Automaton
     weights: np.ndarray
     bias: float
@@ -169,26 +183,31 @@ def _classes(automaton: Automaton) -> np.ndarray:
     return table
 
 
-def window_scores(block: Block, automaton: Automaton, table: np.ndarray) -> np.ndarray:
+def found_terms(block: Block, automaton: Automaton, table: np.ndarray) -> tuple:
+    """Words of a block, its characters, their bounds, and the final state of every word."""
+    found = words(block)
+    passed = np.concatenate(([0], np.cumsum((block.data & 0xC0) != 0x80)))
+    text = found.lowered.tobytes().decode("utf-8", "replace")
+    points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    start, end = passed[found.start], passed[found.end]
+    return found, passed, text, points, start, end, run_words(automaton, table[points], start, end)
+
+
+def window_scores(block: Block, terms: list[Term], automaton: Automaton, table: np.ndarray) -> np.ndarray:
     """A row of ``FEATURES`` sums for every text of the block.
 
-    Exact hits, misspelled hits, quoted hits, and exact hits of the densest window.
+    Hits outside quotations, hits inside, and hits outside of the densest window.
     """
     out = np.zeros((len(block), FEATURES))
-    if not len(automaton.term) > 2:
+    if not terms:
         return out
-    found = words(block)
-    lead = (block.data & 0xC0) != 0x80
-    passed = np.concatenate(([0], np.cumsum(lead)))
-    text = found.lowered.tobytes().decode("utf-8", "replace")
-    points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
-    start, end = passed[found.start], passed[found.end]
-    final = run_words(automaton, table[points], start, end)
+    found, passed, text, points, start, end, final = found_terms(block, automaton, table)
     hit = np.flatnonzero(automaton.term[final] >= 0)
     if not len(hit):
         return out
     row = found.row[hit]
-    exact = automaton.edits[final[hit]] == 0
+    strength = np.array([t.strength for t in terms])[automaton.term[final[hit]]]
+    value = strength * MISSPELLED ** automaton.edits[final[hit]]
     marks = np.flatnonzero(np.isin(points, [ord(c) for c in QUOTES]))
     breaks = np.flatnonzero(points == 10)
     row_start = passed[block.bounds[row]]
@@ -199,7 +218,7 @@ def window_scores(block: Block, automaton: Automaton, table: np.ndarray) -> np.n
     stop = np.minimum(passed[block.bounds[row + 1]], np.append(breaks, len(points))[line])
     after = np.searchsorted(marks, stop) - np.searchsorted(marks, end[hit])
     quoted = (before % 2 == 1) & (after > 0)
-    value = np.where(quoted, QUOTED, 1.0)
+    value *= np.where(quoted, QUOTED, 1.0)
     for k, position in enumerate(hit):
         low = max(found.first[row[k]], position - WINDOW)
         high = min(found.first[row[k] + 1], position + WINDOW + 1)
@@ -208,13 +227,14 @@ def window_scores(block: Block, automaton: Automaton, table: np.ndarray) -> np.n
             value[k] *= REPORTED
         if any(w in ADDRESSING_SET for w in near):
             value[k] *= ADDRESSED
-    neighbours = np.searchsorted(hit, hit + WINDOW, side="right") - np.searchsorted(hit, hit - WINDOW)
-    close = np.minimum(neighbours - 1, 4)
-    value *= 1 + NEAR * close
-    np.add.at(out, (row[exact & ~quoted], 0), value[exact & ~quoted])
-    np.add.at(out, (row[~exact], 1), value[~exact])
-    np.add.at(out, (row[exact & quoted], 2), value[exact & quoted])
-    np.maximum.at(out[:, 3], row[exact & ~quoted], (1 + close[exact & ~quoted]).astype(float))
+    total = np.concatenate(([0.0], np.cumsum(value)))
+    high = np.minimum(np.searchsorted(hit, hit + WINDOW, side="right"), np.searchsorted(row, row, side="right"))
+    low = np.maximum(np.searchsorted(hit, hit - WINDOW), np.searchsorted(row, row))
+    close = total[high] - total[low] - value
+    value = value * (1 + NEAR * np.minimum(close, 4))
+    np.add.at(out, (row[~quoted], 0), value[~quoted])
+    np.add.at(out, (row[quoted], 1), value[quoted])
+    np.maximum.at(out, (row[~quoted], 2), value[~quoted])
     return out
 
 
@@ -259,27 +279,58 @@ def _which_forms(wanted: dict[tuple[str, bool], int]):
     return which
 
 
+def near_misses(block: Block, automaton: Automaton, table: np.ndarray) -> Iterator[set[int]]:
+    """For every text the terms that a word of it misses by some edits."""
+    found, *_, final = found_terms(block, automaton, table)
+    hit = np.flatnonzero((automaton.term[final] >= 0) & (automaton.edits[final] > 0))
+    cuts = np.searchsorted(found.row[hit], np.arange(len(block) + 1))
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        yield set(automaton.term[final[hit[a:b]]].tolist())
+
+
+def _near_misses(automaton: Automaton):
+    def misses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = _classes(automaton)
+        for batch in batches:
+            terms = [t for block in blocks(batch.column("text")) for own in near_misses(block, automaton, table) for t in own]
+            yield pa.RecordBatch.from_arrays([pa.array(terms, pa.int32())], ["term"])
+
+    return misses
+
+
 def choose_terms(forms: list[tuple[str, bool]], negative: np.ndarray, holders: list[np.ndarray], n: int) -> list[int]:
-    """Greedy cover: forms that explain toxic texts, each up to twice, and few others.
+    """Greedy cover: forms that explain toxic texts, each up to ``COVER`` times, and few others.
 
-    ``holders`` are the numbers of the toxic texts of each form. Of forms that explain as
-    much the longest is taken.
+    ``holders`` are the numbers of the toxic texts of each form. Of forms that explain
+    about as much a whole word, and then a longer form, is taken; beginnings of a chosen
+    form and forms that begin with it are not looked at again.
     """
-    open_ = np.full(n, 2)
+    left = np.full(n, COVER)
     least = max(2, 0.002 * n)
+    favour = np.array([1 + 0.01 * len(form) + 0.03 * (not beginning) for form, beginning in forms])
+    gain = np.array([len(h) for h in holders], dtype=float)
+    fresh = np.ones(len(forms), dtype=bool)
+    usable = np.ones(len(forms), dtype=bool)
     chosen: list[int] = []
-    gain = np.array([float(len(h)) for h in holders])
-    while len(chosen) < MAX_TERMS and len(gain):
-        while True:
-            top = max(range(len(forms)), key=lambda k: (round(gain[k] - 2 * negative[k], 6), len(forms[k][0]), not forms[k][1]))
-            real = float((open_[holders[top]] > 0).sum()) if top not in chosen else 0.0
-            if real == gain[top]:
-                break
-            gain[top] = real
+    while len(chosen) < MAX_TERMS and usable.any():
+        value = np.where(usable, (gain - 2 * negative) * favour, -np.inf)
+        top = int(np.argmax(value))
         if gain[top] - 2 * negative[top] < least:
-            break
+            # Favour may hide a form that explains more; none is worth adding by then.
+            usable[top] = False
+            continue
+        if not fresh[top]:
+            # Gains only fall, so the first form whose gain is up to date is the best.
+            gain[top], fresh[top] = float((left[holders[top]] > 0).sum()), True
+            continue
         chosen.append(top)
-        open_[holders[top]] -= open_[holders[top]] > 0
+        left[holders[top]] -= left[holders[top]] > 0
+        fresh[:] = False
+        word, beginning = forms[top]
+        for k in np.flatnonzero(usable):
+            form, opens = forms[k]
+            if (opens and word.startswith(form)) or (beginning and form.startswith(word)) or k == top:
+                usable[k] = False
     return chosen
 
 
@@ -300,11 +351,11 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: floa
     return theta[:-1], float(theta[-1])
 
 
-def _features(automaton: Automaton):
+def _features(terms: list[Term], automaton: Automaton):
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _classes(automaton)
         for batch in batches:
-            parts = [window_scores(block, automaton, table) for block in blocks(batch.column("text"))]
+            parts = [window_scores(block, terms, automaton, table) for block in blocks(batch.column("text"))]
             rows = np.concatenate(parts) if parts else np.zeros((0, FEATURES))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("positive"), batch.column("weight"), *[pa.array(rows[:, k]) for k in range(FEATURES)]],
@@ -321,11 +372,12 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int =
     sizes = dict(sample.groupBy("positive").count().collect())
     n, m = sizes.get(1, 0), sizes.get(0, 0)
     forms = counted.groupBy("form", "beginning").agg(F.sum("positive").alias("p"), F.sum("negative").alias("q"))
-    # Ten times likelier in toxic texts, and in more than a few of them: at most a few
-    # thousand forms of a bounded sample.
-    likely = forms.where(
-        (F.col("p") >= max(3, 0.003 * n)) & (F.col("p") / max(n, 1) >= 10 * (F.col("q") + 0.1) / max(m, 1))
-    ).orderBy(F.desc("p"), F.desc(F.length("form")), "form").limit(20_000).collect()
+    # Surely likelier in toxic texts, by two standard errors of the log ratio: at most a
+    # few thousand forms of a bounded sample.
+    ratio = F.log((F.col("p") + 0.5) / (n + 1)) - F.log((F.col("q") + 0.5) / (m + 1))
+    error = F.sqrt(1 / (F.col("p") + 0.5) + 1 / (F.col("q") + 0.5))
+    forms = forms.withColumn("sure", ratio - 2 * error)
+    likely = forms.where((F.col("p") >= max(3, 0.003 * n)) & (F.col("sure") >= math.log(3))).orderBy(F.desc("p"), F.desc(F.length("form")), "form").limit(20_000).collect()
     named = [(row.form, row.beginning) for row in likely]
     wanted = {form: k for k, form in enumerate(named)}
     held = sample.where("positive = 1").mapInArrow(_which_forms(wanted), "forms array<int>").toPandas()["forms"]
@@ -336,10 +388,15 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int =
     chosen = choose_terms(
         named, np.array([row.q * n / max(m, 1) for row in likely]), [np.array(h, dtype=np.int64) for h in holders], len(held)
     )
-    terms = [named[k] for k in chosen]
+    strength = [min(1.0, likely[k].sure / SURE) for k in chosen]
+    terms = [Term(*named[k], s, usual_edits(*named[k], s)) for k, s in zip(chosen, strength)]
+    # Where near misses of a term are ordinary words, only the term itself is a hit.
+    missed = sample.where("positive = 0").mapInArrow(_near_misses(intersect(terms)), "term int")
+    ordinary = {row.term for row in missed.groupBy("term").count().where(F.col("count") > ORDINARY * m).collect()}
+    terms = [replace(t, edits=0) if k in ordinary else t for k, t in enumerate(terms)]
     automaton = intersect(terms)
     table = sample.mapInArrow(
-        _features(automaton), "positive int, weight double, " + ", ".join(f"f{k} double" for k in range(FEATURES))
+        _features(terms, automaton), "positive int, weight double, " + ", ".join(f"f{k} double" for k in range(FEATURES))
     ).toPandas()
     x = np.log1p(table[[f"f{k}" for k in range(FEATURES)]].to_numpy())
     if n and m:
@@ -357,7 +414,7 @@ def toxicity_score(model: Lexicon, text: Column) -> Column:
     def score(column: pa.Array) -> pa.Array:
         if not table:
             table.append(_classes(model.automaton))
-        parts = [window_scores(block, model.automaton, table[0]) for block in blocks(column)]
+        parts = [window_scores(block, model.terms, model.automaton, table[0]) for block in blocks(column)]
         rows = np.log1p(np.concatenate(parts)) if parts else np.zeros((0, FEATURES))
         return pa.array(1 / (1 + np.exp(-np.clip(rows @ model.weights + model.bias, -30, 30))))
 
