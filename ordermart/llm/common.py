@@ -6,13 +6,15 @@ Words follow one rule everywhere: A-Z are lower-cased, and a word is a longest r
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 from dataclasses import dataclass
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Bytes of text handled at once in a task; a longer text is a block of its own.
@@ -28,6 +30,24 @@ BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
 
 
+def reach_workers(spark: SparkSession) -> None:
+    """Let Python workers import this library from the folder the driver has it in.
+
+    Where executors do not have that folder the library comes with ``--py-files``.
+    """
+    home = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "")
+    if home not in known.split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [home, known]))
+
+
+def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table of the given folder, in a session whose workers know this library."""
+    reach_workers(spark)
+    return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
 def text_of(column: str = "text") -> Column:
     """The text with null as the empty string."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

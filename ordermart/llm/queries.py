@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ordermart.llm.common import read_table
 from ordermart.llm.contamination import contamination
 from ordermart.llm.jaccard import near_duplicate_classes
 from ordermart.llm.packing import pack_documents
@@ -19,24 +20,20 @@ from ordermart.llm.toxicity import judge_toxicity
 from ordermart.llm.urls import fixed_rules, judge_urls
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shard_documents(_table(spark, sf_dir, "documents"), shards=24)
+    return shard_documents(read_table(spark, sf_dir, "documents"), shards=24)
 
 
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return judge_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
 def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return search_embeddings(_table(spark, sf_dir, "embeddings"), k=10)
+    return search_embeddings(read_table(spark, sf_dir, "embeddings"), k=10)
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return cut_repeated_spans(docs).select(
         "doc_id",
         "text",
@@ -46,27 +43,27 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return judge_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge_urls(_table(spark, sf_dir, "pages"), fixed_rules(spark))
+    return judge_urls(read_table(spark, sf_dir, "pages"), fixed_rules(spark))
 
 
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicate_classes(_table(spark, sf_dir, "documents"))
+    return near_duplicate_classes(read_table(spark, sf_dir, "documents"))
 
 
 def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return deduplicate_bytes(_table(spark, sf_dir, "documents"))
+    return deduplicate_bytes(read_table(spark, sf_dir, "documents"))
 
 
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_documents(_table(spark, sf_dir, "documents"))
+    return pack_documents(read_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
