@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ordermart.llm.common import reach_workers, read_table
 from ordermart.llm.contamination import drop_contaminated
 from ordermart.llm.jaccard import drop_near_copies
 from ordermart.llm.packing import pack_documents
@@ -20,26 +21,29 @@ from ordermart.session import freeze
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the model, fitted on the labelled ones among them, does not reject."""
-    return drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return drop_toxic(docs, read_table(spark, sf_dir, "labels"))
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every group of near copies."""
+    reach_workers(spark)
     return drop_near_copies(docs)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the sentences of passages that came before."""
+    reach_workers(spark)
     return deduplicate_substrings(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no phrase of the benchmark."""
-    return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the kept documents in sequences of several lengths."""
+    reach_workers(spark)
     return pack_documents(docs)
 
 
@@ -56,7 +60,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = freeze(stage(spark, docs, sf_dir), name.replace(" ", "-").lower())
     return STAGES[-1][1](spark, docs, sf_dir)
