@@ -195,12 +195,13 @@ def _verify(n: int, threshold: float):
 
 def near_copies(
     docs: DataFrame, n: int = NGRAM, threshold: float = THRESHOLD, recall: float = RECALL
-) -> DataFrame:
-    """``doc_id, text_key, class_key, n_links, n_copies`` of every row.
+) -> tuple[DataFrame, DataFrame]:
+    """Rows ``doc_id, word_key``, and what holds for all rows of equal words.
 
-    ``class_key`` numbers the classes: documents joined by chains of links, and their copies.
-    ``n_links`` counts the different texts linked to this one, ``n_copies`` the rows of equal
-    words, this one included.
+    The second frame has ``word_key, class_key, n_links, n_copies, stands_for``.
+    ``class_key`` numbers the classes: texts joined by chains of links. ``n_links`` counts
+    the different texts linked to one, ``n_copies`` the rows of equal words, and
+    ``stands_for`` is the least ``first_doc`` (``doc_id``) and ``text_key`` among them.
     """
     bands, rows = bands_and_rows(threshold, recall)
     source = docs.select(
@@ -223,7 +224,9 @@ def near_copies(
     classes = texts.groupBy("word_key").agg(
         F.count(F.lit(1)).alias("n_texts"),
         F.sum("n_rows").alias("n_copies"),
-        F.min(F.struct("first_doc", "text_key")).alias("stands_for"),
+        F.min_by(
+            F.struct("first_doc", "text_key"), F.struct(F.col("first_doc").isNull(), "first_doc", "text_key")
+        ).alias("stands_for"),
         F.max("n_words").alias("n_words"),
         F.first("bands").alias("bands"),
     )
@@ -284,21 +287,27 @@ def near_copies(
         F.coalesce("root", "node").alias("class_key"),
         (F.coalesce("links", F.lit(0)) + F.when(F.col("n_words") > 0, F.col("n_texts") - 1).otherwise(0)).alias("n_links"),
         "n_copies",
+        "stands_for",
     )
-    return signed_rows.join(told, "word_key").select("doc_id", "text_key", "class_key", "n_links", "n_copies")
+    return signed_rows.select("doc_id", "word_key"), freeze(told, "near-copies")
 
 
 def near_duplicate_classes(docs: DataFrame, **options) -> DataFrame:
     """``doc_id, class_id, n_links, n_copies``; a class is named by its least ``doc_id``."""
-    rows = freeze(near_copies(docs, **options), "near-copies")
-    named = rows.groupBy("class_key").agg(F.min("doc_id").alias("class_id"))
-    return rows.join(named, "class_key").select("doc_id", "class_id", "n_links", "n_copies")
+    rows, told = near_copies(docs, **options)
+    named = told.groupBy("class_key").agg(F.min("stands_for.first_doc").alias("class_id"))
+    of_words = told.join(named, "class_key").select("word_key", "class_id", "n_links", "n_copies")
+    # A hot group of copies meets one row here, so its part of the join can be split.
+    return rows.join(of_words, "word_key").select("doc_id", "class_id", "n_links", "n_copies")
 
 
 def drop_near_copies(docs: DataFrame, **options) -> DataFrame:
     """The row of least ``doc_id`` of every class, with all columns of ``docs``."""
-    first = near_copies(docs, **options).groupBy("class_key").agg(F.min(F.struct("doc_id", "text_key")).alias("kept"))
-    kept = first.select(F.col("kept.doc_id").alias("_kept_id"), F.col("kept.text_key").alias("_kept_key"))
+    _, told = near_copies(docs, **options)
+    # Ids that are null come last.
+    order = F.struct(F.col("stands_for.first_doc").isNull(), "stands_for.first_doc", "stands_for.text_key")
+    first = told.groupBy("class_key").agg(F.min_by("stands_for", order).alias("kept"))
+    kept = first.select(F.col("kept.first_doc").alias("_kept_id"), F.col("kept.text_key").alias("_kept_key"))
     keyed = docs.withColumn("_text_key", text_key())
     return (
         keyed.join(kept, (F.col("_text_key") == F.col("_kept_key")) & F.col("doc_id").eqNullSafe(F.col("_kept_id")))
