@@ -45,7 +45,7 @@ BEGINNINGS = (4, 5, 6)
 MAX_TERMS = 100
 COVER = 3
 # Log ratio, less two standard errors, of a term beyond doubt.
-SURE = 4.0
+SURE = 3.5
 # Share of harmless texts with near misses of a term above which they are ordinary words.
 ORDINARY = 0.001
 THRESHOLD = 0.7
