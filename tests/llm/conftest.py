@@ -1,0 +1,23 @@
+from __future__ import annotations
+
+import pytest
+
+DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
+# Columns named like those the operators use inside, which must not get in their way.
+CLASHING = ("key", "text_key", "id", "mark", "spans", "copy", "score", "node", "shard", "c0", "block", "named")
+
+
+@pytest.fixture
+def documents(spark):
+    """Documents from ``(doc_id, text)`` pairs, with further columns of clashing names."""
+
+    def build(*rows, clashing: bool = True):
+        values = [
+            (i, t, "en", None if n % 3 else "src0", None if t is None else len(t)) for n, (i, t) in enumerate(rows)
+        ]
+        df = spark.createDataFrame(values, DOCUMENTS).repartition(3)
+        if clashing:
+            df = df.selectExpr("*", *[f"doc_id AS {name}" for name in CLASHING])
+        return df
+
+    return build

@@ -1,0 +1,78 @@
+import hashlib
+import random
+
+import pytest
+from .llm_cases import ODD, word_list
+from ordermart.llm import contamination as c
+
+
+def phrases(words, n):
+    n = min(n, len(words))
+    return [tuple(words[k : k + n]) for k in range(len(words) - n + 1)] if words else []
+
+
+def brute(docs, items, window):
+    out = []
+    for i, text in docs:
+        words, hit, found = word_list(text), set(), set()
+        for item_id, item in items:
+            for phrase in phrases(word_list(item), window):
+                for k in range(len(words) - len(phrase) + 1):
+                    if tuple(words[k : k + len(phrase)]) == phrase:
+                        hit.update(range(k, k + len(phrase)))
+                        found.add((item_id, item or ""))
+        ids = sorted({str(k) for k, _ in found if k is not None})
+        digest = hashlib.sha256(",".join(ids).encode()).hexdigest()
+        out.append((i, len(words), len(hit), len(found), digest, bool(hit)))
+    return sorted(out, key=str)
+
+
+def cases(seed):
+    random.seed(seed)
+    vocabulary = [f"w{k}" for k in range(6)] + ["Übung", "12", "IT"]
+    make = lambda n: " ".join(random.choices(vocabulary, k=n))
+    items = [(k if k % 4 else None, make(random.randint(0, 9))) for k in range(8)] + [(3, "w1"), (3, "w1"), (9, None)]
+    docs = [(k, make(random.randint(0, 40))) for k in range(30)]
+    docs += [(k + 50, f"{make(5)}. {items[k][1]}! {make(3)}") for k in range(8)]
+    return docs + ODD, items
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("window", [3, 5])
+def test_against_brute_force(spark, documents, seed, window):
+    docs, items = cases(seed)
+    bench = spark.createDataFrame(items, "item_id long, text string").selectExpr("*", "item_id AS item", "text AS terms")
+    got = [tuple(r) for r in c.contamination(documents(*docs), bench, window).collect()]
+    assert sorted(got, key=str) == brute(docs, items, window)
+
+
+def test_several_benchmark_blocks(spark, documents, monkeypatch):
+    monkeypatch.setattr(c, "BLOCK_TOKENS", 10)
+    docs, items = cases(3)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = [tuple(r) for r in c.contamination(documents(*docs), bench, 4).collect()]
+    assert sorted(got, key=str) == brute(docs, items, 4)
+
+
+def test_proximity(spark, documents):
+    bench = spark.createDataFrame([(1, "a b c d")], "item_id long, text string")
+    docs = documents((1, "a b c d"), (2, "a x b c y d"), (3, "a x x x b c d"), (4, "d c b a"), (5, "a b c"))
+    near = {r.doc_id: r.n_hit for r in c.contamination(docs, bench, window=4, slop=2).collect()}
+    assert near == {1: 4, 2: 4, 3: 0, 4: 0, 5: 0}
+    exact = {r.doc_id: r.n_hit for r in c.contamination(docs, bench, window=4).collect()}
+    assert exact == {1: 4, 2: 0, 3: 0, 4: 0, 5: 0}
+
+
+def test_empty_tables(spark, documents):
+    bench = spark.createDataFrame([(1, "a b")], "item_id long, text string")
+    docs = documents((1, "a b"), (2, None))
+    assert c.contamination(docs.where("false"), bench).collect() == []
+    assert [r.contaminated for r in c.contamination(docs, bench.where("false")).collect()] == [False, False]
+
+
+def test_drop_keeps_columns_and_clean_rows(spark, documents):
+    bench = spark.createDataFrame([(1, "a b c")], "item_id long, text string")
+    docs = documents((1, "x a b c y"), (2, "a b"), (None, None), (3, ""), (2, "a b"))
+    kept = c.drop_contaminated(docs, bench)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id or 0, r.text or "") for r in kept.collect()) == [(0, ""), (2, "a b"), (2, "a b"), (3, "")]

@@ -1,0 +1,61 @@
+from collections import defaultdict
+
+import numpy as np
+from .llm_cases import ODD, word_list
+from ordermart.llm.packing import best_fit, pack_documents
+
+
+def brute(sizes, lengths, cost):
+    """The same rules with plain lists."""
+    bins, out, left = [], {}, sum(sizes)
+    for k in sorted(range(len(sizes)), key=lambda k: (-sizes[k], k)):
+        fitting = [(b["room"] - sizes[k], -b["touched"], b) for b in bins if b["room"] >= sizes[k]]
+        if fitting:
+            best = min(fitting, key=lambda f: f[:2])[2]
+        else:
+            room = min((x for x in lengths if x >= sizes[k]), key=lambda x: (cost(x) / min(x, left), x))
+            best = {"room": room, "number": len(bins), "used": 0}
+            bins.append(best)
+        out[k] = best["number"], best["used"]
+        best["room"] -= sizes[k]
+        best["used"] += sizes[k]
+        best["touched"] = len(out)
+        left -= sizes[k]
+    return out, [min(x for x in lengths if x >= b["used"]) for b in bins]
+
+
+def test_best_fit_follows_its_rules():
+    rng = np.random.default_rng(1)
+    for cost in (lambda x: x + 64, lambda x: x + x * x / 900):
+        sizes = rng.integers(1, 65, 400).tolist()
+        where, offset, final, filled = best_fit(sizes, (16, 32, 64), cost)
+        placed, lengths = brute(sizes, (16, 32, 64), cost)
+        assert [(w, o) for w, o in zip(where, offset)] == [placed[k] for k in range(400)]
+        assert final.tolist() == lengths
+        assert (filled <= final).all() and filled.sum() == sum(sizes)
+
+
+def test_pieces_fill_bins_without_overlap(documents):
+    rows = [(i, "word " * (i * 7 % 300)) for i in range(400)] + ODD
+    lengths = (32, 64, 128)
+    got = pack_documents(documents(*rows), lengths).collect()
+    tokens = defaultdict(int)
+    for i, t in rows:
+        tokens[i] += len(word_list(t)) + 1
+    found, bins = defaultdict(int), defaultdict(list)
+    for r in got:
+        found[r.doc_id] += r.n_tokens
+        bins[r.bin_id].append(r)
+        assert r.token_start == r.piece * 128 and 1 <= r.n_tokens <= 128
+    assert found == tokens
+    for members in bins.values():
+        at = 0
+        for r in sorted(members, key=lambda r: r.bin_offset):
+            assert r.bin_offset == at
+            at += r.n_tokens
+        assert {r.bin_used for r in members} == {at}
+        assert {r.bin_length for r in members} == {min(x for x in lengths if x >= at)}
+
+
+def test_empty_table(documents):
+    assert pack_documents(documents((1, "a")).where("false")).collect() == []

@@ -1,0 +1,118 @@
+import random
+import re
+from collections import defaultdict
+
+import pytest
+from .llm_cases import ODD, WORD, lower
+from ordermart.llm import spans as s
+
+
+def sentences(text, longest):
+    """Words and byte-free start of every sentence."""
+    low = lower(text)
+    found = list(WORD.finditer(low))
+    out = []
+    for k, m in enumerate(found):
+        between = text[found[k - 1].end() : m.start()] if k else ""
+        if not k or re.search(r"[.!?](?=[\t\n\x0b\x0c\r ])|[\n\r]", between) or len(out[-1][0]) == longest:
+            out.append(([], m.start()))
+        out[-1][0].append(m.group())
+    return out
+
+
+def all_spans(units, least, least_words):
+    found = set()
+    size = [len(u[0]) for u in units]
+    for a in range(len(units)):
+        for b in range(a + least - 1, len(units)):
+            if sum(size[a : b + 1]) >= least_words:
+                found.add((a, b))
+                break
+    for b in range(len(units)):
+        for a in range(b - least + 1, -1, -1):
+            if sum(size[a : b + 1]) >= least_words:
+                found.add((a, b))
+                break
+    return found
+
+
+def brute(rows, least=s.LEAST, least_words=s.LEAST_WORDS):
+    order = sorted(range(len(rows)), key=lambda k: (rows[k][0] is None, rows[k][0] or 0))
+    seen, out = set(), []
+    for k in order:
+        text = rows[k][1] or ""
+        units = sentences(text, s.LONGEST)
+        gone = set()
+        for a, b in sorted(all_spans(units, least, least_words)):
+            key = tuple(w for u in units[a : b + 1] for w in u[0])
+            if key in seen:
+                gone.update(range(a, b + 1))
+            seen.add(key)
+        cuts = [0, *[u[1] for u in units[1:]], len(text)]
+        kept = "".join(text[cuts[n] : cuts[n + 1]] for n in range(len(units)) if n not in gone) if units else text
+        out.append((rows[k][0], kept, len(units), len(gone)))
+    return sorted(out, key=str)
+
+
+def passages(seed):
+    random.seed(seed)
+    vocabulary = [f"w{k}" for k in range(300)] + ["Über", "3.5"]
+
+    def prose(n):
+        words, out = random.choices(vocabulary, k=n), ""
+        for w in words:
+            out += w + random.choice([" "] * 6 + [". ", "! ", ".\n", ", "])
+        return out.strip()
+
+    shared = [prose(random.randint(10, 90)) + "." for _ in range(6)]
+    rows = []
+    for k in range(40):
+        parts = [prose(random.randint(0, 50)) + "."] + random.sample(shared, random.randint(0, 2)) + [prose(20)]
+        rows.append((k + 10, "\n".join(parts)))
+    rows.append((99, rows[3][1]))
+    return rows
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_against_brute_force(documents, seed):
+    rows = passages(seed) + [r for r in ODD if (r[1] or "")[:4] != "long"]
+    got = s.cut_repeated_spans(documents(*rows).select("doc_id", "text"))
+    got = got.collect()
+    assert sorted(((r[0], r[1] or "", r[2], r[3]) for r in got), key=str) == brute(rows)
+
+
+def test_passages_of_over_fifty_words_stay_once(documents):
+    random.seed(5)
+    prose = lambda n: ". ".join(
+        " ".join(f"{random.choice('abcdefgh')}{random.randrange(9999)}" for _ in range(7)) for _ in range(n // 7)
+    )
+    passage = prose(56)
+    one = " ".join(f"s{random.randrange(9999)}" for _ in range(60))
+    rows = [(k, f"{prose(70)}.\n{passage}.\n{prose(70)}.\n{one}.\n{prose(21)}.") for k in range(20)]
+    got = {r.doc_id: r for r in s.cut_repeated_spans(documents(*rows)).collect()}
+    assert got[0].text == rows[0][1]
+    for k in range(1, 20):
+        assert passage[:40] not in got[k].text and passage[-40:] not in got[k].text
+        assert one[:30] not in got[k].text and one[-30:] not in got[k].text
+        assert got[k].text.count("\n") == 2 and len(got[k].text.split()) == len(rows[k][1].split()) - 116
+
+
+def test_rows_equal_in_id_and_text(documents):
+    text = "one two three four five six seven eight nine ten. " * 2 + "eleven twelve. Last one " + "x " * 20
+    rows = [(1, text), (1, text), (2, "other")]
+    got = sorted(s.cut_repeated_spans(documents(*rows)).collect(), key=lambda r: (r.doc_id, -len(r.text)))
+    assert (got[0].text, got[1].text, got[2].text) == (got[0].text, "", "other") and len(got[0].text) > 0
+    kept = s.deduplicate_substrings(documents(*rows))
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 2]
+
+
+def test_stage_keeps_columns_and_wordless_rows(documents):
+    docs = documents(*ODD)
+    kept = s.deduplicate_substrings(docs)
+    assert kept.columns == docs.columns and dict(kept.dtypes) == dict(docs.dtypes)
+    found = defaultdict(int)
+    for r in kept.collect():
+        found[r.doc_id] += 1
+        assert r.n_chars is None or r.n_chars == len(r.text)
+    assert found[None] == 3 and found[2] == 1 and found[4] == 2 and found[8] == 0
+    assert s.deduplicate_substrings(docs.where("false")).collect() == []
