@@ -39,20 +39,13 @@ JOIN {region} r ON n.n_regionkey = r.r_regionkey
 """
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give every core a part of an input that comes in fewer splits than there are cores.
-
-    A small file with one row group would leave the whole derivation to one task. Large
-    inputs have more splits than cores and are not shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def raw_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 16 business columns with run id, ingest time and source file."""
     tables = {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in TABLES}
-    tables["lineitem"] = spread(tables["lineitem"].select(*LINE_COLUMNS))
+    # A file of one row group would leave the derivation to one task. The first join's key
+    # is the one to deal by.
+    cores = spark.sparkContext.defaultParallelism
+    tables["lineitem"] = tables["lineitem"].select(*LINE_COLUMNS).repartition(cores, "l_orderkey")
     return spark.sql(BASE_SQL, **tables)
 
 

@@ -173,6 +173,55 @@ _STREAM_BATCHES = ",\n".join(
     for number, run in enumerate(["RUN_A", "RUN_B"])
 )
 
+# The job's own ingest times: one for each run, so ties within a run go by the row hash.
+_LANDED = RAW.replace("raw_orders AS (", "landed AS (") + """,
+raw_orders AS (SELECT * REPLACE (CASE WHEN _pipeline_run_id = 'RUN_A' THEN TIMESTAMP '2026-01-01'
+  ELSE TIMESTAMP '2026-01-02' END AS _ingested_at) FROM landed)"""
+JOB_STAGED = STAGED.replace(RAW, _LANDED)
+JOB_STAR = STAR.replace(RAW, _LANDED)
+
+SUMMARY = f"""days AS (SELECT DISTINCT order_date AS d FROM staged WHERE _is_valid),
+dim_date AS (SELECT {CALENDAR} FROM days)
+SELECT d.year, d.month, d.month_name, c.customer_name, c.region, p.category, f.status, {TOTALS}
+FROM fact f
+LEFT JOIN dim_date d ON f.date_key = d.date_key
+LEFT JOIN dim_customer c ON f.customer_sk = c.customer_sk
+LEFT JOIN dim_product p ON f.product_sk = p.product_sk
+GROUP BY 1, 2, 3, 4, 5, 6, 7"""
+
+# Each run by itself; of an order that came twice the second run's version stays.
+_DELIVERIES = ", ".join(
+    f"batch_{number} AS ("
+    + clean(
+        latest(f"(SELECT * REPLACE ('{run}' AS _pipeline_run_id) FROM raw_orders WHERE {where})", "order_id", "_row_hash"),
+        "lenient",
+    )
+    + ")"
+    for number, (run, where) in enumerate(
+        [("RUN_A", "_pipeline_run_id = 'RUN_A'"), ("RUN_B", "_pipeline_run_id = 'RUN_B' OR plant_code = 'pl1'")]
+    )
+)
+_MERGED = f"""SELECT {_PLAIN}, _is_valid FROM (
+  SELECT * FROM batch_0 a WHERE NOT EXISTS (SELECT 1 FROM batch_1 b WHERE b.order_id = a.order_id)
+  UNION ALL SELECT * FROM batch_1)"""
+_MODEL = f"WITH {RAW}, {_DELIVERIES} {_MERGED}"
+
+_TESTS = {
+    "raw_sales_orders.order_id not_null": "SELECT count(*) FROM raw_orders WHERE order_id IS NULL",
+    "raw_sales_orders.order_id unique": "SELECT count(*) FROM (SELECT 1 FROM raw_orders WHERE order_id IS NOT NULL GROUP BY order_id HAVING count(*) > 1)",
+    "raw_sales_orders.customer_id not_null": "SELECT count(*) FROM raw_orders WHERE customer_id IS NULL",
+    "raw_sales_orders.total_amount not_null": "SELECT count(*) FROM raw_orders WHERE total_amount IS NULL",
+    "raw_sales_orders._row_hash unique": "SELECT count(*) FROM (SELECT 1 FROM raw_orders GROUP BY _row_hash HAVING count(*) > 1)",
+    "stg_sales.order_id not_null": "SELECT count(*) FROM stored WHERE order_id IS NULL",
+    "stg_sales.order_id unique": "SELECT count(*) FROM (SELECT 1 FROM stored WHERE order_id IS NOT NULL GROUP BY order_id HAVING count(*) > 1)",
+    "stg_sales.order_date not_null": "SELECT count(*) FROM stored WHERE order_date IS NULL",
+    "stg_sales.status accepted_values": "SELECT count(*) FROM stored WHERE status NOT IN ('COMPLETED', 'PENDING', 'FAILED', 'CANCELLED')",
+    "dim_product_sales.product_id not_null": "SELECT count(*) FROM fact f JOIN dim_product p USING (product_sk) WHERE p.product_id IS NULL",
+    "fact_sales_orders.date_key references dim_date": "SELECT count(*) FROM fact WHERE date_key NOT IN (SELECT CAST(strftime(order_date, '%Y%m%d') AS INTEGER) FROM staged WHERE _is_valid)",
+    "fact_sales_orders.customer_sk references dim_customer": "SELECT count(*) FROM fact WHERE customer_sk NOT IN (SELECT customer_sk FROM dim_customer)",
+    "fact_sales_orders.product_sk references dim_product": "SELECT count(*) FROM fact WHERE product_sk NOT IN (SELECT product_sk FROM dim_product)",
+}
+
 ORACLE = {
     "staging_strict": f"WITH {STAGED} SELECT {PLAIN_STAGED} FROM staged",
     "staging_lenient": f"WITH {RAW} SELECT {PLAIN_STAGED} FROM ({clean(latest('raw_orders', 'order_id'), 'lenient')})",
@@ -224,15 +273,7 @@ SELECT *, '2026-01-01' AS _effective_from, TRUE AS _is_current FROM dim_customer
   FROM orders)""",
     "fact_orders": f"WITH {STAR} SELECT {PLAIN_FACT} FROM fact",
     "fact_second_run": f"WITH {STAR} SELECT {PLAIN_FACT} FROM fact_2",
-    "sales_summary": f"""WITH {STAR},
-days AS (SELECT DISTINCT order_date AS d FROM staged WHERE _is_valid),
-dim_date AS (SELECT {CALENDAR} FROM days)
-SELECT d.year, d.month, d.month_name, c.customer_name, c.region, p.category, f.status, {TOTALS}
-FROM fact f
-LEFT JOIN dim_date d ON f.date_key = d.date_key
-LEFT JOIN dim_customer c ON f.customer_sk = c.customer_sk
-LEFT JOIN dim_product p ON f.product_sk = p.product_sk
-GROUP BY 1, 2, 3, 4, 5, 6, 7""",
+    "sales_summary": f"WITH {STAR}, {SUMMARY}",
     "product_sales": f"""WITH {STAR}
 SELECT p.product_id, p.product_name, p.category, {TOTALS}
 FROM fact f JOIN dim_product p ON f.product_sk = p.product_sk GROUP BY 1, 2, 3""",
@@ -252,4 +293,17 @@ SELECT 'RUN_ALL' AS run_id, 'SALES_ETL_PIPELINE' AS pipeline_name, '2026-01-01 0
 SELECT {_PLAIN}, _is_valid FROM (
   SELECT * FROM batch_0 a WHERE NOT EXISTS (SELECT 1 FROM batch_1 b WHERE b.order_id = a.order_id)
   UNION ALL SELECT * FROM batch_1)""",
+    "stream_two_sources": f"""WITH {RAW}, {_STREAM_BATCHES.replace("landing_000001", "landing_000000")} {_MERGED}""",
+    "model_refresh": _MODEL,
+    "late_run": _MODEL,
+    "pipeline_run": f"WITH {JOB_STAR}, {SUMMARY}",
+    "pipeline_fact": f"""WITH {JOB_STAR} SELECT {PLAIN_FACT.replace(", '2026-01-01 00:00:00' AS _loaded_at", "")} FROM fact""",
+    "run_metadata": f"""WITH {JOB_STAGED}
+SELECT r._pipeline_run_id, 'SALES_ETL_PIPELINE' AS pipeline_name, 'SUCCESS' AS status, count(*) AS rows_ingested,
+  count(*) FILTER (WHERE order_id IS NOT NULL AND product_id IS NOT NULL) AS rows_transformed, '' AS error_message,
+  'SUCCESS' AS fact_step, count(*) AS raw_rows, any_value(s.n) AS staged_rows
+FROM raw_orders r JOIN (SELECT _pipeline_run_id, count(*) AS n FROM staged GROUP BY 1) s USING (_pipeline_run_id)
+GROUP BY r._pipeline_run_id""",
+    "declared_tests": f"""WITH {JOB_STAR}, stored AS ({clean(latest('raw_orders', 'order_id'), 'lenient')})
+{" UNION ALL ".join(f"SELECT '{name}' AS test, ({sql}) AS failing" for name, sql in _TESTS.items())}""",
 }

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +29,9 @@ from ordermart.operators.staging import (
     stage_latest,
     stage_runs,
 )
+from ordermart.plans.batch import run_full_pipeline
+from ordermart.plans.ingestion import load_raw, prepare
+from ordermart.plans.models import count_failures, refresh_product_sales, refresh_stg_sales
 from ordermart.plans.runlog import run_log_row
 from ordermart.schemas import (
     BUSINESS_COLUMNS,
@@ -40,6 +43,7 @@ from ordermart.schemas import (
     Layers,
 )
 from ordermart.session import freeze, scratch_path
+from ordermart.sinks.tables import setup_raw
 from ordermart.sources.landing import read_landing
 from ordermart.streaming.landing import run_landing_stream
 
@@ -258,16 +262,112 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_landing(spark, path)
 
 
+def _own_layers(spark: SparkSession) -> Layers:
+    """Layers nobody else uses, in a folder of their own."""
+    tag = uuid.uuid4().hex
+    return Layers(*[f"{name}_{tag}" for name in ("raw", "staging", "dwh", "metrics")], root=scratch_path(spark, "job"))
+
+
+def _stored_orders(spark: SparkSession, layers: Layers) -> DataFrame:
+    """``stg_sales`` without times; the id of a stream is left out of its run ids."""
+    rows = plain(spark.table(layers.stg_sales).drop("_ingested_at", "_transformed_at", "_order_month"))
+    return rows.withColumn("_pipeline_run_id", F.regexp_replace("_pipeline_run_id", "_[0-9a-f]{32}_", "_"))
+
+
 def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two deliveries through the landing stream, one start each."""
     raw = freeze(raw_base(spark, sf_dir), "raw")
-    root = scratch_path(spark, "stream")
-    tag = uuid.uuid4().hex
-    layers = Layers(raw=f"raw_{tag}", staging=f"staging_{tag}", root=root)
+    layers = _own_layers(spark)
+    for run_id in RUNS:
+        _write_landing(of_run(raw, run_id), f"{layers.root}/landing")
+        run_landing_stream(spark, f"{layers.root}/landing", f"{layers.root}/progress", layers)
+    return _stored_orders(spark, layers)
+
+
+def stream_two_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two folders with a checkpoint each, by streams of the same name."""
+    raw = freeze(raw_base(spark, sf_dir), "raw")
+    layers = _own_layers(spark)
+    for run_id in RUNS:
+        _write_landing(of_run(raw, run_id), f"{layers.root}/{run_id}")
+        run_landing_stream(spark, f"{layers.root}/{run_id}", f"{layers.root}/progress-{run_id}", layers)
+    return _stored_orders(spark, layers)
+
+
+def _land_deliveries(spark: SparkSession, sf_dir: str, layers: Layers) -> dict[str, str]:
+    """A landing folder for each run; the second delivers one plant of the first again."""
+    raw = freeze(raw_base(spark, sf_dir), "raw")
+    again = (F.col("_pipeline_run_id") == RUNS[0]) & (F.col("plant_code") == "pl1")
+    parts = {RUNS[0]: of_run(raw, RUNS[0]), RUNS[1]: raw.where((F.col("_pipeline_run_id") == RUNS[1]) | again)}
+    for run_id, rows in parts.items():
+        _write_landing(rows, f"{layers.root}/{run_id}")
+    return {run_id: f"{layers.root}/{run_id}" for run_id in RUNS}
+
+
+def _refresh_in_order(spark: SparkSession, sf_dir: str, order: list[str]) -> DataFrame:
+    """Load and refresh run by run; RUN_B was ingested a day after RUN_A whenever it is loaded."""
+    layers = _own_layers(spark)
+    folders = _land_deliveries(spark, sf_dir, layers)
+    setup_raw(spark, layers)
+    for run_id in order:
+        load_raw(prepare(spark, folders[run_id], run_id, AT + timedelta(days=RUNS.index(run_id))), layers)
+        refresh_stg_sales(spark, AT, layers)
+    return _stored_orders(spark, layers)
+
+
+def model_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _refresh_in_order(spark, sf_dir, RUNS)
+
+
+def late_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The older run arrives after the newer one has been refreshed."""
+    return _refresh_in_order(spark, sf_dir, RUNS[::-1])
+
+
+def _run_job(spark: SparkSession, sf_dir: str) -> Layers:
+    layers = _own_layers(spark)
+    raw = freeze(raw_base(spark, sf_dir), "raw")
     for run_id in RUNS:
-        _write_landing(of_run(raw, run_id), f"{root}/landing")
-        run_landing_stream(spark, f"{root}/landing", f"{root}/progress", layers)
-    return plain(spark.table(layers.stg_sales).drop("_ingested_at", "_transformed_at", "_order_month"))
+        _write_landing(of_run(raw, run_id), f"{layers.root}/{run_id}")
+        run_full_pipeline(spark, f"{layers.root}/{run_id}", run_id, layers)
+    return layers
+
+
+def pipeline_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored summary after the whole job has run for both deliveries."""
+    return plain(spark.table(_run_job(spark, sf_dir).sales_summary))
+
+
+def pipeline_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plain(spark.table(_run_job(spark, sf_dir).fact_sales_orders).drop("_loaded_at"))
+
+
+def run_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log rows of both runs, with the rows their steps left in raw and staging."""
+    layers = _run_job(spark, sf_dir)
+    step = F.variant_get("metadata_json", "$.steps.staging_to_fact", "string")
+    rows = spark.table(layers.pipeline_run_log).select(
+        F.col("run_id").alias("_pipeline_run_id"),
+        "pipeline_name",
+        "status",
+        "rows_ingested",
+        "rows_transformed",
+        "error_message",
+        step.alias("fact_step"),
+    )
+    for table, name in ((layers.raw_sales_orders, "raw_rows"), (layers.stg_sales_orders, "staged_rows")):
+        counts = spark.table(table).groupBy("_pipeline_run_id").agg(F.count(F.lit(1)).alias(name))
+        rows = rows.join(counts, "_pipeline_run_id")
+    return rows
+
+
+def fact_references(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number of failing rows of every declared test, after the job and the models."""
+    layers = _run_job(spark, sf_dir)
+    refresh_stg_sales(spark, AT, layers)
+    refresh_product_sales(spark, layers)
+    found = count_failures(spark, layers)
+    return spark.createDataFrame(list(found.items()), "test string, failing long")
 
 
 QUERIES = {
@@ -297,4 +397,11 @@ QUERIES = {
     "run_log": run_log,
     "csv_roundtrip": csv_roundtrip,
     "stream_landing": stream_landing,
+    "stream_two_sources": stream_two_sources,
+    "model_refresh": model_refresh,
+    "late_run": late_run,
+    "pipeline_run": pipeline_run,
+    "pipeline_fact": pipeline_fact,
+    "run_metadata": run_metadata,
+    "declared_tests": fact_references,
 }

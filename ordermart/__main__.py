@@ -6,9 +6,10 @@ import argparse
 import json
 import logging
 
+from ordermart.functions.columns import DATE_FORMATS
 from ordermart.plans.batch import run_full_pipeline
 from ordermart.plans.ingestion import run_ingestion
-from ordermart.plans.models import declared_tests, refresh_product_sales, refresh_stg_sales
+from ordermart.plans.models import count_failures, refresh_product_sales, refresh_stg_sales
 from ordermart.plans.runlog import utc_now
 from ordermart.plans.transformation import run_transformations
 from ordermart.schemas import Layers
@@ -19,7 +20,9 @@ from ordermart.streaming.landing import run_landing_stream
 
 def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="ordermart", description=__doc__)
-    parser.add_argument("--root", help="folder for new databases, else the session's warehouse")
+    parser.add_argument("--root", help="folder of the databases, else the session's warehouse")
+    parser.add_argument("--multi-line", action="store_true", help="line breaks inside quotes belong to the text")
+    parser.add_argument("--date-format", action="append", help="pattern of order dates; may be given again")
     commands = parser.add_subparsers(dest="command", required=True)
     for name, text in [("run", "whole job for a set of files"), ("ingest", "files to the raw layer")]:
         command = commands.add_parser(name, help=text)
@@ -32,6 +35,7 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     stream = commands.add_parser("stream", help="load the files that arrived since the last call")
     stream.add_argument("directory")
     stream.add_argument("checkpoint")
+    stream.add_argument("--name", default="landing", help="first part of the run ids")
     return parser.parse_args(arguments)
 
 
@@ -40,20 +44,22 @@ def main(arguments: list[str] | None = None) -> dict:
     logging.basicConfig(level=logging.INFO)
     spark = build_session()
     layers = Layers(root=options.root)
+    formats = {"date_formats": options.date_format or DATE_FORMATS}
+    reading = {"multi_line": options.multi_line, **formats}
     if options.command == "run":
-        result = run_full_pipeline(spark, options.source, options.run_id, layers)
+        result = run_full_pipeline(spark, options.source, options.run_id, layers, **reading)
     elif options.command == "ingest":
-        result = run_ingestion(spark, options.source, options.run_id, layers)
+        result = run_ingestion(spark, options.source, options.run_id, layers, **reading)
     elif options.command == "transform":
         result = run_transformations(
-            spark, options.run_id, layers=layers, dimensions_from=options.dimensions_from
+            spark, options.run_id, layers=layers, dimensions_from=options.dimensions_from, **formats
         )
     elif options.command == "models":
-        refresh_stg_sales(spark, utc_now(), layers)
+        refresh_stg_sales(spark, utc_now(), layers, **formats)
         refresh_product_sales(spark, layers)
-        result = {name: failing.count() for name, failing in declared_tests(spark, layers).items()}
+        result = count_failures(spark, layers)
     else:
-        run_landing_stream(spark, options.directory, options.checkpoint, layers)
+        run_landing_stream(spark, options.directory, options.checkpoint, layers, name=options.name, **reading)
         result = {"status": "SUCCESS"}
     print(json.dumps(result, default=str, indent=2))
     return result

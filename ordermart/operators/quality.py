@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row
@@ -42,7 +43,7 @@ def _amount_mismatch() -> Column:
     return judged & F.coalesce(gap > F.lit(TOLERANCE).cast("decimal(3,2)"), F.lit(True))
 
 
-def row_counts(df: DataFrame) -> list[Column]:
+def row_counts(df: DataFrame, date_formats: Sequence[str] = DATE_FORMATS) -> list[Column]:
     """Total rows and the nine counts that need no grouping, for ``agg`` or ``observe``.
 
     A row is empty when every business column is NULL; ingest columns never are and do not
@@ -58,7 +59,7 @@ def row_counts(df: DataFrame) -> list[Column]:
         "status_code": ~in_values(F.upper("status"), STATUSES),
         "currency_code": ~in_values(F.upper("currency"), CURRENCIES),
         "amount_mismatch": _amount_mismatch(),
-        "date_unparseable": strict_date(F.col("order_date"), DATE_FORMATS).isNull(),
+        "date_unparseable": strict_date(F.col("order_date"), date_formats).isNull(),
     }
     return [
         F.count(F.lit(1)).alias("total_rows"),
@@ -105,13 +106,18 @@ def _as_report(counts: DataFrame, run_id: str, table_name: str) -> DataFrame:
     )
 
 
-def run_checks(df: DataFrame, run_id: str, table_name: str = "RAW_SALES_ORDERS") -> DataFrame:
+def run_checks(
+    df: DataFrame,
+    run_id: str,
+    table_name: str = "RAW_SALES_ORDERS",
+    date_formats: Sequence[str] = DATE_FORMATS,
+) -> DataFrame:
     """Report of all checks, one row each.
 
     Nine counts come from one pass; the repeated order ids need a grouping, which reads
     that one column and combines equal ids before the shuffle.
     """
-    single_pass = _as_report(df.agg(*row_counts(df)), run_id, table_name)
+    single_pass = _as_report(df.agg(*row_counts(df, date_formats)), run_id, table_name)
     repeats = _as_report(repeat_counts(df, "order_id", REPEATS), run_id, table_name)
     return single_pass.unionByName(repeats)
 

@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ordermart.functions.columns import DATE_FORMATS
 from ordermart.operators.cleaning import clean_orders
 from ordermart.operators.latest import latest_ingest, latest_per_key
 
@@ -18,7 +19,11 @@ def of_run(df: DataFrame, run_id: str) -> DataFrame:
 
 
 def _latest_cleaned(
-    raw: DataFrame, keys: Sequence[str], transformed_at: datetime, rule: str
+    raw: DataFrame,
+    keys: Sequence[str],
+    transformed_at: datetime,
+    rule: str,
+    date_formats: Sequence[str],
 ) -> DataFrame:
     """Clean, then keep the latest row per key.
 
@@ -26,21 +31,30 @@ def _latest_cleaned(
     the result; done first, it runs once, on the map side, and the shuffle carries typed
     values. The row hash rides along to settle ties.
     """
-    cleaned = clean_orders(raw, transformed_at, rule, keep=["_row_hash"])
+    cleaned = clean_orders(raw, transformed_at, rule, date_formats, keep=["_row_hash"])
     return latest_per_key(cleaned, keys, latest_ingest()).drop("_row_hash")
 
 
 def stage_runs(
-    raw: DataFrame, transformed_at: datetime, run_id: str | None = None, rule: str = "strict"
+    raw: DataFrame,
+    transformed_at: datetime,
+    run_id: str | None = None,
+    rule: str = "strict",
+    date_formats: Sequence[str] = DATE_FORMATS,
 ) -> DataFrame:
     """Latest row per order within each run, cleaned and flagged; one run, or all of them."""
     rows = raw if run_id is None else of_run(raw, run_id)
-    return _latest_cleaned(rows, ["_pipeline_run_id", "order_id"], transformed_at, rule)
+    return _latest_cleaned(rows, ["_pipeline_run_id", "order_id"], transformed_at, rule, date_formats)
 
 
-def stage_latest(raw: DataFrame, transformed_at: datetime, rule: str = "lenient") -> DataFrame:
+def stage_latest(
+    raw: DataFrame,
+    transformed_at: datetime,
+    rule: str = "lenient",
+    date_formats: Sequence[str] = DATE_FORMATS,
+) -> DataFrame:
     """Latest row per order over all given rows, cleaned and flagged."""
-    return _latest_cleaned(raw, ["order_id"], transformed_at, rule)
+    return _latest_cleaned(raw, ["order_id"], transformed_at, rule, date_formats)
 
 
 def high_watermark(target: DataFrame) -> datetime | None:

@@ -114,6 +114,12 @@ STAGING = _schema(
     }
 )
 
+# Runs whose rows have reached ``stg_sales``.
+LOADED_RUNS = _schema({"_pipeline_run_id": STRING, "_loaded_at": TIMESTAMP})
+
+# Order ids in the fact, kept apart so that a load need not read the fact.
+ORDER_IDS = _schema({"order_id": STRING})
+
 DIM_CUSTOMER = _schema(
     {
         "customer_sk": LongType(),
@@ -230,7 +236,9 @@ class Layers:
     """Names of the four layer databases and of the tables in them.
 
     ``root`` is the folder new databases are created in; without it they go to the
-    session's warehouse.
+    session's warehouse. ``order_buckets`` is the number of buckets the order ids of the
+    fact are kept in; it is fixed when the table is first made, so choose it for the size
+    the fact will have.
     """
 
     raw: str = "raw"
@@ -238,6 +246,7 @@ class Layers:
     dwh: str = "dwh"
     metrics: str = "metrics"
     root: str | None = None
+    order_buckets: int = 16
 
     @property
     def raw_sales_orders(self) -> str:
@@ -253,6 +262,11 @@ class Layers:
         """Upserted by order; the latest version of an order wins."""
         return f"{self.staging}.stg_sales"
 
+    @property
+    def stg_sales_runs(self) -> str:
+        """Runs that ``stg_sales`` holds; written after their rows."""
+        return f"{self.staging}.stg_sales_runs"
+
     @property
     def dim_customer(self) -> str:
         return f"{self.dwh}.dim_customer"
@@ -269,6 +283,10 @@ class Layers:
     def fact_sales_orders(self) -> str:
         return f"{self.dwh}.fact_sales_orders"
 
+    @property
+    def fact_order_ids(self) -> str:
+        return f"{self.dwh}.fact_order_ids"
+
     @property
     def sales_summary(self) -> str:
         return f"{self.dwh}.sales_summary"

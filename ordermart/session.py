@@ -76,10 +76,31 @@ def _stored(df: DataFrame, path: str) -> DataFrame:
 @contextmanager
 def frozen(df: DataFrame, name: str) -> Iterator[DataFrame]:
     """``freeze`` for the length of a ``with`` block; the files are removed behind it."""
-    context = df.sparkSession.sparkContext
     folder = scratch_path(df.sparkSession, name)
     try:
         yield _stored(df, folder)
     finally:
-        path = context._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+        remove_folder(df.sparkSession, folder)
+
+
+def _files(spark: SparkSession, folder: str) -> tuple:
+    """File system of a folder, and the folder as its path."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(context._jsc.hadoopConfiguration()), path
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    files, path = _files(spark, folder)
+    files.delete(path, True)
+
+
+def folder_exists(spark: SparkSession, folder: str) -> bool:
+    files, path = _files(spark, folder)
+    return files.exists(path)
+
+
+def full_path(spark: SparkSession, folder: str) -> str:
+    """The folder with its file system and without relative parts."""
+    files, path = _files(spark, folder)
+    return files.makeQualified(path).toString()

@@ -4,17 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from datetime import datetime
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from ordermart.operators.latest import latest_per_key
 from ordermart.schemas import (
     DIM_CUSTOMER,
     DIM_DATE,
     DIM_PRODUCT,
     DQ_REPORT,
     FACT,
+    LOADED_RUNS,
+    ORDER_IDS,
     PRODUCT_SALES,
     RAW,
     RUN_LOG,
@@ -22,7 +27,7 @@ from ordermart.schemas import (
     STAGING,
     Layers,
 )
-from ordermart.session import frozen
+from ordermart.session import folder_exists, frozen, full_path, remove_folder
 
 RUN = "_pipeline_run_id"
 MONTH = "_order_month"
@@ -31,45 +36,78 @@ NO_MONTH = "none"
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
+def database_path(spark: SparkSession, name: str, root: str | None) -> str:
+    if root:
+        return f"{full_path(spark, root)}/{name}"
+    return f"{full_path(spark, spark.conf.get('spark.sql.warehouse.dir'))}/{name}.db"
+
+
 def ensure_database(spark: SparkSession, name: str, root: str | None = None) -> None:
-    location = f" LOCATION '{root}/{name}'" if root else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{location}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{database_path(spark, name, root)}'")
 
 
 def ensure_table(
-    spark: SparkSession, table: str, schema: StructType, partition_by: Sequence[str] = ()
+    spark: SparkSession,
+    table: str,
+    schema: StructType,
+    partition_by: Sequence[str] = (),
+    root: str | None = None,
+    bucket_by: str | None = None,
+    buckets: int = 0,
 ) -> None:
+    """Declare a table at its folder; what an earlier process left there belongs to it."""
+    if spark.catalog.tableExists(table):
+        return
+    database, name = table.split(".")
+    folder = f"{database_path(spark, database, root)}/{name}"
+    held = folder_exists(spark, folder)
     columns = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in schema)
     partitions = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet{partitions}")
+    clusters = f" CLUSTERED BY (`{bucket_by}`) INTO {buckets} BUCKETS" if bucket_by else ""
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet{partitions}{clusters} LOCATION '{folder}'"
+    )
+    if partition_by and held:
+        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
 
 
 def setup_raw(spark: SparkSession, layers: Layers) -> None:
     ensure_database(spark, layers.raw, layers.root)
-    ensure_table(spark, layers.raw_sales_orders, RAW, [RUN])
+    ensure_table(spark, layers.raw_sales_orders, RAW, [RUN], layers.root)
 
 
 def setup_staging(spark: SparkSession, layers: Layers) -> None:
     ensure_database(spark, layers.staging, layers.root)
-    ensure_table(spark, layers.stg_sales_orders, STAGING, [RUN])
+    ensure_table(spark, layers.stg_sales_orders, STAGING, [RUN], layers.root)
     by_month = StructType([*STAGING.fields, StructField(MONTH, StringType())])
-    ensure_table(spark, layers.stg_sales, by_month, [MONTH])
+    ensure_table(spark, layers.stg_sales, by_month, [MONTH], layers.root)
+    ensure_table(spark, layers.stg_sales_runs, LOADED_RUNS, (), layers.root)
 
 
 def setup_dwh(spark: SparkSession, layers: Layers) -> None:
     ensure_database(spark, layers.dwh, layers.root)
-    ensure_table(spark, layers.dim_customer, DIM_CUSTOMER)
-    ensure_table(spark, layers.dim_product, DIM_PRODUCT)
-    ensure_table(spark, layers.dim_date, DIM_DATE)
-    ensure_table(spark, layers.fact_sales_orders, FACT)
-    ensure_table(spark, layers.sales_summary, SALES_SUMMARY, ["year", "month"])
-    ensure_table(spark, layers.dim_product_sales, PRODUCT_SALES)
+    ensure_table(spark, layers.dim_customer, DIM_CUSTOMER, (), layers.root)
+    ensure_table(spark, layers.dim_product, DIM_PRODUCT, (), layers.root)
+    ensure_table(spark, layers.dim_date, DIM_DATE, (), layers.root)
+    ensure_table(spark, layers.fact_sales_orders, FACT, (), layers.root)
+    ensure_table(
+        spark, layers.fact_order_ids, ORDER_IDS, (), layers.root, bucket_by="order_id", buckets=layers.order_buckets
+    )
+    ensure_table(spark, layers.sales_summary, SALES_SUMMARY, ["year", "month"], layers.root)
+    ensure_table(spark, layers.dim_product_sales, PRODUCT_SALES, (), layers.root)
 
 
 def setup_metrics(spark: SparkSession, layers: Layers) -> None:
     ensure_database(spark, layers.metrics, layers.root)
-    ensure_table(spark, layers.dq_report, DQ_REPORT)
-    ensure_table(spark, layers.pipeline_run_log, RUN_LOG)
+    ensure_table(spark, layers.dq_report, DQ_REPORT, (), layers.root)
+    ensure_table(spark, layers.pipeline_run_log, RUN_LOG, (), layers.root)
+
+
+def partition_values(spark: SparkSession, table: str, column: str) -> list[str]:
+    """Values of a partition column, from the catalog alone."""
+    specs = (row.partition for row in spark.sql(f"SHOW PARTITIONS {table}").collect())
+    pairs = (part.split("=", 1) for spec in specs for part in spec.split("/"))
+    return sorted({unquote(value) for name, value in pairs if name == column})
 
 
 def row_count(spark: SparkSession, table: str) -> int:
@@ -125,44 +163,63 @@ def clustered(
 
 
 def with_order_month(df: DataFrame) -> DataFrame:
-    """Layout column of ``stg_sales``; rows without a date share one partition."""
-    month = F.coalesce(F.date_format("order_date", "yyyy-MM"), F.lit(NO_MONTH))
-    return df.withColumn(MONTH, month)
+    """Layout column of ``stg_sales``; rows without a date go by the month of their ingest."""
+    undated = F.concat_ws("-", F.lit(NO_MONTH), F.date_format("_ingested_at", "yyyy-MM"))
+    return df.withColumn(MONTH, F.coalesce(F.date_format("order_date", "yyyy-MM"), undated))
 
 
-def upsert_orders(batch: DataFrame, table: str, run_id: str | None = None) -> None:
-    """Replace orders of ``table`` by those of the batch and add the new ones.
+def upsert_orders(batch: DataFrame, table: str, runs: str | Sequence[str] = ()) -> None:
+    """Put the orders of a batch into ``table``; of two versions the later ingest stays.
 
-    Only months that hold an old or a new version of a batch order are rewritten. With
-    ``run_id``, rows an earlier attempt of the same run left behind are replaced as well,
-    also those without an order id, so a retry gives the same table.
+    Only months that hold an old or a new version of a batch order are rewritten. ``runs``
+    are the runs the batch holds in full: what an earlier attempt left of them is replaced,
+    also rows without an order id, so an attempt that stopped halfway is put right by the
+    next one.
     """
     with frozen(with_order_month(batch), "upsert") as stored:
-        _replace_months(stored, table, run_id)
+        _merge_months(stored, table, [runs] if isinstance(runs, str) else list(runs))
 
 
-def _replace_months(batch: DataFrame, table: str, run_id: str | None) -> None:
+def _merge_months(batch: DataFrame, table: str, runs: list[str]) -> None:
     spark = batch.sparkSession
-    keys = batch.select("order_id")
     target = spark.table(table)
-    replaced = target.join(keys, "order_id", "left_semi").select(MONTH)
-    if run_id is not None:
-        replaced = replaced.unionByName(target.where(F.col(RUN) == F.lit(run_id)).select(MONTH))
-
+    keys = batch.where("order_id IS NOT NULL").select("order_id").distinct()
+    of_runs = F.coalesce(F.col(RUN).isin(runs), F.lit(False)) if runs else F.lit(False)
     # Months are bounded by the calendar, so their names may come to the driver.
+    old = target.join(keys, "order_id", "left_semi").select(MONTH)
+    left_behind = target.where(of_runs).select(MONTH)
+    old_months = {row[0] for row in old.unionByName(left_behind).distinct().collect()}
     new_months = {row[0] for row in batch.select(MONTH).distinct().collect()}
-    old_months = {row[0] for row in replaced.distinct().collect()}
-    touched = sorted(new_months | old_months)
-
-    kept = target.where(F.col(MONTH).isin(touched)).join(keys, "order_id", "left_anti")
-    if run_id is not None:
-        kept = kept.where(~F.col(RUN).eqNullSafe(F.lit(run_id)))
-    merged = kept.unionByName(batch)
-    # Months that lose their last row do not occur in the result and must be dropped.
-    left = old_months - new_months
-    if left:
-        still_held = kept.where(F.col(MONTH).isin(sorted(left))).select(MONTH).distinct()
-        left -= {row[0] for row in still_held.collect()}
-    overwrite_partitions(clustered(merged, ["order_date", "region"], "order_id", [MONTH]), table)
-    for month in sorted(left):
+    touched = sorted(old_months | new_months)
+    if not touched:
+        return
+    # What the touched months hold is stored once and read for all that follows.
+    held = target.where(F.col(MONTH).isin(touched) & ~of_runs).select(*batch.columns)
+    with frozen(held, "touched") as held:
+        untouched = held.join(keys, "order_id", "left_anti")
+        versions = (
+            held.join(keys, "order_id", "left_semi")
+            .withColumn("_newer", F.lit(0))
+            .unionByName(batch.where("order_id IS NOT NULL").withColumn("_newer", F.lit(1)))
+        )
+        order = [F.col("_ingested_at").desc_nulls_last(), F.col("_newer").desc()]
+        latest = latest_per_key(versions, ["order_id"], order).drop("_newer")
+        merged = untouched.unionByName(latest).unionByName(batch.where("order_id IS NULL"))
+        with frozen(merged, "merged") as merged:
+            overwrite_partitions(clustered(merged, ["order_date", "region"], "order_id", [MONTH]), table)
+            # Months that lose their last row do not occur in the result and must be dropped.
+            kept = {row[0] for row in merged.select(MONTH).distinct().collect()}
+    for month in sorted(old_months - kept):
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({MONTH} = '{month}')")
+        # The folder of a partition at a fixed location stays behind a dropped partition.
+        remove_folder(spark, f"{table_path(spark, table)}/{MONTH}={month}")
+
+
+def table_path(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'").collect()
+    return rows[0].data_type
+
+
+def record_loaded_runs(spark: SparkSession, run_ids: Sequence[str], at: datetime, layers: Layers) -> None:
+    rows = spark.createDataFrame([(run_id, at) for run_id in run_ids], LOADED_RUNS)
+    append_table(rows.coalesce(1), layers.stg_sales_runs)

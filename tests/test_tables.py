@@ -113,7 +113,7 @@ def test_upsert_replaces_and_adds_and_follows_a_changed_date(spark, layers, raw,
         {"order_id": "D", "order_date": "bad_date", "status": "PENDING"},
     )
     upsert_orders(stage_latest(second, AT), layers.stg_sales)
-    expected = [("A", "FAILED", "2024-02"), ("B", "COMPLETED", "2024-02"), ("C", "COMPLETED", "2024-03"), ("D", "PENDING", "none")]
+    expected = [("A", "FAILED", "2024-02"), ("B", "COMPLETED", "2024-02"), ("C", "COMPLETED", "2024-03"), ("D", "PENDING", "none-2024-02")]
     assert stg() == expected
     assert spark.table(layers.stg_sales).where("_order_month = '2024-03'").select("_metadata.file_path").first() == untouched
     upsert_orders(stage_latest(second, AT), layers.stg_sales)
