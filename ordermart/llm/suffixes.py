@@ -88,6 +88,17 @@ def named_strings(block: Block, length: int, gram: int) -> dict[str, np.ndarray]
 NAMED = "doc_id long, key binary, named long, left int, width int, hull long, hull2 long, start long"
 
 
+def _count_names(length: int, gram: int):
+    def names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in blocks(batch.column("text")):
+                place = named_strings(block, length, gram)["place"]
+                value = slice_hash(_sums(block.data, _FIRST), place, place + gram)
+                yield pa.RecordBatch.from_arrays([pa.array(signed(value))], ["named"])
+
+    return names
+
+
 def _name(length: int, gram: int):
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -125,34 +136,37 @@ def sorted_suffixes(symbols: np.ndarray, depth: int) -> np.ndarray:
     key = np.zeros(n, dtype=np.int64)
     for j in range(packed):
         key = (key << 9) | padded[j : j + n]
-    known = packed
-    order = np.argsort(key, kind="stable")
+    # The rank of a suffix is the place where the suffixes that tie with it begin.
     rank = np.empty(n, dtype=np.int64)
-    ordered = key[order]
-    rank[order] = np.concatenate(([0], np.cumsum(ordered[1:] != ordered[:-1])))
+    order = np.argsort(key)
+    rank[order] = _places(key[order])
+    del key, padded
+    tied, known = np.arange(n), packed
     while known < depth:
         # Only suffixes that still tie are looked at again.
-        count = np.bincount(rank)
-        tied = np.flatnonzero(count[rank] > 1)
+        tied = tied[np.bincount(rank, minlength=n)[rank[tied]] > 1]
         if not len(tied):
             break
-        lead = np.concatenate(([0], np.cumsum(count)[:-1]))[rank]
         ahead = tied + known
-        beyond = np.where(ahead < n, lead[np.minimum(ahead, n - 1)] + 1, 0)
-        again = np.lexsort((beyond, lead[tied]))
-        a, b = lead[tied][again], beyond[again]
-        fresh = np.ones(len(again), dtype=bool)
-        fresh[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-        group = np.ones(len(again), dtype=bool)
-        group[1:] = a[1:] != a[:-1]
-        at = np.arange(len(again))
-        offset = at - np.maximum.accumulate(np.where(group, at, 0))
-        value = a + offset
-        new = lead.copy()
-        new[tied[again]] = np.maximum.accumulate(np.where(fresh, value, 0))
-        _, rank = np.unique(new, return_inverse=True)
+        beyond = np.where(ahead < n, rank[np.minimum(ahead, n - 1)] + 1, 0)
+        key = rank[tied] * (n + 1) + beyond
+        order = np.argsort(key)
+        tied, key = tied[order], key[order]
+        # Ties stand together: a suffix moves by its place among those it tied with.
+        lead = key // (n + 1)
+        at = np.arange(len(key))
+        begins = np.ones(len(key), dtype=bool)
+        begins[1:] = lead[1:] != lead[:-1]
+        rank[tied] = lead + _places(key) - np.maximum.accumulate(np.where(begins, at, 0))
         known *= 2
-    return np.argsort(rank, kind="stable")
+    return np.argsort(rank)
+
+
+def _places(ordered: np.ndarray) -> np.ndarray:
+    """For sorted values the place where each value begins."""
+    begins = np.ones(len(ordered), dtype=bool)
+    begins[1:] = ordered[1:] != ordered[:-1]
+    return np.maximum.accumulate(np.where(begins, np.arange(len(ordered)), 0))
 
 
 def prefix_borders(symbols: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:
@@ -341,7 +355,10 @@ def cut_repeated_strings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM
     """
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("key"), text_of().alias("text"))
     named = source.mapInArrow(_name(length, gram), NAMED)
-    again = named.groupBy("named").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("named")
+    names = source.select("text").mapInArrow(_count_names(length, gram), "named long")
+    again = names.groupBy("named").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("named")
+    # Stored, so that the join sees its size and can split a hot string.
+    again = freeze(again, "recurring-names")
     candidates = freeze(named.join(again.hint("shuffle_hash"), "named"), "recurring-strings")
 
     surroundings = freeze(
@@ -381,6 +398,8 @@ def cut_repeated_strings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM
     cells = max(32, math.ceil(total / CELL_BYTES))
     compared = (
         few.select(F.pmod("named", F.lit(cells)).alias("cell"), "key", "start", "times", "bytes")
+        # Repeats compress well, so partitions are not to be merged by their stored size.
+        .repartition(cells, "cell")
         .groupBy("cell")
         .applyInArrow(_cell(length), MARKS)
     )
