@@ -240,8 +240,10 @@ def find_matches(index: DataFrame, items: DataFrame, window: int = WINDOW, slop:
     postings = stored.select(
         "block", "key", F.explode(F.arrays_zip("terms", "positions")).alias("posting")
     ).select("block", "key", F.col("posting.terms").alias("term"), F.col("posting.positions").alias("position"))
+    # Stored, so that the join sees its size and can split a term with many postings.
+    rarest = freeze(rarest_terms(items, postings, window), "rarest-terms")
     places = (
-        postings.join(rarest_terms(items, postings, window), ["block", "term"])
+        postings.join(rarest, ["block", "term"])
         .groupBy("block", "key")
         .agg(F.collect_list(F.struct("item", "at", "position")).alias("places"))
     )
