@@ -1,8 +1,8 @@
 """Exact top-k search over binary codes by incremental multi-index hashing.
 
-A vector's code is the signs of its components. Codes are cut into segments of about
-``log2`` of the number of different codes in bits, so that a segment value is held by a
-few codes however many there are, and every segment is a hash index. For radius 0, 1, …
+A vector's code is the signs of its components. Codes are cut into segments of at least
+``log2`` of the number of different codes in bits, so that a segment value is held by one
+code on average however many there are, and every segment is a hash index. For radius 0, 1, …
 the segment values at that radius from a query's are looked up, from radius 2 on in two
 steps of half the segments each. After radius ``s`` in the first ``a`` segments, and
 ``s - 1`` in the others, every code within ``s * segments + a - 1`` bits has been met, so a
@@ -114,7 +114,8 @@ def exact_top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame
     asked = freeze(coded(queries).select(F.col("id").alias("query_id"), "code"), "queries")
 
     n = entries.count()
-    segments = max(1, min(bits, round(bits / max(1.0, math.log2(max(n, 2))))))
+    # Segments of at least log2(n) bits: a value is held by one code or fewer on average.
+    segments = max(1, min(bits, int(bits / max(1.0, math.log2(max(n, 2))))))
     limits = [round(j * bits / segments) for j in range(segments + 1)]
     widths = [b - a for a, b in zip(limits[:-1], limits[1:])]
     cut = _segments(bits, limits)
@@ -136,6 +137,8 @@ def exact_top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame
         apart = F.zip_with("wanted", "segments", lambda a, b: F.bit_count(a.bitwiseXOR(b)))
         met = (
             active.mapInArrow(_probes(widths, radius, chosen), "segment int, value int, query binary, wanted array<int>")
+            # Spark takes the probes to be as few as the queries; they must not be broadcast.
+            .hint("merge")
             .join(index, ["segment", "value"])
             .withColumn("apart", apart)
             .where(
