@@ -1,10 +1,14 @@
 """Substring deduplication by sliding sentence spans.
 
-Sentences end at ``.``, ``!`` or ``?`` before white space, and at line breaks; one of more
-than ``LONGEST`` words is cut every ``LONGEST`` words. A span is a run of consecutive
+Sentences end at ``.``, ``!`` or ``?`` with white space after it, be there signs between, and
+at line breaks. One of more than ``LONGEST`` words is cut where its own words say so: before
+each word that begins the least hash of ``NEAR`` words among any ``GAP`` places in a row. So
+no piece is longer than ``GAP`` words, and where a cut is depends on the ``GAP`` places
+around it only, not on where the sentence begins. A span is a run of consecutive
 sentences: from each sentence the shortest run of at least ``least`` sentences and
 ``least_words`` words, and to each sentence the shortest such run that ends there. Both
-depend on nothing outside the run, so a passage yields the same spans wherever it stands.
+depend on nothing outside the run, so a passage yields the same spans wherever it stands:
+one of ``4 * GAP + 16 + NEAR`` words, that is 50, inside a long sentence has at least one.
 
 Spans meet in a global join on their hash (96 bits over the words, so case, white space and
 signs do not matter). All but the first occurrence, by ``doc_id`` and position, are
@@ -32,30 +36,57 @@ from ordermart.session import freeze
 LEAST = 2
 LEAST_WORDS = 20
 LONGEST = 24
+GAP, NEAR = 8, 2
 LAST_ID = (1 << 63) - 1
 
-_ENDS = np.zeros(256, dtype=bool)
-_ENDS[[ord(c) for c in ".!?"]] = True
+_STOP = np.zeros(256, dtype=bool)
+_STOP[[ord(c) for c in ".!?"]] = True
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
+def least_of_windows(value: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether each place holds the last least value of ``GAP`` places in a row of its run."""
+    run = np.repeat(np.arange(len(first)), size)
+    n = len(value)
+    wide = np.ones(n, dtype=np.int64)
+    for step in (-1, 1):
+        holds = np.ones(n, dtype=bool)
+        for apart in range(1, min(GAP, n)):
+            here, there = (slice(apart, n), slice(0, n - apart)) if step < 0 else (slice(0, n - apart), slice(apart, n))
+            larger = value[there] >= value[here] if step < 0 else value[there] > value[here]
+            still = np.zeros(n, dtype=bool)
+            still[here] = holds[here] & larger & (run[here] == run[there])
+            holds = still
+            wide += holds
+    return wide >= GAP
+
+
 class Sentences:
     """Sentences of a block: words ``[start, end)``, row, and byte where each begins."""
 
     def __init__(self, block: Block) -> None:
         found = words(block)
         data, n = block.data, len(found.start)
-        ends = _ENDS[data]
-        ends[:-1] &= _SPACE[data[1:]]
-        ends |= (data == 10) | (data == 13)
-        passed = np.concatenate(([0], np.cumsum(ends)))
         opens = np.ones(n, dtype=bool)
         if n > 1:
-            opens[1:] = (passed[found.start[1:]] > passed[found.end[:-1]]) | (found.row[1:] != found.row[:-1])
+            # Between two words: a line break, or a stop and later white space.
+            passed = np.concatenate(([0], np.cumsum((data == 10) | (data == 13))))
+            stops, spaces = np.flatnonzero(_STOP[data]), np.flatnonzero(_SPACE[data])
+            low, high = found.end[:-1], found.start[1:]
+            stop = np.append(stops, len(data))[np.searchsorted(stops, low)]
+            space = np.insert(spaces, 0, -1)[np.searchsorted(spaces, high)]
+            opens[1:] = (passed[high] > passed[low]) | (stop < space) | (found.row[1:] != found.row[:-1])
+        self.hashed = found.hashes()
         first = np.flatnonzero(opens)
-        within = np.arange(n) - np.repeat(first, np.diff(np.append(first, n)))
-        self.start = np.flatnonzero(within % LONGEST == 0)
+        size = np.diff(np.append(first, n))
+        long = size > LONGEST
+        if long.any():
+            chosen = np.repeat(long, size)
+            sums, at, size = prefix_sums(self.hashed), np.flatnonzero(chosen), size[long]
+            value = slice_hash(sums, at, np.minimum(at + NEAR, np.repeat(first[long] + size, size)))
+            opens[at] |= least_of_windows(value, first[long], size)
+        self.start = np.flatnonzero(opens)
         self.end = np.append(self.start[1:], n) if len(self.start) else self.start
         self.row = found.row[self.start]
         self.first = np.searchsorted(self.row, np.arange(len(block) + 1))
@@ -86,7 +117,7 @@ def _spans(least: int, least_words: int):
             for block in blocks(batch.column("text")):
                 found = Sentences(block)
                 begin, last = found.spans(least, least_words)
-                hashed = found.words.hashes()
+                hashed = found.hashed
                 start, end = found.start[begin], found.end[last]
                 value = slice_hash(prefix_sums(hashed), start, end)
                 check = slice_hash(prefix_sums(mix(hashed, 7)), start, end, 7)

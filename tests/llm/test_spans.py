@@ -116,3 +116,31 @@ def test_stage_keeps_columns_and_wordless_rows(documents):
         assert r.n_chars is None or r.n_chars == len(r.text)
     assert found[None] == 3 and found[2] == 1 and found[4] == 2 and found[8] == 0
     assert s.deduplicate_substrings(docs.where("false")).collect() == []
+
+
+def test_passages_at_shifting_offsets_of_unpunctuated_hosts(documents):
+    random.seed(6)
+    prose = lambda n: " ".join(f"{random.choice('abcdefgh')}{random.randrange(99999)}" for _ in range(n))
+    passage = prose(60)
+    rows = [(k, f"{prose(5 + k)} {passage} {prose(40 - k)}") for k in range(24)]
+    got = {r.doc_id: r for r in s.cut_repeated_spans(documents(*rows)).collect()}
+    assert got[0].text == rows[0][1]
+    middle = " ".join(passage.split()[2 * s.GAP : -2 * s.GAP])
+    for k in range(1, 24):
+        assert middle in rows[k][1]
+        assert not set(middle.split()) & set(got[k].text.split())
+        # What is before and behind the passage stays.
+        assert got[k].text.split()[: 5 + k] == rows[k][1].split()[: 5 + k]
+        assert got[k].text.split()[-(40 - k) :] == rows[k][1].split()[-(40 - k) :]
+
+
+def test_sentences_end_through_signs(documents):
+    random.seed(7)
+    for sign in ("%%%", "***", '"', ")"):
+        plain = ["".join(random.choices("abcdefgh", k=6)) for _ in range(56)]
+        # Every seventh word ends a sentence; the copy has signs after it and after other words.
+        one = " ".join(w + "." * (k % 7 == 6) for k, w in enumerate(plain))
+        two = " ".join(w + ("." * (k % 7 == 6) + sign) * (k % 7 in (2, 6)) for k, w in enumerate(plain))
+        got = {r.doc_id: r for r in s.cut_repeated_spans(documents((1, one), (2, two))).collect()}
+        assert (got[1]._n_sentences, got[2]._n_sentences) == (8, 8)
+        assert got[1].text == one and got[2].text == ""
