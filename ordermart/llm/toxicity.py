@@ -60,9 +60,9 @@ class Term:
     edits: int = 0  # by which a word may miss the term
 
 
-def usual_edits(form: str, beginning: bool, strength: float) -> int:
-    """Edits to try: none for short or doubtful terms and for beginnings."""
-    if beginning or strength < 1 or len(form) < 5:
+def usual_edits(form: str) -> int:
+    """Edits to try, by length alone: whether the sample allows them is seen in harmless texts."""
+    if len(form) < 4:
         return 0
     return 1 if len(form) < 9 else 2
 
@@ -82,7 +82,8 @@ class Automaton:
 def intersect(terms: list[Term]) -> Automaton:
     """Trie of the terms intersected with their Levenshtein automata, made deterministic.
 
-    A state is the set of trie nodes a word may have reached, each with the edits spent.
+    A state is the set of trie nodes a word may have reached, each with the edits spent, and
+    the best beginning met so far, by its edits. It absorbs once no fewer edits can come.
     """
     children: list[dict[str, int]] = [{}]
     ends: list[list[int]] = [[]]
@@ -120,33 +121,50 @@ def intersect(terms: list[Term]) -> Automaton:
                     best = min(best, (spent, number))
         return best
 
-    start = close({0: 0})
-    numbers = {frozenset(): 0, start: 1}
+    none = (99, -1)
+
+    def state_of(reached: dict[int, int], opening: tuple[int, int]) -> tuple:
+        nodes = close(reached)
+        opening = min(opening, accepted(nodes, True))
+        # Nodes that spent as much can only lead to whole words, which a beginning outweighs.
+        return (frozenset(x for x in nodes if x[1] < opening[0]), opening)
+
+    start = state_of({0: 0}, none)
+    numbers = {(frozenset(), none): 0, start: 1}
     queue, rows = [start], [[0] * (len(alphabet) + 1)]
     accepts, edits, absorbing = [-1], [0], [False]
     for state in queue:
-        whole, opening = accepted(state, False), accepted(state, True)
-        absorbs = opening[1] >= 0
-        spent, number = opening if absorbs else whole
+        nodes, opening = state
+        absorbs = opening[1] >= 0 and not nodes
+        spent, number = opening if opening[1] >= 0 else accepted(nodes, False)
         accepts.append(number)
         edits.append(spent if number >= 0 else 0)
         absorbing.append(absorbs)
-        row = []
-        for letter in [None, *alphabet]:
+        if absorbs:
+            rows.append([numbers[state]] * (len(alphabet) + 1))
+            continue
+
+        def following(letter: str | None) -> int:
             reached: dict[int, int] = {}
-            for node, spent in state:
+            for node, spent in nodes:
                 if spent + 1 <= budget[node] and reached.get(node, 99) > spent + 1:
                     reached[node] = spent + 1  # a letter too many
                 for label, child in children[node].items():
                     cost = spent + (label != letter)
                     if cost <= budget[child] and reached.get(child, 99) > cost:
                         reached[child] = cost
-            following = close(reached)
-            if following not in numbers:
-                numbers[following] = len(numbers)
-                queue.append(following)
-            row.append(numbers[following])
-        rows.append([numbers[state]] * len(row) if absorbs else row)
+            new = state_of(reached, opening)
+            if new not in numbers:
+                numbers[new] = len(numbers)
+                queue.append(new)
+            return numbers[new]
+
+        # A letter that leads on from no node is as any other.
+        other = following(None)
+        row = [other] * (len(alphabet) + 1)
+        for letter in sorted({label for node, _ in nodes for label in children[node]}):
+            row[alphabet[letter]] = following(letter)
+        rows.append(row)
     depth = max((len(t.form) + t.edits for t in terms), default=0)
     return Automaton(np.array(rows, np.int32), np.array(accepts), np.array(edits), np.array(absorbing), alphabet, depth)
 
@@ -156,15 +174,15 @@ def run_words(automaton: Automaton, letters: np.ndarray, start: np.ndarray, end:
     final = np.zeros(len(start), dtype=np.int32)
     alive = np.arange(len(start))
     state = np.ones(len(start), dtype=np.int32)
-    for place in range(automaton.depth + 1):
+    for place in range(automaton.depth + 2):
         over = start[alive] + place >= end[alive]
         stop = over | automaton.absorbing[state]
         final[alive[stop]] = state[stop]
         alive, state = alive[~stop], state[~stop]
-        state = automaton.step[state, letters[start[alive] + place]]
-        alive, state = alive[state > 0], state[state > 0]
         if not len(alive):
             break
+        state = automaton.step[state, letters[start[alive] + place]]
+        alive, state = alive[state > 0], state[state > 0]
     return final
 
 
@@ -389,12 +407,17 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int =
         named, np.array([row.q * n / max(m, 1) for row in likely]), [np.array(h, dtype=np.int64) for h in holders], len(held)
     )
     strength = [min(1.0, likely[k].sure / SURE) for k in chosen]
-    terms = [Term(*named[k], s, usual_edits(*named[k], s)) for k, s in zip(chosen, strength)]
-    # Where near misses of a term are ordinary words, only the term itself is a hit.
-    missed = sample.where("positive = 0").mapInArrow(_near_misses(intersect(terms)), "term int")
-    ordinary = {row.term for row in missed.groupBy("term").count().where(F.col("count") > ORDINARY * m).collect()}
-    terms = [replace(t, edits=0) if k in ordinary else t for k, t in enumerate(terms)]
+    terms = [Term(*named[k], s, usual_edits(named[k][0])) for k, s in zip(chosen, strength)]
+    # Where near misses of a term are ordinary words it gets fewer edits. A word counts for the
+    # nearest term only, so the others are looked at again.
     automaton = intersect(terms)
+    while any(t.edits for t in terms):
+        missed = sample.where("positive = 0").mapInArrow(_near_misses(automaton), "term int")
+        ordinary = {row.term for row in missed.groupBy("term").count().where(F.col("count") > ORDINARY * m).collect()}
+        if not ordinary:
+            break
+        terms = [replace(t, edits=t.edits - 1) if k in ordinary else t for k, t in enumerate(terms)]
+        automaton = intersect(terms)
     table = sample.mapInArrow(
         _features(terms, automaton), "positive int, weight double, " + ", ".join(f"f{k} double" for k in range(FEATURES))
     ).toPandas()

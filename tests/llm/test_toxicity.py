@@ -121,3 +121,45 @@ def test_without_labels_of_both_classes(spark, documents, condition):
     scored = t.judge_toxicity(docs, labels.where(condition)).collect()
     assert len({r.score for r in scored}) == 1 and not any(r.predicted for r in scored)
     assert t.judge_toxicity(docs.where("false"), labels).collect() == []
+
+
+def test_beginnings_may_be_misspelt():
+    terms = [t.Term("vequ", True, 1.0, 1), t.Term("disgus", True, 0.4, 1), t.Term("scum", False, 0.5, 1)]
+    automaton = t.intersect(terms)
+    random.seed(3)
+    for _ in range(4000):
+        word = list(random.choice(["vequard", "disgustingly", "scum", "scums"]))
+        for _ in range(random.randint(0, 3)):
+            at, kind = random.randrange(len(word) + 1), random.randrange(3)
+            word[at : at + (kind > 0)] = random.choice("vequdisgcmx") if kind < 2 else []
+        word = "".join(word)
+        openings, whole = [], []
+        for n, term in enumerate(terms):
+            if term.beginning:
+                spent = min(distance(word[:k], term.form) for k in range(len(word) + 1))
+                openings += [(spent, n)] if spent <= term.edits else []
+            elif distance(word, term.form) <= term.edits:
+                whole.append((distance(word, term.form), n))
+        best = min(openings or whole, default=None)
+        term, edits = run(automaton, word)
+        assert ((edits, term) if term >= 0 else None) == best, word
+
+
+@pytest.mark.parametrize("n", [1600, 3200, 6400])
+def test_misspellings_count_at_every_sample_size(spark, documents, n):
+    random.seed(4)
+    plain = ["".join(random.choices("bdfhjk", k=7)) for _ in range(300)]
+    # Terms of four letters, and terms in a twentieth of the toxic texts only.
+    bad = ["scum", *("".join(random.choices("mnprtvwx", k=8)) for _ in range(19))]
+    rows, marks = [], []
+    for i in range(n):
+        words = random.choices(plain, k=30)
+        if i % 4 == 0:
+            words[random.randrange(30)] = bad[i // 4 % 20]
+        rows.append((i, " ".join(words)))
+        marks.append((i, 1, int(i % 4 == 0)))
+    labels = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    model = t.learn(documents(*rows), labels)
+    edits = {term.form: term.edits for term in model.terms if not term.beginning}
+    assert {form: edits.get(form) for form in bad} == dict.fromkeys(bad, 1)
+    assert run(model.automaton, "scam")[0] >= 0 and run(model.automaton, bad[7][:-1])[0] >= 0
