@@ -17,7 +17,9 @@ empty and every score is the prior. Repeated rows get equal scores.
 
 from __future__ import annotations
 
+import heapq
 import math
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
@@ -42,8 +44,9 @@ QUOTES = "\"“”„«»‹›"
 WINDOW = 8
 QUOTED, REPORTED, ADDRESSED, NEAR, MISSPELLED = 0.3, 0.5, 1.25, 0.25, 0.6
 BEGINNINGS = (4, 5, 6)
-MAX_TERMS = 100
 COVER = 3
+# Toxic sample texts that a further term has to explain, and that have to hold it.
+LEAST_GAIN, LEAST_HOLDERS = 2, 3
 # Log ratio, less two standard errors, of a term beyond doubt.
 SURE = 3.5
 # Share of harmless texts with near misses of a term above which they are ordinary words.
@@ -267,7 +270,7 @@ def _forms(text: str) -> set[tuple[str, bool]]:
     found = words(block)
     lowered = found.lowered.tobytes()
     different = {lowered[a:b].decode("utf-8", "replace") for a, b in zip(found.start, found.end) if b - a < 64}
-    forms = {(w, False) for w in different if len(w) >= 4}
+    forms = {(w, False) for w in different}
     return forms | {(w[:n], True) for w in different for n in BEGINNINGS if len(w) > n}
 
 
@@ -324,31 +327,39 @@ def choose_terms(forms: list[tuple[str, bool]], negative: np.ndarray, holders: l
     form and forms that begin with it are not looked at again.
     """
     left = np.full(n, COVER)
-    least = max(2, 0.002 * n)
-    favour = np.array([1 + 0.01 * len(form) + 0.03 * (not beginning) for form, beginning in forms])
-    gain = np.array([len(h) for h in holders], dtype=float)
-    fresh = np.ones(len(forms), dtype=bool)
+    favour = [1 + 0.01 * len(form) + 0.03 * (not beginning) for form, beginning in forms]
+    number = {form: k for k, form in enumerate(forms)}
+    ordered = sorted(forms)
     usable = np.ones(len(forms), dtype=bool)
     chosen: list[int] = []
-    while len(chosen) < MAX_TERMS and usable.any():
-        value = np.where(usable, (gain - 2 * negative) * favour, -np.inf)
-        top = int(np.argmax(value))
-        if gain[top] - 2 * negative[top] < least:
-            # Favour may hide a form that explains more; none is worth adding by then.
-            usable[top] = False
-            continue
-        if not fresh[top]:
-            # Gains only fall, so the first form whose gain is up to date is the best.
-            gain[top], fresh[top] = float((left[holders[top]] > 0).sum()), True
+    # Gains only fall: a form whose gain is up to date and still the best is chosen, and one
+    # that does not gain the least is never looked at again.
+    heap = [(-(len(h) - 2 * negative[k]) * favour[k], k, 0) for k, h in enumerate(holders)]
+    heapq.heapify(heap)
+    while heap:
+        _, top, seen = heapq.heappop(heap)
+        if not usable[top]:
             continue
+        if seen < len(chosen) or not chosen:
+            gain = float((left[holders[top]] > 0).sum()) - 2 * negative[top]
+            if gain < LEAST_GAIN:
+                continue
+            if seen < len(chosen):
+                heapq.heappush(heap, (-gain * favour[top], top, len(chosen)))
+                continue
         chosen.append(top)
+        usable[top] = False
         left[holders[top]] -= left[holders[top]] > 0
-        fresh[:] = False
         word, beginning = forms[top]
-        for k in np.flatnonzero(usable):
-            form, opens = forms[k]
-            if (opens and word.startswith(form)) or (beginning and form.startswith(word)) or k == top:
-                usable[k] = False
+        for k in range(1, len(word) + 1):
+            opening = number.get((word[:k], True))
+            if opening is not None:
+                usable[opening] = False
+        if beginning:
+            at = bisect_left(ordered, (word, False))
+            while at < len(ordered) and ordered[at][0].startswith(word):
+                usable[number[ordered[at]]] = False
+                at += 1
     return chosen
 
 
@@ -390,12 +401,13 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int =
     sizes = dict(sample.groupBy("positive").count().collect())
     n, m = sizes.get(1, 0), sizes.get(0, 0)
     forms = counted.groupBy("form", "beginning").agg(F.sum("positive").alias("p"), F.sum("negative").alias("q"))
-    # Surely likelier in toxic texts, by two standard errors of the log ratio: at most a
-    # few thousand forms of a bounded sample.
+    # Surely likelier in toxic texts, by two standard errors of the log ratio: forms
+    # of a bounded sample.
     ratio = F.log((F.col("p") + 0.5) / (n + 1)) - F.log((F.col("q") + 0.5) / (m + 1))
     error = F.sqrt(1 / (F.col("p") + 0.5) + 1 / (F.col("q") + 0.5))
     forms = forms.withColumn("sure", ratio - 2 * error)
-    likely = forms.where((F.col("p") >= max(3, 0.003 * n)) & (F.col("sure") >= math.log(3))).orderBy(F.desc("p"), F.desc(F.length("form")), "form").limit(20_000).collect()
+    likely = forms.where((F.col("p") >= LEAST_HOLDERS) & (F.col("sure") >= math.log(3)))
+    likely = likely.orderBy(F.desc("p"), F.desc(F.length("form")), "form", "beginning").collect()
     named = [(row.form, row.beginning) for row in likely]
     wanted = {form: k for k, form in enumerate(named)}
     held = sample.where("positive = 1").mapInArrow(_which_forms(wanted), "forms array<int>").toPandas()["forms"]

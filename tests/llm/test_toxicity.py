@@ -163,3 +163,23 @@ def test_misspellings_count_at_every_sample_size(spark, documents, n):
     edits = {term.form: term.edits for term in model.terms if not term.beginning}
     assert {form: edits.get(form) for form in bad} == dict.fromkeys(bad, 1)
     assert run(model.automaton, "scam")[0] >= 0 and run(model.automaton, bad[7][:-1])[0] >= 0
+
+
+def test_as_many_terms_as_there_are(spark, documents):
+    random.seed(5)
+    plain = ["".join(random.choices("bdfhjk", k=7)) for _ in range(300)]
+    # Terms of two and three letters, and over a hundred longer ones; each in a few texts.
+    bad = ["zq", "qxz", *{"".join(random.choices("mnprtvwxyzlcgs", k=8)) for _ in range(148)}]
+    rows, marks = [], []
+    for i in range(18_000):
+        words = random.choices(plain, k=8)
+        if i % 6 == 0:
+            words[random.randrange(8)] = bad[i // 6 % len(bad)]
+        rows.append((i, " ".join(words)))
+        marks.append((i, 1, int(i % 6 == 0)))
+    labels = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    docs = documents(*rows, clashing=False)
+    model = t.learn(docs, labels)
+    assert len(model.terms) > 100 and {"zq", "qxz"} <= {term.form for term in model.terms}
+    missed = {r.doc_id for r in t.judge_toxicity(docs, labels).collect() if r.predicted != int(r.doc_id % 6 == 0)}
+    assert not {i for i in missed if bad[i // 6 % len(bad)] in ("zq", "qxz")} and len(missed) < 180
