@@ -127,11 +127,11 @@ def _sign(n: int, bands: int, rows: int):
     return sign
 
 
-def verified_links(members: list[np.ndarray], weight: np.ndarray, threshold: float, side: np.ndarray) -> tuple:
+def verified_links(members: list[np.ndarray], weight: np.ndarray, threshold: float, side: np.ndarray, across: bool) -> tuple:
     """Weighted links and least linked-to member of every set.
 
-    ``members`` are sorted arrays of different n-grams. Where ``side`` has both 0 and 1,
-    only pairs across are looked at.
+    ``members`` are sorted arrays of different n-grams. With ``across`` only
+    pairs of different ``side`` are looked at: none where one side is empty.
     """
     n = len(members)
     size = np.array([len(m) for m in members], dtype=np.int64)
@@ -152,7 +152,7 @@ def verified_links(members: list[np.ndarray], weight: np.ndarray, threshold: flo
         common += matrix @ matrix.T
     union = size[:, None] + size[None, :] - common
     linked = common >= threshold * union - 1e-9
-    if side.any() and not side.all():
+    if across:
         linked &= side[:, None] != side[None, :]
     np.fill_diagonal(linked, False)
     label = np.arange(n)
@@ -180,13 +180,15 @@ def _verify(n: int, threshold: float):
         node = table.column("node").to_numpy()
         weight = table.column("n_texts").to_numpy()
         side = table.column("side").to_numpy()
-        big = table.column("i").to_numpy() >= 0
+        chunk, other = table.column("i").to_numpy(), table.column("j").to_numpy()
+        big = chunk >= 0
         order = np.lexsort((node, cluster))
         cuts = np.flatnonzero(np.diff(cluster[order])) + 1
         roots, links = node.copy(), np.zeros(len(node), dtype=np.int64)
         for group in np.split(order, cuts):
             if len(group) > 1:
-                got, label = verified_links([sets[k] for k in group], weight[group], threshold, side[group])
+                across = chunk[group[0]] < other[group[0]]
+                got, label = verified_links([sets[k] for k in group], weight[group], threshold, side[group], across)
                 links[group], roots[group] = got, node[group[label]]
         return pa.table({"node": node, "root": roots, "links": links, "big": big})
 

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from .llm_cases import ODD, word_list
 from ordermart.llm import jaccard as j
@@ -113,3 +114,22 @@ def test_one_row_of_every_class_stays(documents):
     assert len(found) == len({c for _, c in classes if c is not None}) + 1  # and the class without an id
     assert sum(r.text == "same row" for r in found) == 1
     assert j.drop_near_copies(docs.where("false")).collect() == []
+
+
+@pytest.mark.parametrize("side,pair,links", [([0, 0], (0, 1), 0), ([1, 1], (0, 1), 0), ([0, 1], (0, 1), 1), ([0, 0], (1, 1), 1)])
+def test_an_empty_chunk_adds_no_links(side, pair, links):
+    words = [f"w{k}" for k in range(100)]
+    table = pa.table(
+        {
+            "cell": [7, 7],
+            "i": [pair[0]] * 2,
+            "j": [pair[1]] * 2,
+            "side": side,
+            "node": [1, 2],
+            "cluster": [7, 7],
+            "n_texts": [1, 1],
+            "text": [" ".join(words), " ".join(words[:-1])],
+        }
+    )
+    got = j._verify(5, 0.8)(table).to_pydict()
+    assert got["links"] == [links] * 2 and got["root"] == ([1, 1] if links else [1, 2])
