@@ -10,7 +10,8 @@ query is finished once its k-th verified distance is within that bound.
 
 Equal codes are one entry with the ``k`` least ids, and equal queries are one query. A code
 met in several segments counts at its nearest segment only. Vectors that are null, or not
-as long as the longest, are neither found nor answered; a null component counts as not
+of the commonest length (of equally common ones the longest), are neither found nor
+answered; a null component counts as not
 positive. Ties go by id. With fewer than ``k`` vectors all of them are returned.
 """
 
@@ -99,8 +100,9 @@ def _steps(widths: list[int]) -> list[tuple[int, range]]:
 
 def exact_top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     """``query_id, rank, id, distance`` for frames of ``id`` and ``vector``."""
-    bits = vectors.agg(F.max(F.size("vector"))).first()[0] or 0
-    bits = max(bits, 1)
+    lengths = vectors.where(F.size("vector") > 0).groupBy(F.size("vector").alias("bits")).count()
+    commonest = lengths.orderBy(F.desc("count"), F.desc("bits")).first()
+    bits = commonest.bits if commonest else 1
 
     def coded(df: DataFrame) -> DataFrame:
         whole = df.where(F.col("vector").isNotNull() & (F.size("vector") == bits))

@@ -36,3 +36,11 @@ def test_empty_tables(spark):
     one = spark.createDataFrame([(1, [1.0, -1.0], 0)], df.schema)
     assert search_embeddings(one).collect() == []
     assert [tuple(r) for r in search_embeddings(one, every=1).collect()] == [(1, 1, 1, 0)]
+
+
+def test_one_vector_too_long_leaves_the_others(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in rng.normal(size=16)]) for i in range(60)]
+    df = spark.createDataFrame([*rows, (70, [1.0] * 17)], "id long, vector array<float>")
+    got = exact_top_k(df, df.where("id % 7 = 0"), 5).collect()
+    assert sorted(tuple(r) for r in got) == brute(rows, [r for r in rows if r[0] % 7 == 0], 5)
