@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ordermart.llm.common import read_table
 from ordermart.llm.contamination import contamination
 from ordermart.llm.jaccard import near_duplicate_classes
+from ordermart.llm.lexical import ranked_search
 from ordermart.llm.packing import pack_documents
 from ordermart.llm.quality import judge_quality
 from ordermart.llm.sharding import shard_documents
@@ -66,6 +67,10 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op11_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), k=20)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -79,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_suffix_array_dedup,
         op9_benchmark_decontamination,
         op10_best_fit_packing,
+        op11_ranked_lexical_search,
     )
 }
 
@@ -153,5 +159,35 @@ SELECT doc.doc_id, CAST(len(doc.w) AS BIGINT) AS n_words, coalesce(hit.n_hit, 0)
        coalesce(ids.n_items, 0) AS n_items, sha256(coalesce(ids.listed, '')) AS items_sha256,
        coalesce(hit.n_hit, 0) > 0 AS contaminated
 FROM doc LEFT JOIN hit USING (n) LEFT JOIN ids USING (n)
+""",
+    "op11_ranked_lexical_search": r"""
+WITH doc AS (
+    SELECT row_number() OVER () AS n, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+    FROM documents
+), item AS (
+    SELECT item_id, unnest(regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark
+), wanted AS (SELECT item_id, term, count(*) AS repeats FROM item GROUP BY ALL),
+total AS (SELECT count(*) AS docs, CAST(sum(len(w)) AS BIGINT) AS terms FROM doc WHERE len(w) > 0),
+held AS (
+    SELECT n, term, count(*) AS tf FROM (SELECT n, unnest(w) AS term FROM doc)
+    WHERE term IN (SELECT term FROM wanted) GROUP BY ALL
+), weight AS (
+    SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+    FROM (SELECT term, count(*) AS df FROM held GROUP BY term), total
+), length AS (SELECT n, doc_id, 100 - 25 + ((25 * len(w) * docs) // terms) AS m FROM doc, total),
+scored AS (
+    SELECT item_id, doc_id, n,
+           CAST(sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+    FROM wanted JOIN held USING (term) JOIN weight USING (term) JOIN length USING (n)
+    GROUP BY item_id, doc_id, n
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 20
 """,
 }

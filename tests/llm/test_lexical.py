@@ -1,0 +1,93 @@
+import math
+from collections import Counter
+
+import numpy as np
+import pytest
+from .llm_cases import ODD, word_list
+from ordermart.llm import lexical
+from ordermart.llm.lexical import Corpus, _impacts, fold_counts, ranked_search, upper_bounds
+
+ITEMS = "item_id long, text string, score long, key string"
+
+
+def brute(docs, items, k):
+    """The stated formula over every pair of item and document."""
+    held = [(i, Counter(word_list(t))) for i, t in docs]
+    held = [(i, c) for i, c in held if c]
+    n_docs, total = len(held), sum(sum(c.values()) for _, c in held)
+    df = Counter(t for _, c in held for t in c)
+    out = []
+    for item, text in set(items):
+        wanted = Counter(word_list(text))
+        scored = []
+        for doc, c in held:
+            m = 75 + (25 * sum(c.values()) * n_docs) // total
+            score = sum(
+                r * math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) * ((10**9 * c[t]) // (1000 * c[t] + 12 * m))
+                for t, r in wanted.items()
+                if t in c
+            )
+            if score > 0:
+                scored.append((-score, doc is None, doc or 0, doc))
+        out += [(item, rank + 1, s[3], -s[0]) for rank, s in enumerate(sorted(scored)[:k])]
+    return sorted(out, key=str)
+
+
+def search(spark, documents, docs, items, k, **options):
+    items = spark.createDataFrame([(i, t, 0, "x") for i, t in items], ITEMS).repartition(2)
+    found = ranked_search(documents(*docs), items, k, **options)
+    assert found.columns == ["item_id", "rank", "doc_id", "score"]
+    return sorted(map(tuple, found.collect()), key=str)
+
+
+def corpus(n, seed):
+    rng = np.random.default_rng(seed)
+    vocabulary = [f"w{i}" for i in range(400)]
+    share = 1 / np.arange(1, 401)
+    return [
+        (i, " ".join(rng.choice(vocabulary, size=int(rng.integers(1, 120)), p=share / share.sum()))) for i in range(n)
+    ]
+
+
+@pytest.mark.parametrize("block", [lexical.BLOCK, 40])
+def test_against_brute_force(spark, documents, block):
+    docs = corpus(300, 1)
+    docs += [(1000 + i, docs[7][1]) for i in range(60)] + [(2000, "w3 " * 700 + "w399"), (2001, "W7 w7 w8")]
+    items = [(i, t) for i, t in corpus(12, 2)] + [(50, docs[7][1]), (51, "w399 w398 w398"), (52, "unknown words"), (53, "")]
+    items += [(50, docs[7][1]), (50, "w1 w2"), (None, "w5")]
+    assert search(spark, documents, docs, items, 5, block=block) == brute(docs, items, 5)
+
+
+def test_one_answer_and_shuffled_texts(spark, documents, monkeypatch):
+    """For one best document the threshold starts at a single score; the texts are shuffled."""
+    monkeypatch.setattr(lexical, "BROADCAST_PAIRS", 0)
+    docs, items = corpus(200, 3), corpus(3, 4)
+    assert search(spark, documents, docs, items, 1) == brute(docs, items, 1)
+
+
+def test_odd_rows(spark, documents):
+    items = [(1, None), (2, "one"), (3, "漢字 emoji long no"), (4, "another text ß"), (None, "id"), (5, "long " * 3000)]
+    assert search(spark, documents, ODD, items, 20) == brute(ODD, items, 20)
+
+
+def test_empty_tables(spark, documents):
+    assert search(spark, documents, [], [(1, "one")], 3) == []
+    assert search(spark, documents, [(1, "one")], [], 3) == []
+    assert search(spark, documents, [(1, None), (2, "")], [(1, "one")], 3) == []
+
+
+def test_bounds_are_never_below_the_scores():
+    rng = np.random.default_rng(5)
+    hashes = rng.integers(0, 2**63, 500).astype(np.uint64)
+    row = np.sort(rng.integers(0, 20, 6000))
+    term = np.minimum(rng.geometric(0.01, 6000), 499)
+    term[:600] = 3
+    length, bounds, data = fold_counts(row, hashes[term], 20)
+    m = Corpus(20, 6000).lengths(np.bincount(row, minlength=20))
+    matrix = rng.integers(0, 9000, (500, 7))
+    bound = upper_bounds(bounds, data, m, hashes, matrix)
+    count = np.zeros((20, 500), dtype=np.int64)
+    np.add.at(count, (row, term), 1)
+    exact = np.where(count > 0, _impacts(count, m[:, None]), 0) @ matrix
+    assert (bound >= exact).all() and bound.sum() < 1.5 * exact.sum()
+    assert (length == lexical.CELLS * (count > 0).sum(axis=1)).all()
