@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ordermart.llm.bundles import archive_and_read
 from ordermart.llm.common import read_table
 from ordermart.llm.contamination import contamination
 from ordermart.llm.jaccard import near_duplicate_classes
 from ordermart.llm.lexical import ranked_search
+from ordermart.llm.negatives import mine_embeddings
 from ordermart.llm.packing import pack_documents
 from ordermart.llm.quality import judge_quality
 from ordermart.llm.sharding import shard_documents
@@ -71,6 +73,14 @@ def op11_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), k=20)
 
 
+def op12_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_and_read(read_table(spark, sf_dir, "pages"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine_embeddings(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -85,6 +95,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_benchmark_decontamination,
         op10_best_fit_packing,
         op11_ranked_lexical_search,
+        op12_warc_bundles,
+        op13_hard_negatives,
     )
 }
 
@@ -189,5 +201,38 @@ scored AS (
     SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0
 )
 SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 20
+""",
+    "op12_warc_bundles": """
+WITH p AS (
+    SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest,
+           coalesce(html, '') AS html FROM pages
+), top AS (SELECT html, max(page_id) AS response FROM p WHERE payload_bytes >= 1000 GROUP BY html)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN response <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN response <> page_id THEN response END AS refers_to
+FROM p LEFT JOIN top USING (html)
+""",
+    "op13_hard_negatives": """
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pairs AS (
+    SELECT a.vec_id AS anchor_id, v.vec_id, a.label = v.label AS same,
+           CAST(list_sum(list_transform(list_zip(a.x, v.x), lambda p: p[1] * p[2])) AS BIGINT) AS score
+    FROM v a, v WHERE a.vec_id % 100 = 0 AND a.vec_id <> v.vec_id
+), positive AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM pairs WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), mined AS (
+    SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+           row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS rank
+    FROM positive JOIN pairs USING (anchor_id)
+    WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM mined WHERE rank <= 10
 """,
 }

@@ -1,0 +1,137 @@
+import hashlib
+import json
+from datetime import datetime
+
+import pytest
+import zstandard
+from ordermart.llm import bundles
+from ordermart.llm.bundles import (
+    BundleReader,
+    archive_and_read,
+    archived_pages,
+    fetch_records,
+    open_store,
+    read_bundles,
+    write_bundles,
+)
+from pyspark.sql import functions as F
+
+AT = datetime(2026, 1, 1)
+PAGES = "page_id long, url string, html string, digest string, target long"
+BIG = "<p>ßé漢</p>\r\n\r\n" * 100
+
+
+def pages(spark, rows):
+    return spark.createDataFrame([(*row, "x", 5) for row in rows], PAGES).repartition(3)
+
+
+def brute(rows):
+    groups = {}
+    for i, _, html in rows:
+        payload = (html or "").encode()
+        groups.setdefault(payload, []).append(i)
+    out = []
+    for i, _, html in rows:
+        payload = (html or "").encode()
+        ids = [x for x in groups[payload] if x is not None]
+        top = max(ids) if ids else None
+        revisit = len(payload) >= 1000 and i != top
+        out.append(
+            (i, len(payload), hashlib.sha1(payload).hexdigest(), "revisit" if revisit else "response", top if revisit else None)
+        )
+    return sorted(out, key=str)
+
+
+ROWS = [
+    (1, "http://a/1", BIG),
+    (2, "http://a/2%20x", BIG),
+    (9, "http://a/9", BIG),
+    (None, "http://a/none", BIG),
+    (3, None, None),
+    (4, "", ""),
+    (5, "http://a/5\r\nX: y\t%0d", "x" * 999),
+    (6, "http://a/6", "x" * 999),
+    (7, "http://a/7", "y" * 1000),
+    (8, " http://ä/8 ", "y" * 1000),
+    (8, "http://a/eight", "y" * 1000),
+    (8, "http://a/eight", "y" * 1000),
+    (None, "u", "z" * 2000),
+    (None, "v", "z" * 2000),
+    (10, "http://a/long", "WARC/1.1\r\n\r\n" + "long \r\n\r\n" * 200_000),
+]
+
+
+@pytest.mark.parametrize("broadcast", [bundles.BROADCAST_DIGESTS, -1])
+def test_against_brute_force(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(bundles, "BROADCAST_DIGESTS", broadcast)
+    got = archive_and_read(pages(spark, ROWS))
+    assert got.columns == ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    assert sorted(map(tuple, got.collect()), key=str) == brute(ROWS)
+
+
+def test_empty_table(spark):
+    assert archive_and_read(pages(spark, [])).collect() == []
+
+
+@pytest.fixture
+def archive(spark, tmp_path):
+    """Many small frames and bundles: the index and the rows they were made of."""
+    rows = [*ROWS, *[(100 + i, f"http://b/{i}", f"page {i} " * (i % 50)) for i in range(300)]]
+    df = pages(spark, rows).select(F.col("page_id").alias("id"), "url", F.coalesce("html", F.lit("")).cast("binary").alias("payload"))
+    return write_bundles(df, f"file:{tmp_path}/warc", AT, frame_bytes=3000, bundle_bytes=4000), rows, df
+
+
+def test_bundles_are_zstandard_files_with_frames_that_stand_alone(archive):
+    index, rows, _ = archive
+    found = index.collect()
+    assert len(found) == len(rows) and len({r.bundle for r in found}) > 3
+    for path in {r.bundle for r in found}:
+        store, local = open_store(path)
+        whole = zstandard.ZstdDecompressor().stream_reader(store.open_input_stream(local, compression=None), read_across_frames=True).read()
+        reader = BundleReader(path)
+        parts = [reader.frame(n) for n in range(len(reader.sizes))]
+        assert b"".join(parts) == whole
+        own = sorted((r.frame, r.offset, r.length) for r in found if r.bundle == path)
+        # Records fill their frames without gaps, and a frame passes the limit only with one record.
+        for number, data in enumerate(parts):
+            inside = [(o, n) for f, o, n in own if f == number]
+            assert [o for o, _ in inside] == [sum(n for _, n in inside[:i]) for i in range(len(inside))]
+            assert sum(n for _, n in inside) == len(data) and (len(data) <= 3000 or len(inside) == 1)
+            assert all(data[o:].startswith(b"WARC/1.1\r\n") for o, _ in inside)
+        reader.close()
+
+
+def test_round_trip_and_single_records(spark, archive):
+    index, rows, _ = archive
+    back = read_bundles(index, frames_per_task=2)
+    payloads = {(r.id, r.url, bytes(r.payload).decode()) for r in back.collect() if r.record_type == "response"}
+    large = {(i, u, h or "") for i, u, h in rows}
+    assert payloads <= large and {p for p in large if p[0] not in (1, 2, None, 7)} <= payloads
+    wanted = index.where("id IN (9, 117, 10, 2)").select("record_id")
+    got = {r.id: r for r in fetch_records(index, wanted).collect()}
+    assert set(got) == {9, 117, 10, 2} and bytes(got[9].payload).decode() == BIG
+    assert got[2].record_type == "revisit" and got[2].refers_to_record == got[9].record_id and got[2].payload is None
+
+
+def test_a_second_attempt_writes_the_same_records(archive, tmp_path):
+    index, _, df = archive
+    again = write_bundles(df, f"file:{tmp_path}/again", AT)
+    names = lambda i: sorted(r.record_id for r in i.collect())
+    assert names(index) == names(again)
+
+
+def test_a_missing_response_gives_nulls(archive):
+    records = read_bundles(archive[0]).where("NOT (id <=> 9)")
+    lost = [r for r in archived_pages(records).collect() if r.record_type == "revisit" and r.url.startswith("http://a/1")]
+    assert [(r.payload_bytes, r.payload_digest, r.refers_to) for r in lost] == [(None, None, None)]
+
+
+def test_files_of_a_lost_attempt_are_not_read(archive, tmp_path):
+    index, rows, _ = archive
+    (tmp_path / "warc" / "lost.warc.zst").write_bytes(b"half a bundle")
+    assert read_bundles(index).count() == len(rows)
+
+
+def test_control_characters_in_urls(archive):
+    record = next(r for r in fetch_records(archive[0], archive[0].where("id = 5")).collect())
+    assert record.url == "http://a/5\r\nX: y\t%0d" and json.dumps(record.url)
