@@ -39,9 +39,15 @@ from ordermart.llm.common import blocks, mix, signed, text_key, text_of, words
 from ordermart.session import freeze
 
 K = 20
-# Cells of a sketch row for each different term of the document, and rows of a sketch.
-CELLS = 4
-ROWS = 2
+# Cells of a sketch row for each different term of the document, and rows of a sketch: a term
+# that the document lacks meets a filled cell in every row once in 280 times.
+CELLS = 6
+ROWS = 3
+# Highest bounds scored for the first threshold of an item, and those a task contributes, as
+# multiples of k.
+FIRST, LOCAL = 16, 2
+# Lookup tasks for each core, so that what the tasks contribute does not grow with the input.
+TASKS = 4
 FULL = 255  # a count that is not told apart any more
 # (item, term) entries that are looked up at once, and items of one matrix product.
 BLOCK = 500_000
@@ -380,14 +386,15 @@ def search_block(docs: DataFrame, sketches: DataFrame, block: ItemBlock, corpus:
     """``item, rank, doc_id, score`` of the items of one block."""
     schema = "item int, doc_id long, key binary, bound long"
     first = Window.partitionBy("item").orderBy(F.desc("bound"), F.col("doc_id").asc_nulls_last())
-    highest = sketches.mapInArrow(_lookups(block, corpus, None, k), schema)
-    met = freeze(highest.withColumn("n", F.row_number().over(first)).where(F.col("n") <= k).drop("n"), "lexical-first")
+    highest = sketches.mapInArrow(_lookups(block, corpus, None, LOCAL * k), schema)
+    highest = highest.withColumn("n", F.row_number().over(first)).where(F.col("n") <= FIRST * k).drop("n")
+    met = freeze(highest, "lexical-first")
     scores = freeze(exact_scores(docs, met, block, corpus), "lexical-scores")
     best = freeze(_ranked(met, scores, k), "lexical-best")
     floor = _thresholds(best, len(block.names), k)
     # Every document whose bound reaches the threshold, those scored already among them.
     open_rows = freeze(_least_ids(sketches.mapInArrow(_lookups(block, corpus, floor, k), schema), k), "lexical-open")
-    slice_size = 16 * k
+    slice_size = 8 * FIRST * k
     while True:
         reaching = _reaching(open_rows, floor)
         unscored = reaching.join(scores.select("item", "key"), ["item", "key"], "left_anti")
@@ -413,7 +420,7 @@ def ranked_search(docs: DataFrame, items: DataFrame, k: int = K, block: int = BL
         named.select(F.col("name").alias("item"), "text").mapInArrow(_item_terms, "item binary, term long, repeats long"),
         "lexical-terms",
     )
-    sketches = freeze(sketch_documents(docs), "lexical-sketches")
+    sketches = freeze(sketch_documents(docs), "lexical-sketches").coalesce(TASKS * spark.sparkContext.defaultParallelism)
     size = sketches.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     corpus = Corpus(size[0], size[1])
     parts = max(1, math.ceil(terms.count() / block))
