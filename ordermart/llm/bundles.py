@@ -49,6 +49,8 @@ REVISIT_BYTES = 1000
 FRAME_BYTES = 256 << 10
 BUNDLE_BYTES = 64 << 20
 LEVEL = 3
+# Runs of frames that one task reads at least, where there are enough for all cores.
+RUNS_PER_TASK = 4
 # Repeated digests up to which the table of them is broadcast, 30 bytes each.
 BROADCAST_DIGESTS = 1_000_000
 
@@ -291,8 +293,11 @@ def read_bundles(index: DataFrame, with_payload: bool = True, frames_per_task: i
     and size of a response are worked out from the payload as it was read.
     """
     part = F.floor(F.col("frame") / frames_per_task).alias("part")
-    frames = index.groupBy("bundle", part).agg(F.collect_set("frame").alias("frames"))
-    return frames.select("bundle", "frames").mapInArrow(_read(with_payload), RECORDS)
+    frames = freeze(index.groupBy("bundle", part).agg(F.collect_set("frame").alias("frames")), "warc-frames")
+    # Few bytes name many frames: tasks are dealt by the number of runs, not by their size.
+    runs, cores = frames.count(), index.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, runs // RUNS_PER_TASK, min(runs, cores))
+    return frames.select("bundle", "frames").repartition(tasks).mapInArrow(_read(with_payload), RECORDS)
 
 
 def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
