@@ -296,6 +296,7 @@ SELECT {_PLAIN}, _is_valid FROM (
     "stream_two_sources": f"""WITH {RAW}, {_STREAM_BATCHES.replace("landing_000001", "landing_000000")} {_MERGED}""",
     "model_refresh": _MODEL,
     "late_run": _MODEL,
+    "second_delivery": _MODEL.replace("('RUN_B' AS _pipeline_run_id)", "('RUN_A' AS _pipeline_run_id)"),
     "pipeline_run": f"WITH {JOB_STAR}, {SUMMARY}",
     "pipeline_fact": f"""WITH {JOB_STAR} SELECT {PLAIN_FACT.replace(", '2026-01-01 00:00:00' AS _loaded_at", "")} FROM fact""",
     "run_metadata": f"""WITH {JOB_STAGED}

@@ -324,6 +324,18 @@ def late_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _refresh_in_order(spark, sf_dir, RUNS[::-1])
 
 
+def second_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One run id gets two deliveries with a refresh after each; a third finds nothing to do."""
+    layers = _own_layers(spark)
+    folders = _land_deliveries(spark, sf_dir, layers)
+    setup_raw(spark, layers)
+    for day, folder in enumerate(folders.values()):
+        load_raw(prepare(spark, folder, RUNS[0], AT + timedelta(days=day)), layers)
+        refresh_stg_sales(spark, AT, layers)
+    refresh_stg_sales(spark, AT, layers)
+    return _stored_orders(spark, layers)
+
+
 def _run_job(spark: SparkSession, sf_dir: str) -> Layers:
     layers = _own_layers(spark)
     raw = freeze(raw_base(spark, sf_dir), "raw")
@@ -400,6 +412,7 @@ QUERIES = {
     "stream_two_sources": stream_two_sources,
     "model_refresh": model_refresh,
     "late_run": late_run,
+    "second_delivery": second_delivery,
     "pipeline_run": pipeline_run,
     "pipeline_fact": pipeline_fact,
     "run_metadata": run_metadata,

@@ -114,8 +114,12 @@ STAGING = _schema(
     }
 )
 
-# Runs whose rows have reached ``stg_sales``.
-LOADED_RUNS = _schema({"_pipeline_run_id": STRING, "_loaded_at": TIMESTAMP})
+# Deliveries of the raw table on their way into ``stg_sales``: one row when a load starts,
+# another when it has ended.
+DELIVERIES = _schema({"_pipeline_run_id": STRING, "delivery": STRING, "status": STRING, "at": TIMESTAMP})
+
+# Months of ``stg_sales`` that an order has been put into, kept apart from the rows.
+ORDER_MONTHS = _schema({"order_id": STRING, "_order_month": STRING})
 
 # Order ids in the fact, kept apart so that a load need not read the fact.
 ORDER_IDS = _schema({"order_id": STRING})
@@ -236,9 +240,8 @@ class Layers:
     """Names of the four layer databases and of the tables in them.
 
     ``root`` is the folder new databases are created in; without it they go to the
-    session's warehouse. ``order_buckets`` is the number of buckets the order ids of the
-    fact are kept in; it is fixed when the table is first made, so choose it for the size
-    the fact will have.
+    session's warehouse. Tables of keys start with ``order_buckets`` buckets, whose number
+    doubles whenever they hold more than ``bucket_rows`` rows each.
     """
 
     raw: str = "raw"
@@ -247,6 +250,7 @@ class Layers:
     metrics: str = "metrics"
     root: str | None = None
     order_buckets: int = 16
+    bucket_rows: int = 4_000_000
 
     @property
     def raw_sales_orders(self) -> str:
@@ -263,9 +267,14 @@ class Layers:
         return f"{self.staging}.stg_sales"
 
     @property
-    def stg_sales_runs(self) -> str:
-        """Runs that ``stg_sales`` holds; written after their rows."""
-        return f"{self.staging}.stg_sales_runs"
+    def stg_sales_keys(self) -> str:
+        """Order ids of ``stg_sales`` and the months they are in."""
+        return f"{self.stg_sales}_keys"
+
+    @property
+    def stg_sales_deliveries(self) -> str:
+        """Deliveries that ``stg_sales`` holds, and those that a load has begun."""
+        return f"{self.staging}.stg_sales_deliveries"
 
     @property
     def dim_customer(self) -> str:

@@ -100,6 +100,14 @@ def folder_exists(spark: SparkSession, folder: str) -> bool:
     return files.exists(path)
 
 
+def subfolders(spark: SparkSession, folder: str) -> list[str]:
+    """Paths of the folders directly below one, none where it does not exist."""
+    files, path = _files(spark, folder)
+    if not files.exists(path):
+        return []
+    return [entry.getPath().toString() for entry in files.listStatus(path) if entry.isDirectory()]
+
+
 def full_path(spark: SparkSession, folder: str) -> str:
     """The folder with its file system and without relative parts."""
     files, path = _files(spark, folder)

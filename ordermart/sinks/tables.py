@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
-from datetime import datetime
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,13 +13,14 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ordermart.operators.latest import latest_per_key
 from ordermart.schemas import (
+    DELIVERIES,
     DIM_CUSTOMER,
     DIM_DATE,
     DIM_PRODUCT,
     DQ_REPORT,
     FACT,
-    LOADED_RUNS,
     ORDER_IDS,
+    ORDER_MONTHS,
     PRODUCT_SALES,
     RAW,
     RUN_LOG,
@@ -27,7 +28,7 @@ from ordermart.schemas import (
     STAGING,
     Layers,
 )
-from ordermart.session import folder_exists, frozen, full_path, remove_folder
+from ordermart.session import folder_exists, frozen, full_path, remove_folder, subfolders
 
 RUN = "_pipeline_run_id"
 MONTH = "_order_month"
@@ -52,25 +53,106 @@ def ensure_table(
     schema: StructType,
     partition_by: Sequence[str] = (),
     root: str | None = None,
-    bucket_by: str | None = None,
-    buckets: int = 0,
 ) -> None:
     """Declare a table at its folder; what an earlier process left there belongs to it."""
     if spark.catalog.tableExists(table):
         return
-    database, name = table.split(".")
-    folder = f"{database_path(spark, database, root)}/{name}"
+    folder = table_folder(spark, table, root)
     held = folder_exists(spark, folder)
-    columns = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in schema)
     partitions = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
-    clusters = f" CLUSTERED BY (`{bucket_by}`) INTO {buckets} BUCKETS" if bucket_by else ""
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet{partitions}{clusters} LOCATION '{folder}'"
-    )
+    declare(spark, table, schema, partitions, folder)
     if partition_by and held:
         spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
 
 
+def table_folder(spark: SparkSession, table: str, root: str | None = None) -> str:
+    database, name = table.split(".")
+    return f"{database_path(spark, database, root)}/{name}"
+
+
+def declare(spark: SparkSession, table: str, schema: StructType, layout: str, folder: str) -> None:
+    columns = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in schema)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet{layout} LOCATION '{folder}'")
+
+
+# A table of keys lies in buckets, in a folder of its own for each version: ``v3-b32`` is the
+# third rewrite, in 32 buckets. A version counts once its first write has been committed.
+_VERSION = re.compile(r"v(\d+)-b(\d+)$")
+# Files of a bucket beyond which they are merged.
+MERGE_FILES = 16
+
+
+def ensure_keys(
+    spark: SparkSession, table: str, schema: StructType, key: str, buckets: int, root: str | None = None
+) -> None:
+    """Declare a table of keys at its latest complete version; ``buckets`` are those of the first."""
+    if spark.catalog.tableExists(table):
+        return
+    home = table_folder(spark, table, root)
+    versions = {}
+    for folder in subfolders(spark, home):
+        version = _VERSION.search(folder)
+        if version:
+            versions[int(version[1])] = (int(version[2]), folder)
+    complete = [n for n, (_, folder) in versions.items() if folder_exists(spark, f"{folder}/_SUCCESS")]
+    number = max(complete, default=min(versions, default=0))
+    count, folder = versions.get(number, (buckets, f"{home}/v0-b{buckets}"))
+    _declare_keys(spark, table, schema, key, count, folder)
+
+
+def _declare_keys(spark: SparkSession, table: str, schema: StructType, key: str, buckets: int, folder: str) -> None:
+    declare(spark, table, schema, f" CLUSTERED BY (`{key}`) INTO {buckets} BUCKETS", folder)
+
+
+def bucket_count(spark: SparkSession, table: str) -> int:
+    rows = spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Num Buckets'").collect()
+    return int(rows[0].data_type)
+
+
+def append_keys(keys: DataFrame, table: str, key: str) -> None:
+    """Append keys, one file for each bucket that gets any; only the new keys are shuffled."""
+    append_table(keys.repartition(bucket_count(keys.sparkSession, table), key), table)
+
+
+def rewrite_keys(keys: DataFrame, table: str, key: str, buckets: int) -> None:
+    """Put ``keys``, which may come from the table, in place of its contents.
+
+    They are written as a new version beside the old one; a rewrite that stops halfway
+    leaves the old one in use.
+    """
+    spark = keys.sparkSession
+    old = table_path(spark, table)
+    version = _VERSION.search(old)
+    number = int(version[1]) + 1 if version else 1
+    folder = f"{old[: version.start()].rstrip('/') if version else old}/v{number}-b{buckets}"
+    remove_folder(spark, folder)
+    schema = spark.table(table).schema
+    coming = f"{table}_next"
+    spark.sql(f"DROP TABLE IF EXISTS {coming}")
+    _declare_keys(spark, coming, schema, key, buckets, folder)
+    append_keys(keys, coming, key)
+    spark.sql(f"DROP TABLE {coming}")
+    spark.sql(f"DROP TABLE {table}")
+    _declare_keys(spark, table, schema, key, buckets, folder)
+    if version:
+        remove_folder(spark, old)
+
+
+def grow_keys(spark: SparkSession, table: str, key: str, bucket_rows: int) -> int:
+    """Double the buckets until none holds more than ``bucket_rows`` on average; merge many files.
+
+    Doubling keeps the cost of all rewrites within a few times the final size. Row counts
+    come from file footers, file names from the listing. Returns the number of buckets.
+    """
+    held, buckets = spark.table(table), bucket_count(spark, table)
+    wanted, rows = buckets, held.count()
+    while rows > wanted * bucket_rows:
+        wanted *= 2
+    if wanted > buckets or len(held.inputFiles()) > MERGE_FILES * buckets:
+        rewrite_keys(held.distinct(), table, key, wanted)
+    return wanted
+
+
 def setup_raw(spark: SparkSession, layers: Layers) -> None:
     ensure_database(spark, layers.raw, layers.root)
     ensure_table(spark, layers.raw_sales_orders, RAW, [RUN], layers.root)
@@ -81,7 +163,8 @@ def setup_staging(spark: SparkSession, layers: Layers) -> None:
     ensure_table(spark, layers.stg_sales_orders, STAGING, [RUN], layers.root)
     by_month = StructType([*STAGING.fields, StructField(MONTH, StringType())])
     ensure_table(spark, layers.stg_sales, by_month, [MONTH], layers.root)
-    ensure_table(spark, layers.stg_sales_runs, LOADED_RUNS, (), layers.root)
+    ensure_table(spark, layers.stg_sales_deliveries, DELIVERIES, (), layers.root)
+    ensure_keys(spark, layers.stg_sales_keys, ORDER_MONTHS, "order_id", layers.order_buckets, layers.root)
 
 
 def setup_dwh(spark: SparkSession, layers: Layers) -> None:
@@ -90,9 +173,7 @@ def setup_dwh(spark: SparkSession, layers: Layers) -> None:
     ensure_table(spark, layers.dim_product, DIM_PRODUCT, (), layers.root)
     ensure_table(spark, layers.dim_date, DIM_DATE, (), layers.root)
     ensure_table(spark, layers.fact_sales_orders, FACT, (), layers.root)
-    ensure_table(
-        spark, layers.fact_order_ids, ORDER_IDS, (), layers.root, bucket_by="order_id", buckets=layers.order_buckets
-    )
+    ensure_keys(spark, layers.fact_order_ids, ORDER_IDS, "order_id", layers.order_buckets, layers.root)
     ensure_table(spark, layers.sales_summary, SALES_SUMMARY, ["year", "month"], layers.root)
     ensure_table(spark, layers.dim_product_sales, PRODUCT_SALES, (), layers.root)
 
@@ -103,6 +184,13 @@ def setup_metrics(spark: SparkSession, layers: Layers) -> None:
     ensure_table(spark, layers.pipeline_run_log, RUN_LOG, (), layers.root)
 
 
+def partition_folder(spark: SparkSession, table: str, column: str, value: str) -> str | None:
+    """Folder of one partition, from the catalog; None where there is no such partition."""
+    quoted = value.replace("\\", "\\\\").replace("'", "\\'")
+    found = spark.sql(f"SHOW PARTITIONS {table} PARTITION ({column} = '{quoted}')").first()
+    return f"{table_path(spark, table)}/{found.partition}" if found else None
+
+
 def partition_values(spark: SparkSession, table: str, column: str) -> list[str]:
     """Values of a partition column, from the catalog alone."""
     specs = (row.partition for row in spark.sql(f"SHOW PARTITIONS {table}").collect())
@@ -168,48 +256,82 @@ def with_order_month(df: DataFrame) -> DataFrame:
     return df.withColumn(MONTH, F.coalesce(F.date_format("order_date", "yyyy-MM"), undated))
 
 
-def upsert_orders(batch: DataFrame, table: str, runs: str | Sequence[str] = ()) -> None:
+def upsert_orders(
+    batch: DataFrame, table: str, runs: str | Sequence[str] = (), bucket_rows: int | None = None
+) -> None:
     """Put the orders of a batch into ``table``; of two versions the later ingest stays.
 
-    Only months that hold an old or a new version of a batch order are rewritten. ``runs``
-    are the runs the batch holds in full: what an earlier attempt left of them is replaced,
-    also rows without an order id, so an attempt that stopped halfway is put right by the
-    next one.
+    The months of earlier versions come from the table of keys beside ``table``, so only the
+    batch is shuffled to find them. Months that hold an earlier version are rewritten, rows
+    of all other months are appended. ``runs`` are runs of which an earlier attempt may have
+    left rows: the batch holds them in full, and what is there of them is replaced, also
+    rows without an order id.
     """
-    with frozen(with_order_month(batch), "upsert") as stored:
-        _merge_months(stored, table, [runs] if isinstance(runs, str) else list(runs))
+    spark = batch.sparkSession
+    runs = [runs] if isinstance(runs, str) else list(runs)
+    index = f"{table}_keys"
+    _rebuild_lost_index(spark, table, index)
+    with frozen(with_order_month(batch), "upsert") as stored, frozen(known_months(stored, index), "known") as known:
+        # Months are bounded by the calendar, so their names may come to the driver.
+        months = {row[0] for row in known.select(MONTH).distinct().collect()}
+        if runs:
+            left_behind = spark.table(table).where(F.col(RUN).isin(runs)).select(MONTH)
+            months |= {row[0] for row in left_behind.distinct().collect()}
+        if months:
+            _merge_months(stored, known, table, runs, sorted(months))
+        else:
+            _append_orders(stored, table)
+        # An order that stays in its months is in the table of keys already.
+        placed = stored.where("order_id IS NOT NULL").select("order_id", MONTH)
+        append_keys(placed.join(known, ["order_id", MONTH], "left_anti"), index, "order_id")
+    if bucket_rows:
+        grow_keys(spark, index, "order_id", bucket_rows)
+
+
+def known_months(batch: DataFrame, index: str) -> DataFrame:
+    """``order_id`` and month of the batch's orders that the table of keys holds.
+
+    The batch is dealt into the buckets of the table, which stays where it is.
+    """
+    spark = batch.sparkSession
+    ids = batch.where("order_id IS NOT NULL").select("order_id")
+    return spark.table(index).join(ids.repartition(bucket_count(spark, index), "order_id"), "order_id", "left_semi")
+
+
+def _rebuild_lost_index(spark: SparkSession, table: str, index: str) -> None:
+    if spark.table(index).isEmpty():
+        held = spark.table(table).where("order_id IS NOT NULL").select("order_id", MONTH)
+        if not held.isEmpty():
+            append_keys(held, index, "order_id")
+
 
+def _append_orders(rows: DataFrame, table: str) -> None:
+    append_table(clustered(rows, ["order_date", "region"], "order_id", [MONTH]), table)
 
-def _merge_months(batch: DataFrame, table: str, runs: list[str]) -> None:
+
+def _merge_months(batch: DataFrame, known: DataFrame, table: str, runs: list[str], months: list[str]) -> None:
+    """Rewrite the given months, which hold all earlier versions; append what goes elsewhere."""
     spark = batch.sparkSession
-    target = spark.table(table)
-    keys = batch.where("order_id IS NOT NULL").select("order_id").distinct()
     of_runs = F.coalesce(F.col(RUN).isin(runs), F.lit(False)) if runs else F.lit(False)
-    # Months are bounded by the calendar, so their names may come to the driver.
-    old = target.join(keys, "order_id", "left_semi").select(MONTH)
-    left_behind = target.where(of_runs).select(MONTH)
-    old_months = {row[0] for row in old.unionByName(left_behind).distinct().collect()}
-    new_months = {row[0] for row in batch.select(MONTH).distinct().collect()}
-    touched = sorted(old_months | new_months)
-    if not touched:
-        return
-    # What the touched months hold is stored once and read for all that follows.
-    held = target.where(F.col(MONTH).isin(touched) & ~of_runs).select(*batch.columns)
-    with frozen(held, "touched") as held:
-        untouched = held.join(keys, "order_id", "left_anti")
-        versions = (
-            held.join(keys, "order_id", "left_semi")
-            .withColumn("_newer", F.lit(0))
-            .unionByName(batch.where("order_id IS NOT NULL").withColumn("_newer", F.lit(1)))
-        )
-        order = [F.col("_ingested_at").desc_nulls_last(), F.col("_newer").desc()]
-        latest = latest_per_key(versions, ["order_id"], order).drop("_newer")
-        merged = untouched.unionByName(latest).unionByName(batch.where("order_id IS NULL"))
-        with frozen(merged, "merged") as merged:
-            overwrite_partitions(clustered(merged, ["order_date", "region"], "order_id", [MONTH]), table)
-            # Months that lose their last row do not occur in the result and must be dropped.
-            kept = {row[0] for row in merged.select(MONTH).distinct().collect()}
-    for month in sorted(old_months - kept):
+    inside = F.col(MONTH).isin(months)
+    held = spark.table(table).where(inside & ~of_runs).select(*batch.columns)
+    again = known.select("order_id").distinct()
+    versions = (
+        held.join(again, "order_id", "left_semi")
+        .withColumn("_newer", F.lit(0))
+        .unionByName(batch.join(again, "order_id", "left_semi").withColumn("_newer", F.lit(1)))
+    )
+    order = [F.col("_ingested_at").desc_nulls_last(), F.col("_newer").desc()]
+    latest = latest_per_key(versions, ["order_id"], order).drop("_newer")
+    # At most as many rows as the batch has; it is read for both writes.
+    with frozen(latest.unionByName(batch.join(again, "order_id", "left_anti")), "placed") as placed:
+        merged = held.join(again, "order_id", "left_anti").unionByName(placed.where(inside))
+        kept = {row[0] for row in merged.select(MONTH).distinct().collect()}
+        if not placed.where(~inside).isEmpty():
+            _append_orders(placed.where(~inside), table)
+        overwrite_partitions(clustered(merged, ["order_date", "region"], "order_id", [MONTH]), table)
+    # Months that lost their last row do not occur in the result and must be dropped.
+    for month in sorted(set(months) - kept):
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({MONTH} = '{month}')")
         # The folder of a partition at a fixed location stays behind a dropped partition.
         remove_folder(spark, f"{table_path(spark, table)}/{MONTH}={month}")
@@ -218,8 +340,3 @@ def _merge_months(batch: DataFrame, table: str, runs: list[str]) -> None:
 def table_path(spark: SparkSession, table: str) -> str:
     rows = spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'").collect()
     return rows[0].data_type
-
-
-def record_loaded_runs(spark: SparkSession, run_ids: Sequence[str], at: datetime, layers: Layers) -> None:
-    rows = spark.createDataFrame([(run_id, at) for run_id in run_ids], LOADED_RUNS)
-    append_table(rows.coalesce(1), layers.stg_sales_runs)

@@ -11,17 +11,11 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ordermart.functions.columns import DATE_FORMATS, missing_to_null
 from ordermart.operators.ingest import with_ingest_metadata, with_row_hash
-from ordermart.operators.staging import of_run, stage_latest
+from ordermart.plans.deliveries import load_deliveries
 from ordermart.plans.ingestion import load_raw
 from ordermart.plans.runlog import utc_now
 from ordermart.schemas import BUSINESS_COLUMNS, LANDING, Layers
-from ordermart.sinks.tables import (
-    overwrite_partitions,
-    record_loaded_runs,
-    setup_raw,
-    setup_staging,
-    upsert_orders,
-)
+from ordermart.sinks.tables import overwrite_partitions, setup_raw, setup_staging
 from ordermart.sources.landing import CORRUPT, LANDING_OPTIONS
 
 
@@ -57,16 +51,15 @@ def load_batch(
 ) -> None:
     """Load one micro-batch into raw and upsert it into ``stg_sales``.
 
-    All writes replace what an earlier attempt of the same run id wrote, so a batch that
-    Spark repeats after a failure leaves the tables as one attempt would.
+    The raw rows replace what an earlier attempt of the same run id wrote. That makes them a
+    new delivery in place of the old one, and the run's rows are replaced in ``stg_sales``
+    too, so a batch that Spark repeats after a failure leaves the tables as one attempt would.
     """
     spark = batch.sparkSession
     now = utc_now()
     rows = with_row_hash(with_ingest_metadata(batch, run_id, now, F.col("_source_file")))
     load_raw(rows, layers, date_formats, overwrite_partitions)
-    stored = of_run(spark.table(layers.raw_sales_orders), run_id)
-    upsert_orders(stage_latest(stored, now, rule, date_formats), layers.stg_sales, run_id)
-    record_loaded_runs(spark, [run_id], now, layers)
+    load_deliveries(spark, now, layers, rule, date_formats, run_id)
 
 
 def stream_run_id(spark: SparkSession, name: str, number: int) -> str:
@@ -119,5 +112,5 @@ def run_landing_stream(
     Batches write from a session of their own, so the tables are refreshed for the caller.
     """
     start_landing_stream(spark, directory, checkpoint_dir, layers=layers, **options).awaitTermination()
-    for table in (layers.raw_sales_orders, layers.stg_sales, layers.stg_sales_runs):
+    for table in (layers.raw_sales_orders, layers.stg_sales, layers.stg_sales_keys, layers.stg_sales_deliveries):
         spark.catalog.refreshTable(table)

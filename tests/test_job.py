@@ -9,14 +9,13 @@ from pathlib import Path
 
 import pytest
 from conftest import write_csv
-from ordermart.plans import models
+from ordermart.plans import deliveries
 from ordermart.plans.batch import run_full_pipeline
 from ordermart.plans.ingestion import load_raw, prepare, run_ingestion
 from ordermart.plans.models import count_failures, declared_tests, refresh_product_sales, refresh_stg_sales
 from ordermart.plans.transformation import in_months, loaded_order_ids, months_of_run, run_transformations
 from ordermart.schemas import ORDER_IDS
-from ordermart.sinks import tables
-from ordermart.sinks.tables import overwrite_table, setup_raw
+from ordermart.sinks.tables import append_table, overwrite_table, setup_raw
 from ordermart.streaming.landing import run_landing_stream
 
 AT = datetime(2024, 3, 1)
@@ -109,9 +108,14 @@ def test_a_refresh_that_stopped_halfway_is_put_right(spark, layers, tmp_path, mo
     def full(*_):
         raise RuntimeError("no space left")
 
+    calls = []
+
+    def full_after_the_start(*arguments):
+        calls.append(arguments)
+        return full() if len(calls) > 1 else append_table(*arguments)
+
     with monkeypatch.context() as broken:
-        broken.setattr(tables, "table_path", full)
-        broken.setattr(models, "record_loaded_runs", full)
+        broken.setattr(deliveries, "append_table", full_after_the_start)
         with pytest.raises(RuntimeError):
             refresh_stg_sales(spark, AT, layers)
     refresh_stg_sales(spark, AT, layers)
