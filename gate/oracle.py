@@ -299,6 +299,14 @@ SELECT {_PLAIN}, _is_valid FROM (
     "second_delivery": _MODEL.replace("('RUN_B' AS _pipeline_run_id)", "('RUN_A' AS _pipeline_run_id)"),
     "pipeline_run": f"WITH {JOB_STAR}, {SUMMARY}",
     "pipeline_fact": f"""WITH {JOB_STAR} SELECT {PLAIN_FACT.replace(", '2026-01-01 00:00:00' AS _loaded_at", "")} FROM fact""",
+    "clustered_tables": f"""WITH {JOB_STAR}
+SELECT 'stg_sales_orders' AS table_name, _pipeline_run_id, count(*) AS n_rows,
+  min(CAST(strftime(order_date, '%Y%m%d') AS INTEGER)) AS first_day,
+  max(CAST(strftime(order_date, '%Y%m%d') AS INTEGER)) AS last_day, 0 AS overlapping_files
+FROM staged GROUP BY _pipeline_run_id
+UNION ALL
+SELECT 'fact_sales_orders', _pipeline_run_id, count(*), min(date_key), max(date_key), 0
+FROM fact GROUP BY _pipeline_run_id""",
     "run_metadata": f"""WITH {JOB_STAGED}
 SELECT r._pipeline_run_id, 'SALES_ETL_PIPELINE' AS pipeline_name, 'SUCCESS' AS status, count(*) AS rows_ingested,
   count(*) FILTER (WHERE order_id IS NOT NULL AND product_id IS NOT NULL) AS rows_transformed, '' AS error_message,

@@ -10,7 +10,7 @@ import uuid
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType, StructType, TimestampNTZType
 
@@ -43,7 +43,7 @@ from ordermart.schemas import (
     Layers,
 )
 from ordermart.session import freeze, scratch_path
-from ordermart.sinks.tables import setup_raw
+from ordermart.sinks.tables import file_ranges, setup_raw
 from ordermart.sources.landing import read_landing
 from ordermart.streaming.landing import run_landing_stream
 
@@ -354,6 +354,25 @@ def pipeline_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(spark.table(_run_job(spark, sf_dir).fact_sales_orders).drop("_loaded_at"))
 
 
+def clustered_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Layout of staging and fact by run, from their files: rows, key range, overlapping files."""
+    layers = _run_job(spark, sf_dir)
+    found = None
+    for table, key in ((layers.stg_sales_orders, F.date_format("order_date", "yyyyMMdd").cast("int")), (layers.fact_sales_orders, F.col("date_key"))):
+        part = file_ranges(spark.table(table).withColumn("day", key), "day", "_pipeline_run_id")
+        before = F.lag("high").over(Window.partitionBy("_pipeline_run_id").orderBy("low", "high"))
+        part = part.withColumn("overlaps", F.coalesce((F.col("low") < before).cast("int"), F.lit(0)))
+        part = part.groupBy("_pipeline_run_id").agg(
+            F.sum("n_rows").alias("n_rows"),
+            F.min("low").alias("first_day"),
+            F.max("high").alias("last_day"),
+            F.sum("overlaps").alias("overlapping_files"),
+        )
+        part = part.withColumn("table_name", F.lit(table.split(".")[1]))
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
 def run_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log rows of both runs, with the rows their steps left in raw and staging."""
     layers = _run_job(spark, sf_dir)
@@ -415,6 +434,7 @@ QUERIES = {
     "second_delivery": second_delivery,
     "pipeline_run": pipeline_run,
     "pipeline_fact": pipeline_fact,
+    "clustered_tables": clustered_tables,
     "run_metadata": run_metadata,
     "declared_tests": fact_references,
 }

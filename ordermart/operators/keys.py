@@ -20,7 +20,7 @@ def highest_key(df: DataFrame, surrogate: str) -> int:
 
 
 def assign_surrogate_keys(
-    df: DataFrame, surrogate: str, order_by: Sequence[str], start: int = 0
+    df: DataFrame, surrogate: str, order_by: Sequence[str], start: int = 0, ranges: int | None = None
 ) -> DataFrame:
     """Number the rows ``start + 1 …`` by ``order_by``, as a global row_number would.
 
@@ -28,10 +28,11 @@ def assign_surrogate_keys(
     unique, so a hot leading value still splits) and then checkpointed: counts and keys come
     from the same stored rows, whatever executor is lost meanwhile. Only one count per
     partition reaches the driver. The result keeps that layout, so writing it gives one
-    sorted file per range.
+    sorted file per range; ``ranges`` is their number, else the session's.
     """
     spark = df.sparkSession
-    stored = checkpoint(df.repartitionByRange(*order_by).sortWithinPartitions(*order_by))
+    parts = [] if ranges is None else [ranges]
+    stored = checkpoint(df.repartitionByRange(*parts, *order_by).sortWithinPartitions(*order_by))
     partition = F.spark_partition_id().alias("_partition")
     counts = sorted(stored.groupBy(partition).count().collect())
     offsets = accumulate((row["count"] for row in counts), initial=start)

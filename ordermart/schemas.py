@@ -124,6 +124,9 @@ ORDER_MONTHS = _schema({"order_id": STRING, "_order_month": STRING})
 # Order ids in the fact, kept apart so that a load need not read the fact.
 ORDER_IDS = _schema({"order_id": STRING})
 
+# How often a key occurs in the rows of one delivery, for the keys that must be unique.
+KEY_COUNTS = _schema({"name": STRING, "key": STRING, "delivery": STRING, "n": LongType()})
+
 DIM_CUSTOMER = _schema(
     {
         "customer_sk": LongType(),
@@ -195,6 +198,24 @@ SALES_SUMMARY = _schema(
     }
 )
 
+# Sums and counts of the fact rows of each run, by month, status and surrogate keys.
+SALES_TOTALS = _schema(
+    {
+        "year_month": IntegerType(),
+        "year": IntegerType(),
+        "month": IntegerType(),
+        "month_name": STRING,
+        "customer_sk": LongType(),
+        "product_sk": LongType(),
+        "status": STRING,
+        "_orders": LongType(),
+        "_quantity": DecimalType(38, 0),
+        "_amount": DecimalType(38, 4),
+        "_amounts": LongType(),
+        "_pipeline_run_id": STRING,
+    }
+)
+
 PRODUCT_SALES = _schema(
     {
         "product_id": STRING,
@@ -256,6 +277,16 @@ class Layers:
     def raw_sales_orders(self) -> str:
         return f"{self.raw}.raw_sales_orders"
 
+    @property
+    def raw_key_counts(self) -> str:
+        """Occurrences of each order id and row hash in each delivery."""
+        return f"{self.raw}.raw_key_counts"
+
+    @property
+    def raw_counted_deliveries(self) -> str:
+        """Deliveries whose keys have been counted; written after the counts."""
+        return f"{self.raw}.raw_counted_deliveries"
+
     @property
     def stg_sales_orders(self) -> str:
         """Deduplicated per run; feeds the star (first load of an order wins)."""
@@ -300,6 +331,11 @@ class Layers:
     def sales_summary(self) -> str:
         return f"{self.dwh}.sales_summary"
 
+    @property
+    def sales_totals(self) -> str:
+        """What the summary adds up, kept by run."""
+        return f"{self.dwh}.sales_totals"
+
     @property
     def dim_product_sales(self) -> str:
         return f"{self.dwh}.dim_product_sales"

@@ -108,6 +108,12 @@ def subfolders(spark: SparkSession, folder: str) -> list[str]:
     return [entry.getPath().toString() for entry in files.listStatus(path) if entry.isDirectory()]
 
 
+def folder_bytes(spark: SparkSession, folder: str) -> int:
+    """Bytes of all files below a folder, 0 where it does not exist."""
+    files, path = _files(spark, folder)
+    return files.getContentSummary(path).getLength() if files.exists(path) else 0
+
+
 def full_path(spark: SparkSession, folder: str) -> str:
     """The folder with its file system and without relative parts."""
     files, path = _files(spark, folder)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
@@ -19,16 +20,18 @@ from ordermart.schemas import (
     DIM_PRODUCT,
     DQ_REPORT,
     FACT,
+    KEY_COUNTS,
     ORDER_IDS,
     ORDER_MONTHS,
     PRODUCT_SALES,
     RAW,
     RUN_LOG,
     SALES_SUMMARY,
+    SALES_TOTALS,
     STAGING,
     Layers,
 )
-from ordermart.session import folder_exists, frozen, full_path, remove_folder, subfolders
+from ordermart.session import folder_bytes, folder_exists, frozen, full_path, remove_folder, subfolders
 
 RUN = "_pipeline_run_id"
 MONTH = "_order_month"
@@ -156,6 +159,8 @@ def grow_keys(spark: SparkSession, table: str, key: str, bucket_rows: int) -> in
 def setup_raw(spark: SparkSession, layers: Layers) -> None:
     ensure_database(spark, layers.raw, layers.root)
     ensure_table(spark, layers.raw_sales_orders, RAW, [RUN], layers.root)
+    ensure_table(spark, layers.raw_counted_deliveries, DELIVERIES, (), layers.root)
+    ensure_keys(spark, layers.raw_key_counts, KEY_COUNTS, "key", layers.order_buckets, layers.root)
 
 
 def setup_staging(spark: SparkSession, layers: Layers) -> None:
@@ -175,6 +180,7 @@ def setup_dwh(spark: SparkSession, layers: Layers) -> None:
     ensure_table(spark, layers.fact_sales_orders, FACT, (), layers.root)
     ensure_keys(spark, layers.fact_order_ids, ORDER_IDS, "order_id", layers.order_buckets, layers.root)
     ensure_table(spark, layers.sales_summary, SALES_SUMMARY, ["year", "month"], layers.root)
+    ensure_table(spark, layers.sales_totals, SALES_TOTALS, [RUN], layers.root)
     ensure_table(spark, layers.dim_product_sales, PRODUCT_SALES, (), layers.root)
 
 
@@ -191,6 +197,11 @@ def partition_folder(spark: SparkSession, table: str, column: str, value: str) -
     return f"{table_path(spark, table)}/{found.partition}" if found else None
 
 
+def partition_bytes(spark: SparkSession, table: str, column: str, value: str) -> int:
+    folder = partition_folder(spark, table, column, value)
+    return folder_bytes(spark, folder) if folder else 0
+
+
 def partition_values(spark: SparkSession, table: str, column: str) -> list[str]:
     """Values of a partition column, from the catalog alone."""
     specs = (row.partition for row in spark.sql(f"SHOW PARTITIONS {table}").collect())
@@ -238,16 +249,49 @@ def overwrite_partitions(df: DataFrame, table: str) -> None:
         _in_table_order(df, table).write.insertInto(table, overwrite=True)
 
 
+# Size that clustered files are made for, and the size below which a file is not worth a core.
+FILE_BYTES = 256 << 20
+LEAST_BYTES = 4 << 20
+
+
+def range_count(spark: SparkSession, stored_bytes: int, file_bytes: int = FILE_BYTES) -> int:
+    """Ranges for rows that take ``stored_bytes``: files of the target size, or one a core.
+
+    Small inputs are spread over the cores as long as the files keep ``LEAST_BYTES``.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    least = min(LEAST_BYTES, file_bytes)
+    return max(1, math.ceil(stored_bytes / file_bytes), min(cores, math.ceil(stored_bytes / least)))
+
+
+def plan_bytes(df: DataFrame) -> int:
+    """Bytes of the files that ``df`` reads, as Spark's listing has them, for scans and unions."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def clustered(
-    df: DataFrame, keys: Sequence[str], unique_key: str, partition_by: Sequence[str] = ()
+    df: DataFrame,
+    keys: Sequence[str],
+    unique_key: str,
+    partition_by: Sequence[str] = (),
+    stored_bytes: int | None = None,
+    file_bytes: int = FILE_BYTES,
 ) -> DataFrame:
     """Range-partition and sort by the clustering keys, so files cover narrow key ranges.
 
     The unique key comes last in the ranges: a hot clustering value is spread over as many
-    files as its size asks for.
+    files as its size asks for. With ``stored_bytes``, what the rows take where they come
+    from, the number of ranges follows ``file_bytes``; without, it is the session's.
     """
     order = [*partition_by, *keys]
-    return df.repartitionByRange(*order, unique_key).sortWithinPartitions(*order)
+    parts = [] if stored_bytes is None else [range_count(df.sparkSession, stored_bytes, file_bytes)]
+    return df.repartitionByRange(*parts, *order, unique_key).sortWithinPartitions(*order)
+
+
+def file_ranges(table: DataFrame, key: str, *by: str) -> DataFrame:
+    """Rows and key range of every data file; files of rows without the key have NULL bounds."""
+    files = table.groupBy(*by, F.col("_metadata.file_path").alias("file"))
+    return files.agg(F.count(F.lit(1)).alias("n_rows"), F.min(key).alias("low"), F.max(key).alias("high"))
 
 
 def with_order_month(df: DataFrame) -> DataFrame:
@@ -306,7 +350,7 @@ def _rebuild_lost_index(spark: SparkSession, table: str, index: str) -> None:
 
 
 def _append_orders(rows: DataFrame, table: str) -> None:
-    append_table(clustered(rows, ["order_date", "region"], "order_id", [MONTH]), table)
+    append_table(clustered(rows, ["order_date", "region"], "order_id", [MONTH], plan_bytes(rows)), table)
 
 
 def _merge_months(batch: DataFrame, known: DataFrame, table: str, runs: list[str], months: list[str]) -> None:
@@ -329,7 +373,8 @@ def _merge_months(batch: DataFrame, known: DataFrame, table: str, runs: list[str
         kept = {row[0] for row in merged.select(MONTH).distinct().collect()}
         if not placed.where(~inside).isEmpty():
             _append_orders(placed.where(~inside), table)
-        overwrite_partitions(clustered(merged, ["order_date", "region"], "order_id", [MONTH]), table)
+        layout = clustered(merged, ["order_date", "region"], "order_id", [MONTH], plan_bytes(merged))
+        overwrite_partitions(layout, table)
     # Months that lost their last row do not occur in the result and must be dropped.
     for month in sorted(set(months) - kept):
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({MONTH} = '{month}')")

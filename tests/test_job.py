@@ -13,7 +13,7 @@ from ordermart.plans import deliveries
 from ordermart.plans.batch import run_full_pipeline
 from ordermart.plans.ingestion import load_raw, prepare, run_ingestion
 from ordermart.plans.models import count_failures, declared_tests, refresh_product_sales, refresh_stg_sales
-from ordermart.plans.transformation import in_months, loaded_order_ids, months_of_run, run_transformations
+from ordermart.plans.transformation import loaded_order_ids, run_transformations
 from ordermart.schemas import ORDER_IDS
 from ordermart.sinks.tables import append_table, overwrite_table, setup_raw
 from ordermart.streaming.landing import run_landing_stream
@@ -175,19 +175,6 @@ def test_the_stored_ids_are_not_shuffled(spark, layers, tmp_path):
     assert plan.count("Exchange hashpartitioning") == 1 and "LeftAnti" in plan
 
 
-def test_summary_reads_ranges_of_the_touched_months(spark, layers, tmp_path):
-    rows = [{"order_id": "A", "order_date": "2014-12-31"}, {"order_id": "B", "order_date": "2015-01-01"}]
-    rows.append({"order_id": "C", "order_date": "2024-06-01"})
-    run_full_pipeline(spark, write_csv(tmp_path / "a.csv", rows), "RUN_1", layers)
-    months = months_of_run(spark, "RUN_1", layers)
-    assert months == [201412, 201501, 202406]
-    fact = spark.table(layers.fact_sales_orders).where(in_months(months))
-    plan = fact._jdf.queryExecution().executedPlan().toString()
-    pushed = plan[plan.index("PushedFilters") :]
-    assert "[Or(And(GreaterThanOrEqual(date_key,20141200),LessThanOrEqual(date_key,20150199)),And(" in pushed
-    assert fact.count() == 3
-
-
 def test_declared_tests_reach_the_fact_and_repeated_rows(spark, layers, tmp_path):
     rows = [{"order_id": "A"}, {"order_id": "A"}, {"order_id": "B", "status": "ODD", "customer_id": None}]
     run_ingestion(spark, write_csv(tmp_path / "a.csv", rows), "RUN_1", layers)

@@ -1,0 +1,158 @@
+"""Stored totals, key counts and file sizes: what is kept up over runs instead of made anew."""
+
+from datetime import datetime
+
+import pytest
+from conftest import write_csv
+from ordermart.operators.expectations import duplicate_rows, unique
+from ordermart.operators.marts import sales_summary
+from ordermart.plans import transformation
+from ordermart.plans.batch import run_full_pipeline
+from ordermart.plans.ingestion import run_ingestion
+from ordermart.plans.keycounts import count_keys, rebuild_key_counts, refresh_key_counts, repeated_keys
+from ordermart.plans.transformation import refresh_sales_summary, totals_of_run, update_totals
+from ordermart.sinks.tables import clustered, file_ranges, overwrite_partitions, partition_values, range_count
+from ordermart.streaming.landing import run_landing_stream
+from pyspark.sql import functions as F
+
+AT = datetime(2024, 3, 1)
+
+
+@pytest.fixture
+def run(spark, layers, tmp_path):
+    def job(run_id, *rows):
+        path = write_csv(tmp_path / f"{run_id}.csv", [{"order_id": i, **more} for i, more in rows])
+        return run_full_pipeline(spark, path, run_id, layers)
+
+    return job
+
+
+def summary(spark, layers):
+    return sorted(map(str, spark.table(layers.sales_summary).collect()))
+
+
+def from_the_fact(spark, layers):
+    tables = (layers.fact_sales_orders, layers.dim_date, layers.dim_customer, layers.dim_product)
+    rows = sales_summary(*map(spark.table, tables)).select(*spark.table(layers.sales_summary).columns)
+    return sorted(map(str, rows.collect()))
+
+
+def test_totals_add_up_over_runs_and_a_repeated_step_adds_nothing(spark, layers, run):
+    run("RUN_1", ("A", {}), ("B", {"order_date": "2024-02-01", "customer_id": None}), ("C", {"total_amount": "x"}))
+    run("RUN_2", ("D", {}), ("E", {"customer_id": "CUST-2"}), ("A", {"quantity": "3"}))
+    assert summary(spark, layers) == from_the_fact(spark, layers)
+    assert partition_values(spark, layers.sales_totals, "_pipeline_run_id") == ["RUN_1", "RUN_2"]
+    for again in ("RUN_1", "RUN_2"):
+        refresh_sales_summary(spark, layers, again)
+    assert summary(spark, layers) == from_the_fact(spark, layers)
+    assert update_totals(spark, "RUN_2", layers) == [202401]
+    assert update_totals(spark, "no such run", layers) == []
+
+
+def test_a_refresh_reads_only_the_fact_rows_of_its_run(spark, layers, run):
+    run("RUN_1", *[(f"A{i}", {}) for i in range(100)])
+    run("RUN_2", ("B", {}))
+    totals = totals_of_run(spark, "RUN_2", layers)
+    plan = totals._jdf.queryExecution().executedPlan().toString()
+    scan = plan[plan.index("fact_sales_orders") :]
+    assert "EqualTo(_pipeline_run_id,RUN_2)" in scan[scan.index("PushedFilters") :].split("\n")[0]
+    assert totals.agg(F.sum("_orders")).first()[0] == 1
+
+
+def test_many_runs_are_added_up_and_a_late_delivery_of_one_is_put_right(spark, layers, run, monkeypatch):
+    monkeypatch.setattr(transformation, "KEPT_RUNS", 2)
+    for number in range(1, 4):
+        run(f"RUN_{number}", (f"A{number}", {}), (f"B{number}", {"order_date": f"2024-0{number}-02"}))
+    assert partition_values(spark, layers.sales_totals, "_pipeline_run_id") == ["all"]
+    assert summary(spark, layers) == from_the_fact(spark, layers)
+    run("RUN_1", ("C1", {}))
+    assert partition_values(spark, layers.sales_totals, "_pipeline_run_id") == ["all"]
+    run("RUN_5", ("C5", {}))
+    assert partition_values(spark, layers.sales_totals, "_pipeline_run_id") == ["RUN_5", "all"]
+    assert summary(spark, layers) == from_the_fact(spark, layers) and len(summary(spark, layers)) == 3
+
+
+def test_lost_totals_are_made_anew(spark, layers, run):
+    run("RUN_1", ("A", {}), ("B", {"order_date": "2024-02-01"}))
+    spark.sql(f"ALTER TABLE {layers.sales_totals} DROP PARTITION (_pipeline_run_id = 'RUN_1')")
+    run("RUN_2", ("C", {}))
+    assert summary(spark, layers) == from_the_fact(spark, layers) and len(summary(spark, layers)) == 2
+
+
+def failing(spark, layers):
+    return {
+        name: sorted(tuple(r) for r in repeated_keys(spark, name, layers).collect()) for name in ("order_id", "_row_hash")
+    }
+
+
+def grouped(spark, layers):
+    raw = spark.table(layers.raw_sales_orders)
+    repeats = duplicate_rows(raw).select("_row_hash", F.col("extra_rows") + 1)
+    return {
+        "order_id": sorted(map(tuple, unique(raw, "order_id").collect())),
+        "_row_hash": sorted(map(tuple, repeats.collect())),
+    }
+
+
+def test_key_counts_follow_the_deliveries(spark, layers, tmp_path):
+    def ingest(name, run_id, *rows):
+        run_ingestion(spark, write_csv(tmp_path / name, [{"order_id": i, **more} for i, more in rows]), run_id, layers)
+
+    ingest("a.csv", "RUN_1", ("A", {}), ("B", {}), ("B", {}), (None, {}), (None, {}))
+    assert refresh_key_counts(spark, layers) == ["RUN_1"] and refresh_key_counts(spark, layers) == []
+    assert failing(spark, layers) == grouped(spark, layers) and [k for k, _ in failing(spark, layers)["order_id"]] == ["B"]
+    ingest("b.csv", "RUN_1", ("A", {}), ("C", {}))
+    ingest("c.csv", "RUN_2", ("C", {"status": "FAILED"}))
+    assert refresh_key_counts(spark, layers) == ["RUN_1", "RUN_2"]
+    found = failing(spark, layers)
+    assert found == grouped(spark, layers) and found["order_id"] == [("A", 2), ("B", 2), ("C", 2)]
+    rebuild_key_counts(spark, layers)
+    assert failing(spark, layers) == found and refresh_key_counts(spark, layers) == []
+    # The same counts again, as an attempt leaves them that stopped before the ledger.
+    spark.table(layers.raw_key_counts).where("key = 'B'").write.insertInto(layers.raw_key_counts)
+    assert failing(spark, layers) == found
+
+
+def test_overwritten_deliveries_do_not_count(spark, layers, tmp_path):
+    run_ingestion(spark, write_csv(tmp_path / "a.csv", [{"order_id": "A"}, {"order_id": "A"}, {"order_id": "B"}]), "RUN_1", layers)
+    refresh_key_counts(spark, layers)
+    raw = spark.table(layers.raw_sales_orders)
+    overwrite_partitions(raw.where("order_id = 'B'").unionByName(raw.where("order_id = 'B'")), layers.raw_sales_orders)
+    write_csv(tmp_path / "in" / "b.csv", [{"order_id": "A"}])
+    run_landing_stream(spark, str(tmp_path / "in"), str(tmp_path / "progress"), layers)
+    refresh_key_counts(spark, layers)
+    assert failing(spark, layers) == grouped(spark, layers)
+    assert failing(spark, layers)["order_id"] == [("B", 2)]
+
+
+def test_stored_counts_are_not_shuffled(spark, layers, tmp_path):
+    run_ingestion(spark, write_csv(tmp_path / "a.csv", [{"order_id": "A"}]), "RUN_1", layers)
+    refresh_key_counts(spark, layers)
+    plan = repeated_keys(spark, "order_id", layers)._jdf.queryExecution().executedPlan().toString()
+    assert "raw_key_counts" in plan and "Exchange" not in plan
+    assert count_keys(spark.table(layers.raw_sales_orders).withColumn("_delivery", F.lit("d"))).count() == 2
+
+
+@pytest.mark.parametrize("rows", [20_000, 80_000])
+def test_file_sizes_follow_the_target(spark, tmp_path, rows):
+    df = spark.range(0, rows, 1, 4).select(
+        F.when(F.col("id") % 3 == 0, F.lit(500)).otherwise(F.pmod(F.hash("id"), F.lit(1000))).alias("day"),
+        F.lit("EMEA").alias("region"),
+        F.sha2(F.col("id").cast("string"), 256).alias("order_id"),
+    )
+    df.write.parquet(str(tmp_path / "in"))
+    source = spark.read.parquet(str(tmp_path / "in"))
+    size = sum(f.stat().st_size for f in (tmp_path / "in").glob("*.parquet"))
+    target = 200_000
+    clustered(source, ["day", "region"], "order_id", (), size, target).write.parquet(str(tmp_path / "out"))
+    sizes = [f.stat().st_size for f in (tmp_path / "out").glob("*.parquet")]
+    assert len(sizes) == range_count(spark, size, target) and abs(len(sizes) - rows * 68 / target) < 2
+    assert target / 3 < min(sizes) and max(sizes) < 2 * target
+    spans = sorted((r.low, r.high) for r in file_ranges(spark.read.parquet(str(tmp_path / "out")), "day").collect())
+    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+
+
+def test_ranges_grow_with_the_input_and_use_the_cores(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert [range_count(spark, n) for n in (0, 1, 5 << 20, 1 << 30)] == [1, 1, 2, max(4, cores)]
+    assert range_count(spark, 100 << 40) == (100 << 40) // (256 << 20)
