@@ -256,6 +256,10 @@ RUN_LOG = _schema(
 )
 
 
+# What became of each step of a run; the entry follows the step.
+STEPS = _schema({"run_id": STRING, "step": STRING, "status": STRING, "basis": STRING, "at": TIMESTAMP})
+
+
 @dataclass(frozen=True)
 class Layers:
     """Names of the four layer databases and of the tables in them.
@@ -347,3 +351,7 @@ class Layers:
     @property
     def pipeline_run_log(self) -> str:
         return f"{self.metrics}.pipeline_run_log"
+
+    @property
+    def pipeline_steps(self) -> str:
+        return f"{self.metrics}.pipeline_steps"

@@ -29,6 +29,7 @@ from ordermart.schemas import (
     SALES_SUMMARY,
     SALES_TOTALS,
     STAGING,
+    STEPS,
     Layers,
 )
 from ordermart.session import folder_bytes, folder_exists, frozen, full_path, remove_folder, subfolders
@@ -188,6 +189,7 @@ def setup_metrics(spark: SparkSession, layers: Layers) -> None:
     ensure_database(spark, layers.metrics, layers.root)
     ensure_table(spark, layers.dq_report, DQ_REPORT, (), layers.root)
     ensure_table(spark, layers.pipeline_run_log, RUN_LOG, (), layers.root)
+    ensure_table(spark, layers.pipeline_steps, STEPS, (), layers.root)
 
 
 def partition_folder(spark: SparkSession, table: str, column: str, value: str) -> str | None:

@@ -10,7 +10,7 @@ from ordermart.plans import transformation
 from ordermart.plans.batch import run_full_pipeline
 from ordermart.plans.ingestion import run_ingestion
 from ordermart.plans.keycounts import count_keys, rebuild_key_counts, refresh_key_counts, repeated_keys
-from ordermart.plans.transformation import refresh_sales_summary, totals_of_run, update_totals
+from ordermart.plans.transformation import refresh_sales_summary, run_transformations, totals_of_run, update_totals
 from ordermart.sinks.tables import clustered, file_ranges, overwrite_partitions, partition_values, range_count
 from ordermart.streaming.landing import run_landing_stream
 from pyspark.sql import functions as F
@@ -156,3 +156,81 @@ def test_ranges_grow_with_the_input_and_use_the_cores(spark):
     cores = spark.sparkContext.defaultParallelism
     assert [range_count(spark, n) for n in (0, 1, 5 << 20, 1 << 30)] == [1, 1, 2, max(4, cores)]
     assert range_count(spark, 100 << 40) == (100 << 40) // (256 << 20)
+
+
+def journal(spark, layers, run_id):
+    rows = spark.table(layers.pipeline_steps).where(F.col("run_id") == run_id).orderBy("at").collect()
+    return [(r.step, r.status) for r in rows]
+
+
+def test_a_stopped_run_goes_on_where_it_stopped(spark, layers, tmp_path, monkeypatch):
+    run_ingestion(spark, write_csv(tmp_path / "a.csv", [{"order_id": "A"}]), "RUN_1", layers)
+
+    def broken(*_):
+        raise RuntimeError("executor lost")
+
+    with monkeypatch.context() as failing_step:
+        failing_step.setattr(transformation, "load_dimension", broken)
+        with pytest.raises(transformation.StepFailed):
+            run_transformations(spark, "RUN_1", AT, layers)
+    assert journal(spark, layers, "RUN_1") == [("raw_to_staging", "SUCCESS"), ("staging_to_dim_customer", "FAILED")]
+    with monkeypatch.context() as guarded:
+        guarded.setattr(transformation, "raw_to_staging", broken)
+        results = run_transformations(spark, "RUN_1", AT, layers)
+    assert results["raw_to_staging"] == transformation.SKIPPED and results["staging_to_fact"] == "SUCCESS"
+    assert spark.table(layers.fact_sales_orders).count() == 1 and spark.table(layers.dim_customer).count() == 1
+    # A run that has been through is staged again.
+    assert set(run_transformations(spark, "RUN_1", AT, layers).values()) == {"SUCCESS"}
+
+
+def test_a_new_delivery_or_setting_starts_from_the_beginning(spark, layers, tmp_path, monkeypatch):
+    run_ingestion(spark, write_csv(tmp_path / "a.csv", [{"order_id": "A"}]), "RUN_1", layers)
+
+    def broken(*_):
+        raise RuntimeError("executor lost")
+
+    def stop():
+        with monkeypatch.context() as failing_step:
+            failing_step.setattr(transformation, "load_fact", broken)
+            with pytest.raises(transformation.StepFailed):
+                run_transformations(spark, "RUN_1", AT, layers)
+
+    stop()
+    run_ingestion(spark, write_csv(tmp_path / "b.csv", [{"order_id": "B"}]), "RUN_1", layers)
+    stop()
+    assert spark.table(layers.stg_sales_orders).count() == 2
+    results = run_transformations(spark, "RUN_1", AT, layers, rule="lenient")
+    assert set(results.values()) == {"SUCCESS"} and spark.table(layers.fact_sales_orders).count() == 2
+
+
+def test_members_of_a_run_that_stopped_are_not_lost(spark, layers, tmp_path, monkeypatch):
+    run_ingestion(spark, write_csv(tmp_path / "a.csv", [{"order_id": "A", "customer_id": "C1", "order_date": "2023-12-30"}]), "RUN_1", layers)
+
+    def broken(*_):
+        raise RuntimeError("executor lost")
+
+    with monkeypatch.context() as failing_step:
+        failing_step.setattr(transformation, "load_dimension", broken)
+        with pytest.raises(transformation.StepFailed):
+            run_transformations(spark, "RUN_1", AT, layers)
+    run_full_pipeline(spark, write_csv(tmp_path / "b.csv", [{"order_id": "B", "customer_id": "C2"}]), "RUN_2", layers)
+    assert {r.customer_id for r in spark.table(layers.dim_customer).collect()} == {"C1", "C2"}
+    assert spark.table(layers.dim_date).count() == 17
+    # Each open run was looked at once, and the stopped one can still go on.
+    assert transformation.runs_without(spark, "staging_to_dim_customer", layers) == []
+    results = run_transformations(spark, "RUN_1", AT, layers)
+    assert [name for name, status in results.items() if status == transformation.SKIPPED] == [
+        "raw_to_staging", "staging_to_dim_customer", "staging_to_dim_product", "staging_to_dim_date"
+    ]
+    assert spark.table(layers.fact_sales_orders).where("customer_sk IS NULL").count() == 0
+    assert spark.table(layers.fact_sales_orders).count() == 2 and summary(spark, layers) == from_the_fact(spark, layers)
+
+
+def test_days_outside_the_plausible_span_are_added_one_by_one(spark, layers, run, caplog):
+    run("RUN_1", ("A", {"order_date": "0202-01-15"}), ("B", {"order_date": "2024-01-15"}), ("C", {"order_date": "2024-01-18"}))
+    days = sorted(r.date_key for r in spark.table(layers.dim_date).collect())
+    assert days == [2020115, 20240115, 20240116, 20240117, 20240118]
+    assert "1 order dates are outside" in caplog.text
+    run("RUN_2", ("D", {"order_date": "2024-01-20"}), ("E", {"order_date": "0202-01-15"}))
+    assert spark.table(layers.dim_date).count() == 7
+    assert summary(spark, layers) == from_the_fact(spark, layers)
