@@ -48,6 +48,16 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def column(name: str) -> Column:
+    """A column by its whole name, dots and backticks included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def as_one_column(df: DataFrame, name: str = "row") -> Column:
+    """All columns as one struct: in it their names meet no others, and ``row.*`` gives them back."""
+    return F.struct(*[column(c) for c in df.columns]).alias(name)
+
+
 def text_of(column: str = "text") -> Column:
     """The text with null as the empty string."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

@@ -26,12 +26,11 @@ from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordermart.llm.common import blocks, signed, text_key, text_of, words
+from ordermart.llm.common import as_one_column, blocks, signed, text_key, text_of, words
 from ordermart.session import freeze
 
 BLOCK_TOKENS = 2_000_000
@@ -52,13 +51,23 @@ def _item_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def benchmark_items(benchmark: DataFrame) -> DataFrame:
-    """``item, item_id, block, terms``: different items that have words, dealt into blocks."""
-    items = freeze(
+    """``item, block, terms, names, ids``: different texts of items, dealt into blocks.
+
+    Items of the same words are one entry, however many there are: ``names`` counts them and
+    ``ids`` are their ids as text, sorted, without null.
+    """
+    named = (
         benchmark.select("item_id", text_of().alias("text"))
         .distinct()
         .mapInArrow(_item_terms, "item_id long, terms array<long>")
         .where(F.size("terms") > 0)
-        .withColumn("item", F.xxhash64("item_id", "terms")),
+        .distinct()
+    )
+    ids = F.array_sort(F.collect_set(F.col("item_id").cast("string")))
+    items = freeze(
+        named.groupBy("terms")
+        .agg(F.count(F.lit(1)).alias("names"), ids.alias("ids"))
+        .withColumn("item", F.xxhash64("terms")),
         "benchmark-items",
     )
     tokens = items.agg(F.sum(F.size("terms"))).first()[0] or 0
@@ -187,10 +196,10 @@ def near_hits(
     return np.unique(np.asarray(hits, dtype=np.int64))
 
 
-MATCHED = "key binary, positions array<int>, items array<struct<item:long,item_id:long>>"
+MATCHED = "key binary, positions array<int>, items array<long>"
 
 
-def _confirm(terms_of: dict[int, tuple[int | None, np.ndarray]], window: int, slop: int):
+def _confirm(terms_of: dict[int, np.ndarray], window: int, slop: int):
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, hit, items = [], [], []
@@ -198,10 +207,10 @@ def _confirm(terms_of: dict[int, tuple[int | None, np.ndarray]], window: int, sl
                 where = np.asarray(row["positions"], dtype=np.int64)
                 at = np.asarray(row["terms"], dtype=np.int64)
                 covered: set[int] = set()
-                found: dict[int, int | None] = {}
+                found: set[int] = set()
                 done = set()
                 for place in row["places"]:
-                    item_id, item = terms_of[place["item"]]
+                    item = terms_of[place["item"]]
                     start = place["position"] - place["at"]
                     mark = (place["item"], start, place["at"] if slop else 0)
                     if mark in done:
@@ -213,16 +222,16 @@ def _confirm(terms_of: dict[int, tuple[int | None, np.ndarray]], window: int, sl
                         got = exact_hits(where, at, start, item, window)
                     if len(got):
                         covered.update(got.tolist())
-                        found[place["item"]] = item_id
+                        found.add(place["item"])
                 if found:
                     keys.append(row["key"])
                     hit.append(sorted(covered))
-                    items.append([{"item": k, "item_id": v} for k, v in sorted(found.items())])
+                    items.append(sorted(found))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(keys, pa.binary()),
                     pa.array(hit, pa.list_(pa.int32())),
-                    pa.array(items, pa.list_(pa.struct([("item", pa.int64()), ("item_id", pa.int64())]))),
+                    pa.array(items, pa.list_(pa.int64())),
                 ],
                 ["key", "positions", "items"],
             )
@@ -231,7 +240,10 @@ def _confirm(terms_of: dict[int, tuple[int | None, np.ndarray]], window: int, sl
 
 
 def find_matches(index: DataFrame, items: DataFrame, window: int = WINDOW, slop: int = 0) -> DataFrame:
-    """``key, positions, items`` of every different text with a match; positions count words."""
+    """``key, positions, items`` of every different text with a match; positions count words.
+
+    ``items`` are entries of the benchmark, each of which stands for all items of its words.
+    """
     # One row per text, block and index row; copies of a text fall together before the shuffle.
     stored = index.where(F.size("terms") > 0).groupBy("block", "key").agg(
         F.first("terms").alias("terms"), F.first("positions").alias("positions")
@@ -250,18 +262,29 @@ def find_matches(index: DataFrame, items: DataFrame, window: int = WINDOW, slop:
     candidates = stored.join(places, ["block", "key"])
     parts = []
     for number in block_numbers(items):
-        own = items.where(F.col("block") == number).select("item", "item_id", "terms").toPandas()
-        terms_of = {
-            int(row.item): (None if pd.isna(row.item_id) else int(row.item_id), np.asarray(row.terms, np.int64))
-            for row in own.itertuples()
-        }
+        own = items.where(F.col("block") == number).select("item", "terms").toPandas()
+        terms_of = {int(row.item): np.asarray(row.terms, np.int64) for row in own.itertuples()}
         parts.append(
             candidates.where(F.col("block") == number).mapInArrow(_confirm(terms_of, window, slop), MATCHED)
         )
     matched = reduce(DataFrame.unionByName, parts)
     return matched.groupBy("key").agg(
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("positions")))).alias("positions"),
-        F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+    )
+
+
+def _named(matched: DataFrame, items: DataFrame) -> DataFrame:
+    """``items, n_items, items_sha256`` of every different set of matched entries.
+
+    Many texts share a set, and its items are listed once for all of them.
+    """
+    sets = matched.select("items").distinct().select("items", F.explode("items").alias("item"))
+    return (
+        sets.join(items.select("item", "names", "ids"), "item")
+        .groupBy("items")
+        .agg(F.sum("names").alias("n_items"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("ids")))).alias("ids"))
+        .select("items", "n_items", F.sha2(F.array_join("ids", ","), 256).alias("items_sha256"))
     )
 
 
@@ -271,12 +294,10 @@ def contamination(
     """``doc_id, n_words, n_hit, n_items, items_sha256, contaminated`` of every document."""
     items = benchmark_items(benchmark)
     index = build_index(docs, items, window, slop)
-    ids = F.filter(F.transform("items", lambda x: x["item_id"].cast("string")), lambda x: x.isNotNull())
-    matched = find_matches(index, items, window, slop).select(
-        "key",
-        F.size("positions").cast("long").alias("n_hit"),
-        F.size("items").cast("long").alias("n_items"),
-        F.sha2(F.array_join(F.array_sort(F.array_distinct(ids)), ","), 256).alias("items_sha256"),
+    found = freeze(find_matches(index, items, window, slop), "matches")
+    named = freeze(_named(found, items), "matched-sets")
+    matched = found.join(named, "items").select(
+        "key", F.size("positions").cast("long").alias("n_hit"), "n_items", "items_sha256"
     )
     return (
         index.where(F.col("block") == 0)
@@ -296,5 +317,7 @@ def contamination(
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents that hold no benchmark phrase, with all their columns."""
     items = benchmark_items(benchmark)
-    matched = find_matches(build_index(docs, items, window), items, window).select(F.col("key").alias("_matched_key"))
-    return docs.join(matched, text_key() == F.col("_matched_key"), "left_anti")
+    matched = find_matches(build_index(docs, items, window), items, window).select(F.col("key").alias("matched_key"))
+    # The documents travel as one column, so their names meet no others.
+    keyed = docs.select(as_one_column(docs), text_key().alias("key"))
+    return keyed.join(matched, F.col("key") == F.col("matched_key"), "left_anti").select("row.*")

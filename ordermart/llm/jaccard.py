@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordermart.llm.common import (
+    as_one_column,
     binary_rows,
     blocks,
     mix,
@@ -309,11 +310,9 @@ def drop_near_copies(docs: DataFrame, **options) -> DataFrame:
     # Ids that are null come last.
     order = F.struct(F.col("stands_for.first_doc").isNull(), "stands_for.first_doc", "stands_for.text_key")
     first = told.groupBy("class_key").agg(F.min_by("stands_for", order).alias("kept"))
-    kept = first.select(F.col("kept.first_doc").alias("_kept_id"), F.col("kept.text_key").alias("_kept_key"))
-    keyed = docs.withColumn("_text_key", text_key())
-    return (
-        keyed.join(kept, (F.col("_text_key") == F.col("_kept_key")) & F.col("doc_id").eqNullSafe(F.col("_kept_id")))
-        # Rows equal in id and text are copies too.
-        .dropDuplicates(["_kept_key", "_kept_id"])
-        .select(*[docs[c] for c in docs.columns])
-    )
+    kept = first.select(F.col("kept.first_doc").alias("kept_id"), F.col("kept.text_key").alias("kept_key"))
+    # The documents travel as one column, so their names meet no others.
+    keyed = docs.select(as_one_column(docs), text_key().alias("key"))
+    same = (F.col("key") == F.col("kept_key")) & F.col("row.doc_id").eqNullSafe(F.col("kept_id"))
+    # Rows equal in id and text are copies too.
+    return keyed.join(kept, same).dropDuplicates(["kept_key", "kept_id"]).select("row.*")

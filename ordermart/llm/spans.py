@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ordermart.llm.common import Block, blocks, mix, prefix_sums, signed, slice_hash, words
+from ordermart.llm.common import Block, blocks, column, mix, prefix_sums, signed, slice_hash, words
 from ordermart.session import freeze
 
 LEAST = 2
@@ -206,7 +206,11 @@ def _cut(least: int, least_words: int, width: int):
 def cut_repeated_spans(
     docs: DataFrame, least: int = LEAST, least_words: int = LEAST_WORDS
 ) -> DataFrame:
-    """``docs`` with ``text`` less its repeated spans, and ``_n_sentences, _n_removed``."""
+    """``docs`` with ``text`` less its repeated spans, and ``_n_sentences, _n_removed``.
+
+    Where ``docs`` has such a name, the count has more underscores before it.
+    """
+    n_sentences, n_removed = count_names(docs)
     identity = {
         "id": F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)),
         "mark": F.xxhash64("text"),
@@ -217,7 +221,7 @@ def cut_repeated_spans(
     names = docs.columns
     rest = [k for k, name in enumerate(names) if name.lower() != "text"]
     packed = docs.select(
-        *[F.col(f"`{names[k]}`").alias(f"c{i}") for i, k in enumerate(rest)],
+        *[column(names[k]).alias(f"c{i}") for i, k in enumerate(rest)],
         F.col("text"),
         *[c.alias(k) for k, c in identity.items()],
     )
@@ -234,19 +238,28 @@ def cut_repeated_spans(
     back = {names[k]: F.col(f"c{i}") for i, k in enumerate(rest)}
     return cut.select(
         *[back.get(name, F.col("text")).alias(name) for name in names],
-        F.col("n_sentences").alias("_n_sentences"),
-        F.col("n_removed").alias("_n_removed"),
+        F.col("n_sentences").alias(n_sentences),
+        F.col("n_removed").alias(n_removed),
     )
 
 
+def count_names(docs: DataFrame) -> list[str]:
+    """Names of the two counts that ``docs`` does not have."""
+    names, taken = ["_n_sentences", "_n_removed"], {c.lower() for c in docs.columns}
+    while taken & set(names):
+        names = [f"_{name}" for name in names]
+    return names
+
+
 def deduplicate_substrings(docs: DataFrame, **options) -> DataFrame:
     """``docs`` without repeated spans; ``n_chars`` follows the text.
 
     A document of which no word is left is dropped; one that had no words before stays.
     """
     cut = cut_repeated_spans(docs, **options)
-    kept = cut.where((F.col("_n_removed") == 0) | (F.col("_n_removed") < F.col("_n_sentences")))
+    n_sentences, n_removed = map(F.col, count_names(docs))
+    kept = cut.where((n_removed == 0) | (n_removed < n_sentences))
     if "n_chars" in docs.columns:
-        changed = F.when(F.col("_n_removed") > 0, F.char_length("text")).otherwise(F.col("n_chars"))
+        changed = F.when(n_removed > 0, F.char_length("text")).otherwise(F.col("n_chars"))
         kept = kept.withColumn("n_chars", changed.cast(docs.schema["n_chars"].dataType))
-    return kept.select(*docs.columns)
+    return kept.select(*[column(c) for c in docs.columns])

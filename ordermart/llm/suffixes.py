@@ -318,7 +318,7 @@ def _window_hashes(length: int):
 def _remove(length: int):
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            removed, spans, digests, kept = [], [], [], []
+            removed, spans, digests, kept, texts, ranges = [], [], [], [], [], []
             marks = batch.column("marks").to_pylist()
             for row, text in enumerate(batch.column("text").cast(pa.large_binary())):
                 data = np.frombuffer(text.as_buffer(), dtype=np.uint8)
@@ -333,6 +333,11 @@ def _remove(length: int):
                 spans.append(int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()))
                 digests.append(hashlib.sha256(rest).hexdigest())
                 kept.append(rest)
+                texts.append(rest.decode("utf-8", "replace"))
+                step = np.diff(np.concatenate(([0], gone.view(np.int8), [0])))
+                begin = np.flatnonzero(step == 1)
+                width = np.flatnonzero(step == -1) - begin
+                ranges.append([{"start": int(b), "length": int(w)} for b, w in zip(begin, width)])
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("key"),
@@ -340,18 +345,21 @@ def _remove(length: int):
                     pa.array(spans, pa.int64()),
                     pa.array(digests, pa.string()),
                     pa.array(kept, pa.binary()),
+                    pa.array(texts, pa.string()),
+                    pa.array(ranges, pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))),
                 ],
-                ["key", "n_removed", "n_spans", "kept_sha256", "kept"],
+                ["key", "n_removed", "n_spans", "kept_sha256", "kept", "text", "removed"],
             )
 
     return remove
 
 
 def cut_repeated_strings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """``key, n_removed, n_spans, kept_sha256, kept`` of every different text that loses bytes.
+    """``key, n_removed, n_spans, kept_sha256, kept, text, removed`` of every text that loses bytes.
 
     ``key`` is the text's ``text_key``; ``kept`` are the bytes that stay, joined together,
-    which need not be valid UTF-8.
+    which need not be valid UTF-8: ``text`` is their text with U+FFFD for what is not.
+    ``removed`` lists the maximal removed runs in bytes of the input.
     """
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("key"), text_of().alias("text"))
     named = source.mapInArrow(_name(length, gram), NAMED)
@@ -416,21 +424,24 @@ def cut_repeated_strings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM
         .agg(F.collect_set(F.struct("start", "width")).alias("marks"))
     )
     return texts.join(marks, "key").mapInArrow(
-        _remove(length), "key binary, n_removed long, n_spans long, kept_sha256 string, kept binary"
+        _remove(length),
+        "key binary, n_removed long, n_spans long, kept_sha256 string, kept binary, text string, "
+        "removed array<struct<start:long,length:long>>",
     )
 
 
 def deduplicate_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` of every document."""
+    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, text, removed`` of every document.
+
+    ``text`` is what stays of it and ``removed`` the runs that go, none for a text that stays.
+    """
     text = text_of()
-    rows = freeze(
-        docs.select(
-            "doc_id",
-            text_key().alias("key"),
-            F.octet_length(text).cast("long").alias("n_bytes"),
-            F.sha2(text, 256).alias("sha256"),
-        ),
-        "text-digests",
+    rows = docs.select(
+        "doc_id",
+        text_key().alias("key"),
+        F.octet_length(text).cast("long").alias("n_bytes"),
+        F.sha2(text, 256).alias("sha256"),
+        text.alias("whole"),
     )
     cut = freeze(cut_repeated_strings(docs, length, gram).drop("kept"), "cut-texts")
     return rows.join(cut, "key", "left").select(
@@ -439,4 +450,6 @@ def deduplicate_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -
         F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
         F.coalesce("n_spans", F.lit(0)).cast("long").alias("n_spans"),
         F.coalesce("kept_sha256", "sha256").alias("kept_sha256"),
+        F.coalesce("text", "whole").alias("text"),
+        F.coalesce("removed", F.array().cast("array<struct<start:long,length:long>>")).alias("removed"),
     )

@@ -9,10 +9,10 @@ steps of half the segments each. After radius ``s`` in the first ``a`` segments,
 query is finished once its k-th verified distance is within that bound.
 
 Equal codes are one entry with the ``k`` least ids, and equal queries are one query. A code
-met in several segments counts at its nearest segment only. Vectors that are null, or not
-of the commonest length (of equally common ones the longest), are neither found nor
-answered; a null component counts as not
-positive. Ties go by id. With fewer than ``k`` vectors all of them are returned.
+met in several segments counts at its nearest segment only. A query is answered from the
+vectors of its own length, by an index for each length that queries have. Null and empty
+vectors are neither found nor answered; a null component counts as not positive. Ties go by
+id. With fewer than ``k`` vectors all of them are returned; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -99,11 +99,21 @@ def _steps(widths: list[int]) -> list[tuple[int, range]]:
 
 
 def exact_top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
-    """``query_id, rank, id, distance`` for frames of ``id`` and ``vector``."""
-    lengths = vectors.where(F.size("vector") > 0).groupBy(F.size("vector").alias("bits")).count()
-    commonest = lengths.orderBy(F.desc("count"), F.desc("bits")).first()
-    bits = commonest.bits if commonest else 1
+    """``query_id, rank, id, distance`` for frames of ``id`` and ``vector``.
 
+    Vectors of each length are searched among their own, with an index for each length.
+    """
+    asked = queries.where(F.size("vector") > 0).select(F.size("vector").alias("bits")).distinct()
+    found = None
+    for bits in sorted(row.bits for row in asked.collect()):
+        own = _top_k_of_length(vectors, queries, bits, k)
+        found = own if found is None else found.unionByName(own)
+    if found is None:
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, id long, distance int")
+    return found
+
+
+def _top_k_of_length(vectors: DataFrame, queries: DataFrame, bits: int, k: int) -> DataFrame:
     def coded(df: DataFrame) -> DataFrame:
         whole = df.where(F.col("vector").isNotNull() & (F.size("vector") == bits))
         return whole.select("id", F.col("vector").cast("array<float>").alias("vector")).mapInArrow(

@@ -198,7 +198,7 @@ class Lexicon:
 
 
 def _classes(automaton: Automaton) -> np.ndarray:
-    table = np.zeros(0x110000, dtype=np.uint8)
+    table = np.zeros(0x110000, dtype=np.uint8 if len(automaton.alphabet) < 256 else np.int32)
     for letter, number in automaton.alphabet.items():
         table[ord(letter)] = number
     return table

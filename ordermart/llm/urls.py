@@ -44,18 +44,31 @@ def url_path(url: Column) -> Column:
     return F.coalesce(F.when(at > 0, path), F.lit(""))
 
 
-def host_suffixes(host: Column) -> Column:
-    labels = F.split(host, r"\.")
-    n = F.size(labels)
-    return F.transform(F.sequence(F.lit(1), n), lambda i: F.array_join(F.slice(labels, i, n - i + 1), "."))
+def _count(text: Column, sign: str) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit(sign)))
 
 
-def path_prefixes(path: Column) -> Column:
-    """Prefixes that end in ``/``; none for a path without one."""
-    parts = F.split(path, "/")
-    n = F.size(parts) - 1
-    whole = F.transform(F.sequence(F.lit(1), n), lambda i: F.concat(F.array_join(F.slice(parts, F.lit(1), i), "/"), F.lit("/")))
-    return F.when(n > 0, whole).otherwise(F.array().cast("array<string>"))
+def _sizes(rules: DataFrame, size: Column) -> list[int]:
+    """Numbers of labels or path parts that occur among the rules."""
+    return sorted(row[0] for row in rules.select(size).distinct().collect() if row[0] is not None)
+
+
+def _expanded(pieces: list[tuple[Column, Column]]) -> Column:
+    """Those of the pieces ``(fits, text)`` that fit."""
+    chosen = [F.when(fits, text) for fits, text in pieces]
+    return F.filter(F.array(*chosen, F.lit(None).cast("string")), lambda x: x.isNotNull())
+
+
+def host_suffixes(host: Column, labels: list[int]) -> Column:
+    """Suffixes of the given numbers of labels."""
+    dots = _count(host, ".")
+    return _expanded([(dots >= n - 1, F.substring_index(host, ".", -n)) for n in labels])
+
+
+def path_prefixes(path: Column, parts: list[int]) -> Column:
+    """Prefixes of the given numbers of parts, each ended by ``/``."""
+    slashes = _count(path, "/")
+    return _expanded([(slashes >= n, F.concat(F.substring_index(path, "/", n), F.lit("/"))) for n in parts])
 
 
 def rule_table(rules: DataFrame) -> DataFrame:
@@ -77,11 +90,14 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow") -> Da
     parsed = pages.select(
         "page_id", url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path")
     )
-    # Each different address is expanded once, however many pages have it.
+    # Each different address is expanded once, however many pages have it, and only to the
+    # numbers of labels and parts that rules have: a URL of many slashes costs no more.
+    labels = _sizes(rules, _count(F.col("host"), ".") + 1)
+    parts = _sizes(rules, _count(F.col("path"), "/"))
     addresses = parsed.select("host", "path").distinct()
     expressions = addresses.select(
-        "host", "path", F.explode(host_suffixes(F.col("host"))).alias("suffix")
-    ).select("host", "path", "suffix", F.explode(path_prefixes(F.col("path"))).alias("prefix"))
+        "host", "path", F.explode(host_suffixes(F.col("host"), labels)).alias("suffix")
+    ).select("host", "path", "suffix", F.explode(path_prefixes(F.col("path"), parts)).alias("prefix"))
     digest = F.sha2(F.concat("suffix", "prefix"), 256)
     expressions = expressions.select(
         "host", "path", digest.alias("digest"), F.substring(digest, 1, SHORT).alias("short")

@@ -76,3 +76,14 @@ def test_drop_keeps_columns_and_clean_rows(spark, documents):
     kept = c.drop_contaminated(docs, bench)
     assert kept.columns == docs.columns
     assert sorted((r.doc_id or 0, r.text or "") for r in kept.collect()) == [(0, ""), (2, "a b"), (2, "a b"), (3, "")]
+
+
+def test_many_equal_short_items(spark, documents):
+    """10,000 items of one word, and a text that is that word over and over."""
+    items = spark.range(10_000).selectExpr("id AS item_id", "'Yes' AS text")
+    docs = documents((1, "yes " * 20_000), (2, "no " * 20_000), (3, "oh yes"))
+    got = {r.doc_id: (r.n_words, r.n_hit, r.n_items) for r in c.contamination(docs, items).collect()}
+    assert got == {1: (20_000, 20_000, 10_000), 2: (20_000, 0, 0), 3: (2, 1, 10_000)}
+    ids = ",".join(sorted(map(str, range(10_000))))
+    digests = {r.items_sha256 for r in c.contamination(docs.where("doc_id <> 2"), items).collect()}
+    assert digests == {hashlib.sha256(ids.encode()).hexdigest()}

@@ -4,14 +4,13 @@ from ordermart.llm.topk import exact_top_k, search_embeddings
 
 
 def brute(vectors, queries, k):
-    bits = max((len(v) for _, v in vectors if v is not None), default=0)
     code = lambda v: [x is not None and x > 0 for x in v]
-    usable = [(i, code(v)) for i, v in vectors if v is not None and len(v) == bits]
     out = []
     for q, v in queries:
-        if v is None or len(v) != bits:
+        if not v:
             continue
         own = code(v)
+        usable = [(i, code(c)) for i, c in vectors if c is not None and len(c) == len(v)]
         near = sorted((sum(a != b for a, b in zip(own, c)), i) for i, c in usable)[:k]
         out += [(q, rank + 1, i, d) for rank, (d, i) in enumerate(near)]
     return sorted(out)
@@ -40,7 +39,15 @@ def test_empty_tables(spark):
 
 def test_one_vector_too_long_leaves_the_others(spark):
     rng = np.random.default_rng(3)
-    rows = [(i, [float(x) for x in rng.normal(size=16)]) for i in range(60)]
-    df = spark.createDataFrame([*rows, (70, [1.0] * 17)], "id long, vector array<float>")
+    rows = [(i, [float(x) for x in rng.normal(size=16)]) for i in range(60)] + [(70, [1.0] * 17)]
+    df = spark.createDataFrame(rows, "id long, vector array<float>")
     got = exact_top_k(df, df.where("id % 7 = 0"), 5).collect()
     assert sorted(tuple(r) for r in got) == brute(rows, [r for r in rows if r[0] % 7 == 0], 5)
+
+
+def test_every_length_is_searched_among_its_own(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in rng.normal(size=(16, 3, 40)[i % 3])]) for i in range(90)]
+    df = spark.createDataFrame(rows, "id long, vector array<float>")
+    got = exact_top_k(df, df.where("id < 12"), 4).collect()
+    assert sorted(tuple(r) for r in got) == brute(rows, rows[:12], 4)

@@ -183,3 +183,15 @@ def test_as_many_terms_as_there_are(spark, documents):
     assert len(model.terms) > 100 and {"zq", "qxz"} <= {term.form for term in model.terms}
     missed = {r.doc_id for r in t.judge_toxicity(docs, labels).collect() if r.predicted != int(r.doc_id % 6 == 0)}
     assert not {i for i in missed if bad[i // 6 % len(bad)] in ("zq", "qxz")} and len(missed) < 180
+
+
+def test_terms_of_many_different_letters():
+    letters = [chr(0x4E00 + k) for k in range(300)]
+    terms = [t.Term("".join(letters[k : k + 3]), False, 1.0) for k in range(0, 300, 3)]
+    automaton = t.intersect(terms)
+    table = t._classes(automaton)
+    assert len(automaton.alphabet) == 300 and len({int(table[ord(c)]) for c in letters}) == 300
+    text = "".join(letters[297:]) + " x " + "".join(letters[:3])
+    block = next(blocks(pa.array([text])))
+    final = t.found_terms(block, automaton, table)[-1]
+    assert [int(automaton.term[s]) for s in final] == [99, -1, 0]

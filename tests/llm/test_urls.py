@@ -65,3 +65,20 @@ def test_no_python_in_the_plan_and_empty_table(spark):
     assert df.collect() == []
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_a_url_of_many_slashes_and_dots(spark):
+    rows = [(1, "http://a.net" + "/" * 100_000), (2, f"http://{'a.' * 100_000}example.net/en/"), (3, "http://a.org" + "/fr" * 50_000)]
+    got = judge_urls(spark.createDataFrame(rows, "page_id long, url string"), fixed_rules(spark)).collect()
+    assert {r.page_id: (r.rule, r.verdict) for r in got} == {
+        1: ("net/", "block"),
+        2: ("example.net/en/", "allow"),
+        3: ("org/fr/", "allow"),
+    }
+
+
+def test_rules_of_several_depths(spark):
+    rules = fixed_rules(spark, [("block", "org", "/"), ("allow", "a.b.org", "/x/y/z/"), ("block", "b.org", "/x/"), ("allow", "", "/")])
+    rows = [(1, "http://c.a.b.org/x/y/z/"), (2, "http://a.b.org/x/y/"), (3, "http://b.org/y"), (4, "http:///q"), (5, "http://net/")]
+    got = judge_urls(spark.createDataFrame(rows, "page_id long, url string"), rules).collect()
+    assert {r.page_id: r.rule for r in got} == {1: "a.b.org/x/y/z/", 2: "b.org/x/", 3: "org/", 4: "/", 5: None}
