@@ -11,13 +11,14 @@ from ordermart.session import freeze
 def _large_star(edges: DataFrame) -> DataFrame:
     """Hang every larger neighbour of a node on the least of the node and its neighbours."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least("a", F.min("b")).alias("least"))
+    # Stored, so that the join reads it apart from the edges and a hub's edges can be split.
+    least = freeze(both.groupBy("a").agg(F.least("a", F.min("b")).alias("least")), "least-neighbours")
     return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Hang a node and its smaller neighbours on the least of them; every edge has ``a > b``."""
-    least = edges.groupBy("a").agg(F.min("b").alias("least"))
+    least = freeze(edges.groupBy("a").agg(F.min("b").alias("least")), "least-neighbours")
     return (
         edges.join(least, "a")
         .select(F.explode(F.array("a", "b")).alias("a"), F.col("least").alias("b"))

@@ -149,7 +149,8 @@ def repeated_spans(keyed: DataFrame, least: int, least_words: int) -> DataFrame:
     again = freeze(again, "repeated-hashes")
     places = freeze(spans.join(again.hint("shuffle_hash"), ["value", "check"]), "repeated-spans")
     place = F.struct("id", "mark", "begin", "last")
-    first = places.groupBy("value", "check").agg(F.min(place).alias("first"))
+    # Stored, so that the join can split a span that very many documents share.
+    first = freeze(places.groupBy("value", "check").agg(F.min(place).alias("first")), "first-places")
     return places.join(first, ["value", "check"]).where(place != F.col("first")).select("id", "mark", "begin", "last")
 
 
