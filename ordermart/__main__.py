@@ -5,9 +5,11 @@ from __future__ import annotations
 import argparse
 import json
 import logging
+from datetime import datetime
 
 from ordermart.functions.columns import DATE_FORMATS
 from ordermart.plans.batch import run_full_pipeline
+from ordermart.plans.closing import close_runs
 from ordermart.plans.ingestion import run_ingestion
 from ordermart.plans.models import count_failures, refresh_product_sales, refresh_stg_sales
 from ordermart.plans.runlog import utc_now
@@ -32,6 +34,8 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     transform.add_argument("run_id")
     transform.add_argument("--dimensions-from", choices=["run", "all"], default="run")
     commands.add_parser("models", help="incremental staging, product rollup and their tests")
+    close = commands.add_parser("close", help="merge the folders of older runs into one a day")
+    close.add_argument("before", type=datetime.fromisoformat, help="UTC time the runs were ingested before")
     stream = commands.add_parser("stream", help="load the files that arrived since the last call")
     stream.add_argument("directory")
     stream.add_argument("checkpoint")
@@ -58,6 +62,8 @@ def main(arguments: list[str] | None = None) -> dict:
         refresh_stg_sales(spark, utc_now(), layers, **formats)
         refresh_product_sales(spark, layers)
         result = count_failures(spark, layers)
+    elif options.command == "close":
+        result = close_runs(spark, options.before, layers)
     else:
         run_landing_stream(spark, options.directory, options.checkpoint, layers, name=options.name, **reading)
         result = {"status": "SUCCESS"}

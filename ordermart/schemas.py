@@ -118,6 +118,29 @@ STAGING = _schema(
 # another when it has ended.
 DELIVERIES = _schema({"_pipeline_run_id": STRING, "delivery": STRING, "status": STRING, "at": TIMESTAMP})
 
+# What has moved from the folder of its run into the folder of a day; see ``plans.closing``.
+CLOSED_RUNS = _schema(
+    {
+        "_pipeline_run_id": STRING,
+        "delivery": STRING,
+        "_closed_day": STRING,
+        "bytes": LongType(),
+        "status": STRING,
+        "at": TIMESTAMP,
+    }
+)
+
+
+def closed_part(table: str) -> str:
+    """Rows of the closed runs of a table that is partitioned by run."""
+    return f"{table}_closed"
+
+
+def closed_runs(table: str) -> str:
+    """Which deliveries ``closed_part`` holds."""
+    return f"{table}_closed_runs"
+
+
 # Months of ``stg_sales`` that an order has been put into, kept apart from the rows.
 ORDER_MONTHS = _schema({"order_id": STRING, "_order_month": STRING})
 

@@ -14,6 +14,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ordermart.operators.latest import latest_per_key
 from ordermart.schemas import (
+    CLOSED_RUNS,
     DELIVERIES,
     DIM_CUSTOMER,
     DIM_DATE,
@@ -31,11 +32,14 @@ from ordermart.schemas import (
     STAGING,
     STEPS,
     Layers,
+    closed_part,
+    closed_runs,
 )
 from ordermart.session import folder_bytes, folder_exists, frozen, full_path, remove_folder, subfolders
 
 RUN = "_pipeline_run_id"
 MONTH = "_order_month"
+DAY = "_closed_day"
 NO_MONTH = "none"
 
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
@@ -157,16 +161,24 @@ def grow_keys(spark: SparkSession, table: str, key: str, bucket_rows: int) -> in
     return wanted
 
 
+def ensure_by_run(spark: SparkSession, table: str, schema: StructType, root: str | None) -> None:
+    """A table with a partition for each run, and its closed runs with a partition for each day."""
+    ensure_table(spark, table, schema, [RUN], root)
+    closed = StructType([*schema.fields, StructField("_delivery", StringType()), StructField(DAY, StringType())])
+    ensure_table(spark, closed_part(table), closed, [DAY], root)
+    ensure_table(spark, closed_runs(table), CLOSED_RUNS, (), root)
+
+
 def setup_raw(spark: SparkSession, layers: Layers) -> None:
     ensure_database(spark, layers.raw, layers.root)
-    ensure_table(spark, layers.raw_sales_orders, RAW, [RUN], layers.root)
+    ensure_by_run(spark, layers.raw_sales_orders, RAW, layers.root)
     ensure_table(spark, layers.raw_counted_deliveries, DELIVERIES, (), layers.root)
     ensure_keys(spark, layers.raw_key_counts, KEY_COUNTS, "key", layers.order_buckets, layers.root)
 
 
 def setup_staging(spark: SparkSession, layers: Layers) -> None:
     ensure_database(spark, layers.staging, layers.root)
-    ensure_table(spark, layers.stg_sales_orders, STAGING, [RUN], layers.root)
+    ensure_by_run(spark, layers.stg_sales_orders, STAGING, layers.root)
     by_month = StructType([*STAGING.fields, StructField(MONTH, StringType())])
     ensure_table(spark, layers.stg_sales, by_month, [MONTH], layers.root)
     ensure_table(spark, layers.stg_sales_deliveries, DELIVERIES, (), layers.root)
@@ -192,16 +204,22 @@ def setup_metrics(spark: SparkSession, layers: Layers) -> None:
     ensure_table(spark, layers.pipeline_steps, STEPS, (), layers.root)
 
 
+def sql_text(value: str) -> str:
+    """A value as it stands between the quotes of a SQL literal."""
+    return value.replace("\\", "\\\\").replace("'", "\\'")
+
+
 def partition_folder(spark: SparkSession, table: str, column: str, value: str) -> str | None:
     """Folder of one partition, from the catalog; None where there is no such partition."""
-    quoted = value.replace("\\", "\\\\").replace("'", "\\'")
-    found = spark.sql(f"SHOW PARTITIONS {table} PARTITION ({column} = '{quoted}')").first()
+    found = spark.sql(f"SHOW PARTITIONS {table} PARTITION ({column} = '{sql_text(value)}')").first()
     return f"{table_path(spark, table)}/{found.partition}" if found else None
 
 
-def partition_bytes(spark: SparkSession, table: str, column: str, value: str) -> int:
-    folder = partition_folder(spark, table, column, value)
-    return folder_bytes(spark, folder) if folder else 0
+def partition_folders(spark: SparkSession, table: str, column: str) -> dict[str, str]:
+    """Value → folder of the partitions of a table with one partition column."""
+    root = table_path(spark, table)
+    specs = [row.partition for row in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+    return {unquote(spec.split("=", 1)[1]): f"{root}/{spec}" for spec in specs}
 
 
 def partition_values(spark: SparkSession, table: str, column: str) -> list[str]:

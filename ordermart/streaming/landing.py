@@ -11,6 +11,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ordermart.functions.columns import DATE_FORMATS, missing_to_null
 from ordermart.operators.ingest import with_ingest_metadata, with_row_hash
+from ordermart.plans.closing import finish_closing, reopen_run
 from ordermart.plans.deliveries import load_deliveries
 from ordermart.plans.ingestion import load_raw
 from ordermart.plans.runlog import utc_now
@@ -58,6 +59,7 @@ def load_batch(
     spark = batch.sparkSession
     now = utc_now()
     rows = with_row_hash(with_ingest_metadata(batch, run_id, now, F.col("_source_file")))
+    reopen_run(spark, layers.raw_sales_orders, run_id)
     load_raw(rows, layers, date_formats, overwrite_partitions)
     load_deliveries(spark, now, layers, rule, date_formats, run_id)
 
@@ -91,6 +93,7 @@ def start_landing_stream(
     """
     setup_raw(spark, layers)
     setup_staging(spark, layers)
+    finish_closing(spark, layers)
     return (
         landing_stream(spark, directory, max_files, multi_line)
         .writeStream.foreachBatch(
