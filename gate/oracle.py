@@ -206,6 +206,13 @@ _MERGED = f"""SELECT {_PLAIN}, _is_valid FROM (
   UNION ALL SELECT * FROM batch_1)"""
 _MODEL = f"WITH {RAW}, {_DELIVERIES} {_MERGED}"
 
+_QUOTED = RAW.replace("base AS (", "plain_base AS (", 1).replace(
+    "raw_orders AS",
+    """base AS (SELECT * REPLACE (product_name || ', "' || category || '",' || chr(10) || region AS product_name)
+  FROM plain_base),
+raw_orders AS""",
+)
+
 _TESTS = {
     "raw_sales_orders.order_id not_null": "SELECT count(*) FROM raw_orders WHERE order_id IS NULL",
     "raw_sales_orders.order_id unique": "SELECT count(*) FROM (SELECT 1 FROM raw_orders WHERE order_id IS NOT NULL GROUP BY order_id HAVING count(*) > 1)",
@@ -289,6 +296,16 @@ SELECT 'RUN_ALL' AS run_id, 'SALES_ETL_PIPELINE' AS pipeline_name, '2026-01-01 0
   (SELECT avg(CASE WHEN passed THEN 1.0 ELSE 0.0 END) * 100 FROM report) AS dq_pass_rate,
   '' AS error_message, (SELECT count(*) FROM raw_orders) AS metadata_rows_ingested""",
     "csv_roundtrip": f"WITH {RAW} SELECT {', '.join(BUSINESS)} FROM raw_orders",
+    "csv_quoted_text": f"WITH {_QUOTED} SELECT {', '.join(BUSINESS)} FROM raw_orders",
+    "ingestion_records": f"""WITH {_QUOTED},
+runs AS (SELECT CASE WHEN _pipeline_run_id = 'RUN_A' THEN 0 ELSE 1 END AS delivery, count(*) AS n,
+    count(*) FILTER (WHERE order_id IS NOT NULL AND product_id IS NOT NULL) AS loadable,
+    count(DISTINCT _row_hash) AS row_hashes
+  FROM raw_orders GROUP BY 1)
+SELECT delivery, CASE WHEN delivery = 0 THEN 'given' ELSE 'made' END AS id_kind, 'SUCCESS' AS status,
+  n AS rows_ingested, 0 AS rows_malformed, sum(n) OVER (ORDER BY delivery) AS raw_table_rows, loadable,
+  n AS stored_rows, row_hashes, TRUE AS stamped_within_run
+FROM runs""",
     "stream_landing": f"""WITH {RAW}, {_STREAM_BATCHES}
 SELECT {_PLAIN}, _is_valid FROM (
   SELECT * FROM batch_0 a WHERE NOT EXISTS (SELECT 1 FROM batch_1 b WHERE b.order_id = a.order_id)
@@ -307,6 +324,16 @@ FROM staged GROUP BY _pipeline_run_id
 UNION ALL
 SELECT 'fact_sales_orders', _pipeline_run_id, count(*), min(date_key), max(date_key), 0
 FROM fact GROUP BY _pipeline_run_id""",
+    "closed_run_rows": f"""WITH {JOB_STAR},
+latest AS ({latest('raw_orders', 'order_id')})
+SELECT _pipeline_run_id, r.raw_rows, r.row_hashes, s.staged_rows, s.valid_rows, s.total_amount, f.fact_rows,
+  l.latest_rows, 0 AS raw_folders, CASE WHEN _pipeline_run_id = 'RUN_A' THEN 1 ELSE 0 END AS staging_folders
+FROM (SELECT _pipeline_run_id, count(*) AS raw_rows, count(DISTINCT _row_hash) AS row_hashes
+  FROM raw_orders GROUP BY 1) r
+JOIN (SELECT _pipeline_run_id, count(*) AS staged_rows, count(*) FILTER (WHERE _is_valid) AS valid_rows,
+  CAST(sum(total_amount) AS DOUBLE) AS total_amount FROM staged GROUP BY 1) s USING (_pipeline_run_id)
+JOIN (SELECT _pipeline_run_id, count(*) AS fact_rows FROM fact GROUP BY 1) f USING (_pipeline_run_id)
+JOIN (SELECT _pipeline_run_id, count(*) AS latest_rows FROM latest GROUP BY 1) l USING (_pipeline_run_id)""",
     "run_metadata": f"""WITH {JOB_STAGED}
 SELECT r._pipeline_run_id, 'SALES_ETL_PIPELINE' AS pipeline_name, 'SUCCESS' AS status, count(*) AS rows_ingested,
   count(*) FILTER (WHERE order_id IS NOT NULL AND product_id IS NOT NULL) AS rows_transformed, '' AS error_message,

@@ -30,9 +30,11 @@ from ordermart.operators.staging import (
     stage_runs,
 )
 from ordermart.plans.batch import run_full_pipeline
-from ordermart.plans.ingestion import load_raw, prepare
+from ordermart.plans.closing import close_runs, rows_by_run
+from ordermart.plans.ingestion import load_raw, prepare, run_ingestion
 from ordermart.plans.models import count_failures, refresh_product_sales, refresh_stg_sales
-from ordermart.plans.runlog import run_log_row
+from ordermart.plans.runlog import run_log_row, utc_now
+from ordermart.plans.transformation import run_transformations
 from ordermart.schemas import (
     BUSINESS_COLUMNS,
     DIM_CUSTOMER,
@@ -43,7 +45,7 @@ from ordermart.schemas import (
     Layers,
 )
 from ordermart.session import freeze, scratch_path
-from ordermart.sinks.tables import file_ranges, setup_raw
+from ordermart.sinks.tables import file_ranges, partition_values, setup_raw
 from ordermart.sources.landing import read_landing
 from ordermart.streaming.landing import run_landing_stream
 
@@ -262,6 +264,57 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_landing(spark, path)
 
 
+def _quoted(raw: DataFrame) -> DataFrame:
+    """Product names with commas, quotes and line breaks."""
+    return raw.withColumn("product_name", F.concat("product_name", F.lit(', "'), "category", F.lit('",\n'), "region"))
+
+
+def csv_quoted_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "landing")
+    _write_landing(_quoted(raw_base(spark, sf_dir)), path)
+    return read_landing(spark, path, multi_line=True)
+
+
+def ingestion_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of two ingestions, the second without a run id, beside the rows they left."""
+    layers = _own_layers(spark)
+    raw = freeze(_quoted(raw_base(spark, sf_dir)), "raw")
+    records = []
+    for number, run_id in enumerate(RUNS):
+        _write_landing(of_run(raw, run_id), f"{layers.root}/{run_id}")
+        given = None if number else run_id
+        found = run_ingestion(spark, f"{layers.root}/{run_id}", given, layers, multi_line=True)
+        kept = [found[name] for name in ("run_id", "status", "rows_ingested", "rows_malformed", "raw_table_rows")]
+        times = [found["start_time"], found["end_time"]]
+        records.append((number, *kept, found["counts"]["loadable"], *times))
+    record = spark.createDataFrame(
+        records,
+        "delivery int, run_id string, status string, rows_ingested long, rows_malformed long, "
+        "raw_table_rows long, loadable long, start_time string, end_time string",
+    )
+    stored = spark.table(layers.raw_sales_orders).groupBy(F.col("_pipeline_run_id").alias("run_id"))
+    stored = stored.agg(
+        F.count(F.lit(1)).alias("stored_rows"),
+        F.count_distinct("_row_hash").alias("row_hashes"),
+        F.min("_ingested_at").alias("first"),
+        F.max("_ingested_at").alias("last"),
+    )
+    # Rows are stamped in whole seconds.
+    start, end = (F.date_trunc("second", F.col(name).cast("timestamp_ntz")) for name in ("start_time", "end_time"))
+    return record.join(stored, "run_id").select(
+        "delivery",
+        F.when(F.col("run_id") == RUNS[0], "given").when(F.col("run_id").rlike(r"^RUN_\d{8}_\d{6}$"), "made").alias("id_kind"),
+        "status",
+        "rows_ingested",
+        "rows_malformed",
+        "raw_table_rows",
+        "loadable",
+        "stored_rows",
+        "row_hashes",
+        (F.col("first").between(start, end) & F.col("last").between(start, end)).alias("stamped_within_run"),
+    )
+
+
 def _own_layers(spark: SparkSession) -> Layers:
     """Layers nobody else uses, in a folder of their own."""
     tag = uuid.uuid4().hex
@@ -373,6 +426,34 @@ def clustered_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found
 
 
+def closed_run_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of both runs in every table, after each has been closed and the first staged again."""
+    layers = _own_layers(spark)
+    raw = freeze(raw_base(spark, sf_dir), "raw")
+    for run_id in RUNS:
+        _write_landing(of_run(raw, run_id), f"{layers.root}/{run_id}")
+        run_full_pipeline(spark, f"{layers.root}/{run_id}", run_id, layers)
+        close_runs(spark, utc_now() + timedelta(days=1), layers)
+    run_transformations(spark, RUNS[0], AT, layers)
+    refresh_stg_sales(spark, AT, layers)
+    count = F.count(F.lit(1))
+    run = "_pipeline_run_id"
+    result = rows_by_run(spark, layers.raw_sales_orders).groupBy(run)
+    result = result.agg(count.alias("raw_rows"), F.count_distinct("_row_hash").alias("row_hashes"))
+    staged = rows_by_run(spark, layers.stg_sales_orders).groupBy(run).agg(
+        count.alias("staged_rows"),
+        F.count_if("_is_valid").alias("valid_rows"),
+        F.sum("total_amount").cast("double").alias("total_amount"),
+    )
+    fact = spark.table(layers.fact_sales_orders).groupBy(run).agg(count.alias("fact_rows"))
+    stored = spark.table(layers.stg_sales).groupBy(run).agg(count.alias("latest_rows"))
+    for part in (staged, fact, stored):
+        result = result.join(part, run)
+    for table, name in ((layers.raw_sales_orders, "raw_folders"), (layers.stg_sales_orders, "staging_folders")):
+        result = result.withColumn(name, F.col(run).isin(partition_values(spark, table, run)).cast("int"))
+    return result
+
+
 def run_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log rows of both runs, with the rows their steps left in raw and staging."""
     layers = _run_job(spark, sf_dir)
@@ -427,6 +508,8 @@ QUERIES = {
     "natural_summary": natural_summary,
     "run_log": run_log,
     "csv_roundtrip": csv_roundtrip,
+    "csv_quoted_text": csv_quoted_text,
+    "ingestion_records": ingestion_records,
     "stream_landing": stream_landing,
     "stream_two_sources": stream_two_sources,
     "model_refresh": model_refresh,
@@ -435,6 +518,7 @@ QUERIES = {
     "pipeline_run": pipeline_run,
     "pipeline_fact": pipeline_fact,
     "clustered_tables": clustered_tables,
+    "closed_run_rows": closed_run_rows,
     "run_metadata": run_metadata,
     "declared_tests": fact_references,
 }
