@@ -15,7 +15,7 @@ from ordermart.plans.closing import finish_closing, reopen_run
 from ordermart.plans.deliveries import load_deliveries
 from ordermart.plans.ingestion import load_raw
 from ordermart.plans.runlog import utc_now
-from ordermart.schemas import BUSINESS_COLUMNS, LANDING, Layers
+from ordermart.schemas import BUSINESS_COLUMNS, LANDING, Layers, closed_part, closed_runs
 from ordermart.sinks.tables import overwrite_partitions, setup_raw, setup_staging
 from ordermart.sources.landing import CORRUPT, LANDING_OPTIONS
 
@@ -115,5 +115,7 @@ def run_landing_stream(
     Batches write from a session of their own, so the tables are refreshed for the caller.
     """
     start_landing_stream(spark, directory, checkpoint_dir, layers=layers, **options).awaitTermination()
-    for table in (layers.raw_sales_orders, layers.stg_sales, layers.stg_sales_keys, layers.stg_sales_deliveries):
+    raw = layers.raw_sales_orders
+    stored = (layers.stg_sales, layers.stg_sales_keys, layers.stg_sales_deliveries)
+    for table in (raw, closed_part(raw), closed_runs(raw), *stored):
         spark.catalog.refreshTable(table)
