@@ -5,11 +5,18 @@ cut into pieces. Pieces are dealt evenly into cells of a bounded number of piece
 cell packs its pieces, longest first:
 
 * a piece goes to the open bin with the least room that still holds it;
-* without such a bin one is opened, of the permitted length that costs least for each
-  token it can hope to hold: ``cost(length) / min(length, tokens still to be packed)``
-  over the lengths that hold the piece, the shorter one on a tie;
+* without such a bin one is opened. Each permitted length that holds the piece is filled on
+  trial from the pieces still to be packed, always with the longest that fits; the length
+  whose trial contents, in the least length that holds them, cost least for each token is
+  opened, the shorter one on a tie;
 * in the end every bin shrinks to the least permitted length that holds its contents.
 
+So the lengths are chosen together, by what is left for them: a long bin is opened for a
+piece that needs it or where its contents repay it, not because it might once be full. The
+cost of a bin is that of training on it: a part for each token, one for each pair of tokens
+and one for the sequence. With a cost that grows no faster than the length the longest bin
+would always win.
+
 Empty and null texts are one closing token. Repeated rows are packed as often as they
 occur. An empty table gives an empty result.
 """
@@ -17,6 +24,7 @@ occur. An empty table gives an empty result.
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
 from collections.abc import Callable, Sequence
 
 import numpy as np
@@ -31,8 +39,9 @@ from ordermart.llm.common import blocks, text_of, words
 from ordermart.session import checkpoint
 
 LENGTHS = (512, 1024, 2048, 4096, 8192)
-# Cost of a bin besides its tokens, in tokens.
+# Cost of a bin besides its tokens, in tokens; length at which pairs cost as much as tokens.
 BIN_COST = 64
+PAIRS_EQUAL = 24_576
 CELL_PIECES = 20_000
 LEAST_CELLS = 32
 
@@ -43,7 +52,34 @@ def count_words(column: pa.Array) -> pa.Array:
 
 
 def bin_cost(length: int) -> float:
-    return length + BIN_COST
+    return length + length * length / PAIRS_EQUAL + BIN_COST
+
+
+class Left:
+    """Pieces still to be packed, by size: bit s of ``sizes`` says that some have size s."""
+
+    def __init__(self, pieces: np.ndarray, longest: int) -> None:
+        self.count = np.bincount(pieces, minlength=longest + 1).tolist()
+        self.sizes = sum(1 << size for size, n in enumerate(self.count) if n)
+
+    def take(self, size: int) -> None:
+        self.count[size] -= 1
+        if not self.count[size]:
+            self.sizes ^= 1 << size
+
+    def fill(self, room: int) -> int:
+        """Tokens that go into ``room``, always the longest piece that fits."""
+        filled, sizes = 0, self.sizes
+        while room:
+            sizes &= (1 << (room + 1)) - 1
+            if not sizes:
+                break
+            size = sizes.bit_length() - 1
+            taken = size * min(self.count[size], room // size)
+            filled += taken
+            room -= taken
+            sizes ^= 1 << size
+        return filled
 
 
 def best_fit(
@@ -57,9 +93,16 @@ def best_fit(
     used: list[int] = []
     # Bit r of ``rooms`` says that some bin has room r; ``by_room[r]`` are those bins.
     rooms, by_room = 0, [[] for _ in range(lengths[-1] + 1)]
-    left = int(sizes.sum())
+    left = Left(sizes, lengths[-1])
+    costs = [cost(length) for length in lengths]
+
+    def price(size: int, length: int) -> tuple[float, int]:
+        contents = size + left.fill(length - size)
+        return costs[bisect_left(lengths, contents)] / contents, length
+
     for piece in np.argsort(-sizes, kind="stable"):
         size = int(sizes[piece])
+        left.take(size)
         fitting = rooms >> size
         if fitting:
             room = size + (fitting & -fitting).bit_length() - 1
@@ -67,13 +110,12 @@ def best_fit(
             if not by_room[room]:
                 rooms ^= 1 << room
         else:
-            room = min((x for x in lengths if x >= size), key=lambda x: (cost(x) / min(x, left), x))
+            room = min(price(size, length) for length in lengths if length >= size)[1]
             number = len(opened)
             opened.append(room)
             used.append(0)
         where[piece], offset[piece] = number, used[number]
         used[number] += size
-        left -= size
         room -= size
         if room:
             by_room[room].append(number)

@@ -2,25 +2,33 @@ from collections import defaultdict
 
 import numpy as np
 from .llm_cases import ODD, word_list
-from ordermart.llm.packing import best_fit, pack_documents
+from ordermart.llm.packing import LENGTHS, bin_cost, best_fit, pack_documents
 
 
 def brute(sizes, lengths, cost):
     """The same rules with plain lists."""
-    bins, out, left = [], {}, sum(sizes)
-    for k in sorted(range(len(sizes)), key=lambda k: (-sizes[k], k)):
+    bins, out = [], {}
+    order = sorted(range(len(sizes)), key=lambda k: (-sizes[k], k))
+
+    def price(at, length):
+        contents = 0
+        for k in order[at:]:
+            if contents + sizes[k] <= length:
+                contents += sizes[k]
+        return cost(min(x for x in lengths if x >= contents)) / contents, length
+
+    for at, k in enumerate(order):
         fitting = [(b["room"] - sizes[k], -b["touched"], b) for b in bins if b["room"] >= sizes[k]]
         if fitting:
             best = min(fitting, key=lambda f: f[:2])[2]
         else:
-            room = min((x for x in lengths if x >= sizes[k]), key=lambda x: (cost(x) / min(x, left), x))
+            room = min(price(at, x) for x in lengths if x >= sizes[k])[1]
             best = {"room": room, "number": len(bins), "used": 0}
             bins.append(best)
         out[k] = best["number"], best["used"]
         best["room"] -= sizes[k]
         best["used"] += sizes[k]
         best["touched"] = len(out)
-        left -= sizes[k]
     return out, [min(x for x in lengths if x >= b["used"]) for b in bins]
 
 
@@ -35,6 +43,29 @@ def test_best_fit_follows_its_rules():
         assert (filled <= final).all() and filled.sum() == sum(sizes)
 
 
+def test_joint_lengths_cost_less_than_any_one_length():
+    rng = np.random.default_rng(3)
+    shapes = {
+        "mixed": np.minimum(rng.lognormal(5.5, 1.3, 6000).astype(int) + 1, LENGTHS[-1]),
+        "short": rng.integers(1, 400, 6000),
+        "middle": rng.integers(300, 1500, 3000),
+        "long": rng.integers(1000, LENGTHS[-1] + 1, 1500),
+    }
+    for shape, sizes in shapes.items():
+        _, _, final, filled = best_fit(sizes)
+        assert filled.sum() == sizes.sum()
+        joint = sum(bin_cost(x) for x in final.tolist())
+        for length in LENGTHS:
+            # Pieces too long for this length go to the least length that holds each.
+            single = 0
+            for part in LENGTHS:
+                own = sizes[(sizes > part // 2) & (sizes <= part)] if part > length else sizes[sizes <= length]
+                if part >= length and len(own):
+                    *_, bins, _ = best_fit(own, [part])
+                    single += sum(bin_cost(x) for x in bins.tolist())
+            assert joint < single, (shape, length, joint, single)
+
+
 def test_pieces_fill_bins_without_overlap(documents):
     rows = [(i, "word " * (i * 7 % 300)) for i in range(400)] + ODD
     lengths = (32, 64, 128)
