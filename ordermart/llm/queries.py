@@ -58,7 +58,9 @@ def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return deduplicate_bytes(read_table(spark, sf_dir, "documents"))
+    cut = deduplicate_bytes(read_table(spark, sf_dir, "documents"))
+    run = F.transform("removed", lambda r: F.concat_ws("+", r["start"], r["length"]))
+    return cut.withColumn("removed", F.array_join(run, ","))
 
 
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,6 +138,72 @@ FROM (SELECT *, row_number() OVER () AS n FROM lowered) p
 LEFT JOIN rules r
   ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
 GROUP BY p.n, p.page_id, p.host, p.path
+""",
+    "op7_ngram_jaccard_join": r"""
+WITH RECURSIVE doc AS (
+    SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM documents
+), keyed AS (SELECT *, CASE WHEN len(w) > 0 THEN 'w ' || array_to_string(w, ' ') ELSE 't ' || text END AS words FROM doc),
+kind AS (
+    SELECT row_number() OVER () AS k, words, any_value(w) AS w, count(*) AS n_copies,
+           count(DISTINCT text) AS n_texts, min(doc_id) AS first_doc
+    FROM keyed GROUP BY words
+), gram AS (
+    SELECT DISTINCT k, md5(array_to_string(list_slice(w, i, i + least(5, len(w)) - 1), ' ')) AS g
+    FROM kind, unnest(range(1, greatest(len(w) - 5, 0) + 2)) AS t(i) WHERE len(w) > 0
+), size AS (SELECT k, count(*) AS n FROM gram GROUP BY k),
+common AS (SELECT a.k AS a, b.k AS b, count(*) AS n FROM gram a JOIN gram b ON a.g = b.g AND a.k <> b.k GROUP BY ALL),
+link AS (
+    SELECT a, b FROM common JOIN size s ON s.k = a JOIN size t ON t.k = b
+    WHERE 5 * common.n >= 4 * (s.n + t.n - common.n)
+), reach(a, b) AS (
+    SELECT k, k FROM kind UNION SELECT reach.a, link.b FROM reach JOIN link ON link.a = reach.b
+), class AS (SELECT reach.a AS k, min(first_doc) AS class_id FROM reach JOIN kind ON kind.k = reach.b GROUP BY reach.a),
+linked AS (SELECT link.a AS k, sum(n_texts) AS n FROM link JOIN kind ON kind.k = link.b GROUP BY link.a)
+SELECT keyed.doc_id, class_id,
+       CAST(coalesce(linked.n, 0) + CASE WHEN len(kind.w) > 0 THEN n_texts - 1 ELSE 0 END AS BIGINT) AS n_links, n_copies
+FROM keyed JOIN kind USING (words) JOIN class USING (k) LEFT JOIN linked USING (k)
+""",
+    "op8_suffix_array_dedup": r"""
+WITH doc AS (
+    SELECT row_number() OVER () AS n, doc_id, coalesce(text, '') AS text, hex(encode(coalesce(text, ''))) AS h
+    FROM documents
+), part AS (
+    SELECT n, b, substr(h, 2 * b + 1, 2 * 655) AS h FROM doc, unnest(range(0, strlen(h) // 2 - 399, 256)) AS t(b)
+), place AS (
+    SELECT n, b + j AS i, md5(substr(h, 2 * j + 1, 800)) AS string
+    FROM part, unnest(range(0, strlen(h) // 2 - 399)) AS t(j)
+), again AS (SELECT string FROM place GROUP BY string HAVING count(*) > 1),
+covered AS (
+    SELECT n, i, CASE WHEN i <= lag(i) OVER (PARTITION BY n ORDER BY i) + 400 THEN 0 ELSE 1 END AS opens
+    FROM place WHERE string IN (SELECT string FROM again)
+), run AS (
+    SELECT n, min(i) AS start, max(i) + 400 AS stop
+    FROM (SELECT n, i, sum(opens) OVER (PARTITION BY n ORDER BY i) AS number FROM covered)
+    GROUP BY n, number
+), piece AS (
+    SELECT n, start, stop, lag(stop, 1, 0) OVER (PARTITION BY n ORDER BY start) AS before FROM run
+), told AS (
+    SELECT n, CAST(sum(stop - start) AS BIGINT) AS n_removed, count(*) AS n_spans,
+           string_agg(start || '+' || (stop - start), ',' ORDER BY start) AS removed,
+           string_agg(substr(any_h, 2 * before + 1, 2 * (start - before)), '' ORDER BY start)
+               || substr(max(any_h), 2 * max(stop) + 1) AS kept
+    FROM (SELECT piece.*, h AS any_h FROM piece JOIN doc USING (n)) GROUP BY n
+), decoded AS (
+    SELECT n, decode(unhex(array_to_string(list_transform(
+        regexp_extract_all(kept, '(?:' || whole || '|' || broken || ')'),
+        lambda c: CASE WHEN regexp_full_match(c, whole) THEN c ELSE 'EFBFBD' END), ''))) AS text
+    FROM told, (SELECT
+        '[0-7].|(?:C[2-9A-F]|D.)[89AB].|E0[AB].[89AB].|E[1-9A-CEF](?:[89AB].){2}|ED[89].[89AB].'
+        || '|F0[9AB].(?:[89AB].){2}|F[1-3](?:[89AB].){3}|F48.(?:[89AB].){2}' AS whole,
+        'E0[AB].|E[1-9A-CEF][89AB].|ED[89].|F0[9AB].(?:[89AB].)?|F[1-3](?:[89AB].){1,2}|F48.(?:[89AB].)?|..' AS broken)
+)
+SELECT doc.doc_id, strlen(doc.text) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept, h))) AS kept_sha256, coalesce(decoded.text, doc.text) AS text,
+       coalesce(removed, '') AS removed
+FROM doc LEFT JOIN told USING (n) LEFT JOIN decoded USING (n)
 """,
     "op9_benchmark_decontamination": r"""
 WITH doc AS (
