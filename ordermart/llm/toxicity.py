@@ -2,9 +2,9 @@
 
 The lexicon is learned from labelled documents: words and word beginnings that mark toxic
 ones, chosen one by one so that each explains toxic documents the others do not. Terms go
-into a trie; intersecting it with the terms' Levenshtein automata gives one finite
-automaton over characters, which runs over all words of a block of texts at once and says
-for each word which term it is within how many edits.
+into a trie, and trie and the terms' Levenshtein automata run side by side over the
+different words of a block of texts at once, which says for each word which term it is
+within how many edits.
 
 A hit is judged in a window of words around it: hits close together strengthen each other,
 quotation marks around it and reporting words near it mark a quotation and weaken it,
@@ -53,6 +53,9 @@ SURE = 3.5
 ORDINARY = 0.001
 THRESHOLD = 0.7
 FEATURES = 3
+# Words that run at once, and trie nodes in the states kept between them.
+RUN_WORDS = 2048
+KEPT_NODES = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -70,165 +73,182 @@ def usual_edits(form: str) -> int:
     return 1 if len(form) < 9 else 2
 
 
-@dataclass
-class Automaton:
-    """Deterministic automaton: state 0 is dead, 1 the start; letters are classes."""
-
-    step: np.ndarray
-    term: np.ndarray  # accepted term or -1
-    edits: np.ndarray
-    absorbing: np.ndarray
-    alphabet: dict[str, int]
-    depth: int  # letters after which nothing is decided any more
+NONE = (99, -1)
 
 
-def intersect(terms: list[Term]) -> Automaton:
-    """Trie of the terms intersected with their Levenshtein automata, made deterministic.
+class Automaton:
+    """Trie of the terms intersected with their Levenshtein automata, as far as words lead.
 
     A state is the set of trie nodes a word may have reached, each with the edits spent, and
     the best beginning met so far, by its edits. It absorbs once no fewer edits can come.
+    State 0 is dead, 1 the start. A step is worked out when a word first takes it, so the
+    terms may be many: the whole automaton is never made. Once the states hold more than
+    ``KEPT_NODES`` nodes they are forgotten and made anew as words need them.
     """
-    children: list[dict[str, int]] = [{}]
-    ends: list[list[int]] = [[]]
-    budget = [0]
-    for number, term in enumerate(terms):
-        node, edits = 0, term.edits
-        budget[0] = max(budget[0], edits)
-        for letter in term.form:
-            if letter not in children[node]:
-                children[node][letter] = len(children)
-                children.append({})
-                ends.append([])
-                budget.append(0)
-            node = children[node][letter]
-            budget[node] = max(budget[node], edits)
-        ends[node].append(number)
-    alphabet = {letter: k + 1 for k, letter in enumerate(sorted({c for t in terms for c in t.form}))}
-
-    def close(reached: dict[int, int]) -> frozenset:
-        """Add nodes reached by letters the word leaves out; keep the fewest edits of each."""
+
+    def __init__(self, terms: list[Term]) -> None:
+        self.terms = terms
+        self.children: list[dict[str, int]] = [{}]
+        self.ends: list[list[int]] = [[]]
+        self.budget = [0]
+        for number, term in enumerate(terms):
+            node, edits = 0, term.edits
+            self.budget[0] = max(self.budget[0], edits)
+            for letter in term.form:
+                if letter not in self.children[node]:
+                    self.children[node][letter] = len(self.children)
+                    self.children.append({})
+                    self.ends.append([])
+                    self.budget.append(0)
+                node = self.children[node][letter]
+                self.budget[node] = max(self.budget[node], edits)
+            self.ends[node].append(number)
+        # Letters are classes; 0 are those of no term.
+        self.letters = [None, *sorted({c for t in terms for c in t.form})]
+        self.alphabet = {letter: k for k, letter in enumerate(self.letters) if k}
+        self.classes = np.zeros(0x110000, dtype=np.uint8 if len(self.letters) < 256 else np.int32)
+        for letter, number in self.alphabet.items():
+            self.classes[ord(letter)] = number
+        # Letters after which nothing is decided any more.
+        self.depth = max((len(t.form) + t.edits for t in terms), default=0)
+        self.forget()
+
+    def forget(self) -> None:
+        self.numbers: dict[tuple, int] = {}
+        self.states: list[tuple] = []
+        self.others: dict[int, int] = {}
+        self.nodes = 0
+        # Accepted term or -1, edits, and whether the state absorbs.
+        self.outcome = np.zeros((1024, 3), np.int32)
+        # Steps by state and letter class, sorted, and where they lead.
+        self.known, self.target = np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self._number((frozenset(), NONE))
+        self._number(self._state({0: 0}, NONE))
+
+    def _accepted(self, nodes: frozenset, beginning: bool) -> tuple[int, int]:
+        best = NONE
+        for node, spent in nodes:
+            for number in self.ends[node]:
+                if self.terms[number].beginning == beginning and spent <= self.terms[number].edits:
+                    best = min(best, (spent, number))
+        return best
+
+    def _state(self, reached: dict[int, int], opening: tuple[int, int]) -> tuple:
+        # Nodes reached by letters the word leaves out, with the fewest edits of each.
         todo = list(reached.items())
         while todo:
             node, spent = todo.pop()
-            for child in children[node].values():
-                if spent + 1 <= budget[child] and reached.get(child, 99) > spent + 1:
+            for child in self.children[node].values():
+                if spent + 1 <= self.budget[child] and reached.get(child, 99) > spent + 1:
                     reached[child] = spent + 1
                     todo.append((child, spent + 1))
-        return frozenset(reached.items())
-
-    def accepted(state: frozenset, beginning: bool) -> tuple[int, int]:
-        best = (99, -1)
-        for node, spent in state:
-            for number in ends[node]:
-                if terms[number].beginning == beginning and spent <= terms[number].edits:
-                    best = min(best, (spent, number))
-        return best
-
-    none = (99, -1)
-
-    def state_of(reached: dict[int, int], opening: tuple[int, int]) -> tuple:
-        nodes = close(reached)
-        opening = min(opening, accepted(nodes, True))
+        nodes = frozenset(reached.items())
+        opening = min(opening, self._accepted(nodes, True))
         # Nodes that spent as much can only lead to whole words, which a beginning outweighs.
         return (frozenset(x for x in nodes if x[1] < opening[0]), opening)
 
-    start = state_of({0: 0}, none)
-    numbers = {(frozenset(), none): 0, start: 1}
-    queue, rows = [start], [[0] * (len(alphabet) + 1)]
-    accepts, edits, absorbing = [-1], [0], [False]
-    for state in queue:
-        nodes, opening = state
-        absorbs = opening[1] >= 0 and not nodes
-        spent, number = opening if opening[1] >= 0 else accepted(nodes, False)
-        accepts.append(number)
-        edits.append(spent if number >= 0 else 0)
-        absorbing.append(absorbs)
-        if absorbs:
-            rows.append([numbers[state]] * (len(alphabet) + 1))
-            continue
-
-        def following(letter: str | None) -> int:
-            reached: dict[int, int] = {}
-            for node, spent in nodes:
-                if spent + 1 <= budget[node] and reached.get(node, 99) > spent + 1:
-                    reached[node] = spent + 1  # a letter too many
-                for label, child in children[node].items():
-                    cost = spent + (label != letter)
-                    if cost <= budget[child] and reached.get(child, 99) > cost:
-                        reached[child] = cost
-            new = state_of(reached, opening)
-            if new not in numbers:
-                numbers[new] = len(numbers)
-                queue.append(new)
-            return numbers[new]
-
-        # A letter that leads on from no node is as any other.
-        other = following(None)
-        row = [other] * (len(alphabet) + 1)
-        for letter in sorted({label for node, _ in nodes for label in children[node]}):
-            row[alphabet[letter]] = following(letter)
-        rows.append(row)
-    depth = max((len(t.form) + t.edits for t in terms), default=0)
-    return Automaton(np.array(rows, np.int32), np.array(accepts), np.array(edits), np.array(absorbing), alphabet, depth)
-
-
-def run_words(automaton: Automaton, letters: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Final state of every word; ``letters`` are letter classes."""
-    final = np.zeros(len(start), dtype=np.int32)
-    alive = np.arange(len(start))
-    state = np.ones(len(start), dtype=np.int32)
-    for place in range(automaton.depth + 2):
-        over = start[alive] + place >= end[alive]
-        stop = over | automaton.absorbing[state]
-        final[alive[stop]] = state[stop]
-        alive, state = alive[~stop], state[~stop]
-        if not len(alive):
-            break
-        state = automaton.step[state, letters[start[alive] + place]]
-        alive, state = alive[state > 0], state[state > 0]
-    return final
+    def _number(self, state: tuple) -> int:
+        number = self.numbers.setdefault(state, len(self.states))
+        if number == len(self.states):
+            nodes, opening = state
+            spent, term = opening if opening[1] >= 0 else self._accepted(nodes, False)
+            if number == len(self.outcome):
+                self.outcome = np.concatenate((self.outcome, np.zeros_like(self.outcome)))
+            self.outcome[number] = term, spent if term >= 0 else 0, opening[1] >= 0 and not nodes
+            self.states.append(state)
+            self.nodes += len(nodes)
+        return number
+
+    def _follow(self, number: int, letter: str | None) -> int:
+        nodes, opening = self.states[number]
+        if letter is None or not any(letter in self.children[node] for node, _ in nodes):
+            # A letter that leads on from no node is as any other.
+            if number in self.others:
+                return self.others[number]
+            letter = None
+        reached: dict[int, int] = {}
+        for node, spent in nodes:
+            if spent + 1 <= self.budget[node] and reached.get(node, 99) > spent + 1:
+                reached[node] = spent + 1  # a letter too many
+            for label, child in self.children[node].items():
+                cost = spent + (label != letter)
+                if cost <= self.budget[child] and reached.get(child, 99) > cost:
+                    reached[child] = cost
+        following = self._number(self._state(reached, opening))
+        if letter is None:
+            self.others[number] = following
+        return following
+
+    def step(self, state: np.ndarray, letter: np.ndarray) -> np.ndarray:
+        """States that follow on letter classes."""
+        width = len(self.letters)
+        taken = state.astype(np.int64) * width + letter
+        at = np.searchsorted(self.known, taken)
+        new = np.append(self.known, -1)[at] != taken
+        if new.any():
+            fresh = np.unique(taken[new])
+            leads = [self._follow(int(k) // width, self.letters[int(k) % width]) for k in fresh]
+            where = np.searchsorted(self.known, fresh)
+            self.known, self.target = np.insert(self.known, where, fresh), np.insert(self.target, where, leads)
+            at = np.searchsorted(self.known, taken)
+        return self.target[at]
+
+
+def run_words(
+    automaton: Automaton, letters: np.ndarray, start: np.ndarray, end: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Term that every word is within the edits of, or -1, and its edits."""
+    term, edits = np.full(len(start), -1, np.int32), np.zeros(len(start), np.int32)
+    for low in range(0, len(start), RUN_WORDS):
+        if automaton.nodes > KEPT_NODES:
+            automaton.forget()
+        alive = np.arange(low, min(low + RUN_WORDS, len(start)))
+        state = np.ones(len(alive), dtype=np.int32)
+        for place in range(automaton.depth + 2):
+            stop = (start[alive] + place >= end[alive]) | (automaton.outcome[state, 2] > 0)
+            term[alive[stop]], edits[alive[stop]] = automaton.outcome[state[stop], :2].T
+            alive, state = alive[~stop], state[~stop]
+            if not len(alive):
+                break
+            state = automaton.step(state, letters[start[alive] + place])
+            alive, state = alive[state > 0], state[state > 0]
+    return term, edits
 
 
 @dataclass
 class Lexicon:
     terms: list[Term]
-    automaton: Automaton
     weights: np.ndarray
     bias: float
 
 
-def _classes(automaton: Automaton) -> np.ndarray:
-    table = np.zeros(0x110000, dtype=np.uint8 if len(automaton.alphabet) < 256 else np.int32)
-    for letter, number in automaton.alphabet.items():
-        table[ord(letter)] = number
-    return table
-
-
-def found_terms(block: Block, automaton: Automaton, table: np.ndarray) -> tuple:
-    """Words of a block, its characters, their bounds, and the final state of every word."""
+def found_terms(block: Block, automaton: Automaton) -> tuple:
+    """Words of a block, its characters, their bounds, and every word's term and edits."""
     found = words(block)
     passed = np.concatenate(([0], np.cumsum((block.data & 0xC0) != 0x80)))
     text = found.lowered.tobytes().decode("utf-8", "replace")
     points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
     start, end = passed[found.start], passed[found.end]
-    return found, passed, text, points, start, end, run_words(automaton, table[points], start, end)
+    # Each different word runs once.
+    _, one, same = np.unique(found.hashes(), return_index=True, return_inverse=True)
+    term, edits = run_words(automaton, automaton.classes[points], start[one], end[one])
+    return found, passed, text, points, start, end, term[same], edits[same]
 
 
-def window_scores(block: Block, terms: list[Term], automaton: Automaton, table: np.ndarray) -> np.ndarray:
+def window_scores(block: Block, automaton: Automaton) -> np.ndarray:
     """A row of ``FEATURES`` sums for every text of the block.
 
     Hits outside quotations, hits inside, and hits outside of the densest window.
     """
     out = np.zeros((len(block), FEATURES))
-    if not terms:
+    if not automaton.terms:
         return out
-    found, passed, text, points, start, end, final = found_terms(block, automaton, table)
-    hit = np.flatnonzero(automaton.term[final] >= 0)
+    found, passed, text, points, start, end, term, edits = found_terms(block, automaton)
+    hit = np.flatnonzero(term >= 0)
     if not len(hit):
         return out
     row = found.row[hit]
-    strength = np.array([t.strength for t in terms])[automaton.term[final[hit]]]
-    value = strength * MISSPELLED ** automaton.edits[final[hit]]
+    value = np.array([t.strength for t in automaton.terms])[term[hit]] * MISSPELLED ** edits[hit]
     marks = np.flatnonzero(np.isin(points, [ord(c) for c in QUOTES]))
     breaks = np.flatnonzero(points == 10)
     row_start = passed[block.bounds[row]]
@@ -300,21 +320,21 @@ def _which_forms(wanted: dict[tuple[str, bool], int]):
     return which
 
 
-def near_misses(block: Block, automaton: Automaton, table: np.ndarray) -> Iterator[set[int]]:
+def near_misses(block: Block, automaton: Automaton) -> Iterator[set[int]]:
     """For every text the terms that a word of it misses by some edits."""
-    found, *_, final = found_terms(block, automaton, table)
-    hit = np.flatnonzero((automaton.term[final] >= 0) & (automaton.edits[final] > 0))
+    found, *_, term, edits = found_terms(block, automaton)
+    hit = np.flatnonzero((term >= 0) & (edits > 0))
     cuts = np.searchsorted(found.row[hit], np.arange(len(block) + 1))
     for a, b in zip(cuts[:-1], cuts[1:]):
-        yield set(automaton.term[final[hit[a:b]]].tolist())
+        yield set(term[hit[a:b]].tolist())
 
 
-def _near_misses(automaton: Automaton):
+def _near_misses(terms: list[Term]):
     def misses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = _classes(automaton)
+        automaton = Automaton(terms)
         for batch in batches:
-            terms = [t for block in blocks(batch.column("text")) for own in near_misses(block, automaton, table) for t in own]
-            yield pa.RecordBatch.from_arrays([pa.array(terms, pa.int32())], ["term"])
+            missed = [t for block in blocks(batch.column("text")) for own in near_misses(block, automaton) for t in own]
+            yield pa.RecordBatch.from_arrays([pa.array(missed, pa.int32())], ["term"])
 
     return misses
 
@@ -380,11 +400,11 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: floa
     return theta[:-1], float(theta[-1])
 
 
-def _features(terms: list[Term], automaton: Automaton):
+def _features(terms: list[Term]):
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = _classes(automaton)
+        automaton = Automaton(terms)
         for batch in batches:
-            parts = [window_scores(block, terms, automaton, table) for block in blocks(batch.column("text"))]
+            parts = [window_scores(block, automaton) for block in blocks(batch.column("text"))]
             rows = np.concatenate(parts) if parts else np.zeros((0, FEATURES))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("positive"), batch.column("weight"), *[pa.array(rows[:, k]) for k in range(FEATURES)]],
@@ -422,34 +442,32 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int =
     terms = [Term(*named[k], s, usual_edits(named[k][0])) for k, s in zip(chosen, strength)]
     # Where near misses of a term are ordinary words it gets fewer edits. A word counts for the
     # nearest term only, so the others are looked at again.
-    automaton = intersect(terms)
     while any(t.edits for t in terms):
-        missed = sample.where("positive = 0").mapInArrow(_near_misses(automaton), "term int")
+        missed = sample.where("positive = 0").mapInArrow(_near_misses(terms), "term int")
         ordinary = {row.term for row in missed.groupBy("term").count().where(F.col("count") > ORDINARY * m).collect()}
         if not ordinary:
             break
         terms = [replace(t, edits=t.edits - 1) if k in ordinary else t for k, t in enumerate(terms)]
-        automaton = intersect(terms)
     table = sample.mapInArrow(
-        _features(terms, automaton), "positive int, weight double, " + ", ".join(f"f{k} double" for k in range(FEATURES))
+        _features(terms), "positive int, weight double, " + ", ".join(f"f{k} double" for k in range(FEATURES))
     ).toPandas()
     x = np.log1p(table[[f"f{k}" for k in range(FEATURES)]].to_numpy())
     if n and m:
         weights, bias = fit_logistic(x, table["positive"].to_numpy(float), table["weight"].to_numpy())
     else:
         weights, bias = np.zeros(FEATURES), (math.log((n + 1) / (m + 1)))
-    return Lexicon(terms, automaton, weights, bias)
+    return Lexicon(terms, weights, bias)
 
 
 def toxicity_score(model: Lexicon, text: Column) -> Column:
     """Probability that a text is toxic, by its whole text."""
-    table: list[np.ndarray] = []
+    made: list[Automaton] = []
 
     @arrow_udf("double")
     def score(column: pa.Array) -> pa.Array:
-        if not table:
-            table.append(_classes(model.automaton))
-        parts = [window_scores(block, model.terms, model.automaton, table[0]) for block in blocks(column)]
+        if not made:
+            made.append(Automaton(model.terms))
+        parts = [window_scores(block, made[0]) for block in blocks(column)]
         rows = np.log1p(np.concatenate(parts)) if parts else np.zeros((0, FEATURES))
         return pa.array(1 / (1 + np.exp(-np.clip(rows @ model.weights + model.bias, -30, 30))))
 

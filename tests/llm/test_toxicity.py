@@ -29,12 +29,12 @@ TERMS = [
 
 def run(automaton, word):
     letters = np.array([automaton.alphabet.get(c, 0) for c in word] or [0], np.uint8)
-    final = t.run_words(automaton, letters, np.array([0]), np.array([len(word)]))[0]
-    return automaton.term[final], automaton.edits[final]
+    term, edits = t.run_words(automaton, letters, np.array([0]), np.array([len(word)]))
+    return term[0], edits[0]
 
 
 def test_automaton_agrees_with_edit_distance():
-    automaton = t.intersect(TERMS)
+    automaton = t.Automaton(TERMS)
     random.seed(1)
     letters = "losergduitncmqvöhx"
     cases = [term.form for term in TERMS] + ["", "vequxyz", "veq"]
@@ -58,9 +58,8 @@ def test_automaton_agrees_with_edit_distance():
 
 
 def scores(*texts):
-    automaton = t.intersect(TERMS)
-    table = t._classes(automaton)
-    return np.concatenate([t.window_scores(b, TERMS, automaton, table) for b in blocks(pa.array(texts))])
+    automaton = t.Automaton(TERMS)
+    return np.concatenate([t.window_scores(b, automaton) for b in blocks(pa.array(texts))])
 
 
 def test_context_separates_quotation_from_abuse():
@@ -125,7 +124,7 @@ def test_without_labels_of_both_classes(spark, documents, condition):
 
 def test_beginnings_may_be_misspelt():
     terms = [t.Term("vequ", True, 1.0, 1), t.Term("disgus", True, 0.4, 1), t.Term("scum", False, 0.5, 1)]
-    automaton = t.intersect(terms)
+    automaton = t.Automaton(terms)
     random.seed(3)
     for _ in range(4000):
         word = list(random.choice(["vequard", "disgustingly", "scum", "scums"]))
@@ -162,7 +161,8 @@ def test_misspellings_count_at_every_sample_size(spark, documents, n):
     model = t.learn(documents(*rows), labels)
     edits = {term.form: term.edits for term in model.terms if not term.beginning}
     assert {form: edits.get(form) for form in bad} == dict.fromkeys(bad, 1)
-    assert run(model.automaton, "scam")[0] >= 0 and run(model.automaton, bad[7][:-1])[0] >= 0
+    automaton = t.Automaton(model.terms)
+    assert run(automaton, "scam")[0] >= 0 and run(automaton, bad[7][:-1])[0] >= 0
 
 
 def test_as_many_terms_as_there_are(spark, documents):
@@ -188,10 +188,28 @@ def test_as_many_terms_as_there_are(spark, documents):
 def test_terms_of_many_different_letters():
     letters = [chr(0x4E00 + k) for k in range(300)]
     terms = [t.Term("".join(letters[k : k + 3]), False, 1.0) for k in range(0, 300, 3)]
-    automaton = t.intersect(terms)
-    table = t._classes(automaton)
-    assert len(automaton.alphabet) == 300 and len({int(table[ord(c)]) for c in letters}) == 300
+    automaton = t.Automaton(terms)
+    assert len(automaton.alphabet) == 300 and len({int(automaton.classes[ord(c)]) for c in letters}) == 300
     text = "".join(letters[297:]) + " x " + "".join(letters[:3])
     block = next(blocks(pa.array([text])))
-    final = t.found_terms(block, automaton, table)[-1]
-    assert [int(automaton.term[s]) for s in final] == [99, -1, 0]
+    assert t.found_terms(block, automaton)[-2].tolist() == [99, -1, 0]
+
+
+def test_many_terms_make_the_states_that_words_need(monkeypatch):
+    random.seed(6)
+    forms = sorted({"".join(random.choices("abcdefghijklmnopqrstuvwxyz", k=random.randint(5, 12))) for _ in range(2000)})
+    terms = [t.Term(form, False, 1.0, t.usual_edits(form)) for form in forms]
+    text = " ".join(random.choices(forms, k=300) + ["".join(random.choices("abcdefgh", k=6)) for _ in range(300)])
+    block = next(blocks(pa.array([text])))
+    whole = t.Automaton(terms)
+    term, edits = t.found_terms(block, whole)[-2:]
+    assert len(whole.states) < 10_000
+    for word, number, spent in zip(text.split(" "), term, edits):
+        near = [(distance(word, forms[k]), k) for k in range(len(forms)) if abs(len(forms[k]) - len(word)) < 3]
+        best = min((x for x in near if x[0] <= terms[x[1]].edits), default=None)
+        assert ((spent, number) if number >= 0 else None) == best, word
+    # Forgetting the states in between changes nothing.
+    monkeypatch.setattr(t, "RUN_WORDS", 50)
+    monkeypatch.setattr(t, "KEPT_NODES", 5000)
+    again = t.found_terms(block, t.Automaton(terms))[-2:]
+    assert (again[0] == term).all() and (again[1] == edits).all()
