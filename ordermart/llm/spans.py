@@ -1,7 +1,8 @@
 """Substring deduplication by sliding sentence spans.
 
-Sentences end at ``.``, ``!`` or ``?`` with white space after it, be there signs between, and
-at line breaks. One of more than ``LONGEST`` words is cut where its own words say so: before
+Sentences end at ``.``, ``!`` or ``?`` with white space after it, be there signs between, at
+``。``, ``！``, ``？`` and at line breaks. Each letter of a script written without spaces
+(kana, Chinese characters, full-width forms) counts as a word. A sentence of more than ``LONGEST`` words is cut where its own words say so: before
 each word that begins the least hash of ``NEAR`` words among any ``GAP`` places in a row. So
 no piece is longer than ``GAP`` words, and where a cut is depends on the ``GAP`` places
 around it only, not on where the sentence begins. A span is a run of consecutive
@@ -11,13 +12,18 @@ depend on nothing outside the run, so a passage yields the same spans wherever i
 one of ``4 * GAP + 16 + NEAR`` words, that is 50, inside a long sentence has at least one.
 
 Spans meet in a global join on their hash (96 bits over the words, so case, white space and
-signs do not matter). All but the first occurrence, by ``doc_id`` and position, are
+signs, wide ones too, do not matter). All but the first occurrence, by ``doc_id`` and position, are
 repeated, and a sentence that a repeated occurrence covers is removed.
 
 Hashes are counted first; only spans whose hash occurs again carry their places through
 the join. A null ``doc_id`` comes last in the order, ties go by a hash of the text. Of rows
 equal in id and text one is the first and the others lose all their spans. Null and empty
-texts, and texts of fewer sentences or words, have no spans and stay as they are.
+texts, and texts of fewer sentences or words, have no spans and stay as they are. Shorter
+repeats are found with lower ``least`` and ``least_words``, which may be 1: every sentence
+that came before then goes, those that meet by chance too.
+
+Very long texts are read whole. An empty table gives an empty result. Further columns keep
+their names and values, whatever they are called.
 """
 
 from __future__ import annotations
@@ -30,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ordermart.llm.common import Block, blocks, column, mix, prefix_sums, signed, slice_hash, words
+from ordermart.llm.common import Block, Words, blocks, column, mix, prefix_sums, signed, slice_hash, words
 from ordermart.session import freeze
 
 LEAST = 2
@@ -43,6 +49,38 @@ _STOP = np.zeros(256, dtype=bool)
 _STOP[[ord(c) for c in ".!?"]] = True
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+# First bytes of three-byte letters that stand without spaces: U+3000 to U+9FFF, U+F000 to U+FFFF.
+_WIDE = np.zeros(256, dtype=bool)
+_WIDE[[*range(0xE3, 0xEA), 0xEF]] = True
+# Wide signs that are no words, and those of them that end a sentence.
+WIDE_SIGNS = "　、。，！？：；（）「」『』《》【】"
+WIDE_STOPS = "。！？"
+
+
+def _three_bytes(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The letters of three bytes that begin at ``at``, as numbers."""
+    wide = np.append(data, [0, 0, 0]).astype(np.int32)
+    return (wide[at] << 16) + (wide[at + 1] << 8) + wide[at + 2]
+
+
+def _numbers(letters: str) -> list[int]:
+    return [int.from_bytes(c.encode(), "big") for c in letters]
+
+
+def split_wide(found: Words, data: np.ndarray) -> tuple[Words, np.ndarray]:
+    """Words with wide letters as words of their own and wide signs as none; places of wide stops."""
+    lead = np.flatnonzero(_WIDE[data])
+    if not len(lead):
+        return found, lead
+    start = np.unique(np.concatenate((found.start, lead, lead + 3)))
+    host = np.searchsorted(found.start, start, side="right") - 1
+    end = np.minimum(np.append(start[1:], len(data)), found.end[host])
+    letter = _three_bytes(data, start)
+    word = (start < end) & ~np.isin(letter, _numbers(WIDE_SIGNS))
+    stops = start[(start < end) & np.isin(letter, _numbers(WIDE_STOPS))]
+    row = found.row[host[word]]
+    first = np.searchsorted(row, np.arange(len(found.first)))
+    return Words(start[word], end[word], row, first, found.lowered), stops
 
 
 def least_of_windows(value: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -66,8 +104,9 @@ class Sentences:
     """Sentences of a block: words ``[start, end)``, row, and byte where each begins."""
 
     def __init__(self, block: Block) -> None:
-        found = words(block)
-        data, n = block.data, len(found.start)
+        data = block.data
+        found, wide_stops = split_wide(words(block), data)
+        n = len(found.start)
         opens = np.ones(n, dtype=bool)
         if n > 1:
             # Between two words: a line break, or a stop and later white space.
@@ -77,6 +116,7 @@ class Sentences:
             stop = np.append(stops, len(data))[np.searchsorted(stops, low)]
             space = np.insert(spaces, 0, -1)[np.searchsorted(spaces, high)]
             opens[1:] = (passed[high] > passed[low]) | (stop < space) | (found.row[1:] != found.row[:-1])
+            opens[1:] |= np.searchsorted(wide_stops, high) > np.searchsorted(wide_stops, low)
         self.hashed = found.hashes()
         first = np.flatnonzero(opens)
         size = np.diff(np.append(first, n))

@@ -144,3 +144,31 @@ def test_sentences_end_through_signs(documents):
         got = {r.doc_id: r for r in s.cut_repeated_spans(documents((1, one), (2, two))).collect()}
         assert (got[1]._n_sentences, got[2]._n_sentences) == (8, 8)
         assert got[1].text == one and got[2].text == ""
+
+
+def test_scripts_without_spaces(documents):
+    random.seed(8)
+    letters = [chr(0x4E00 + k) for k in range(3000)] + [chr(0x3042 + k) for k in range(80)]
+    prose = lambda n: "".join(random.choices(letters, k=n))
+    passage = "".join(prose(random.randint(8, 15)) + random.choice("。！？") for _ in range(8))
+    plain = prose(80)
+    rows = [(k, f"{prose(30 + k)}。{passage}{prose(25)}。\n{prose(5 + k)}{plain}{prose(40 - k)}") for k in range(12)]
+    rows += [(50, "短。" * 3 + "漢字、" + "x" * 5), (51, "。、！")]
+    got = {r.doc_id: r for r in s.cut_repeated_spans(documents(*rows)).collect()}
+    assert got[0].text == rows[0][1] and got[0]._n_sentences > 10
+    assert got[50].text == rows[-2][1] and got[50]._n_sentences == 4
+    assert got[51].text == rows[-1][1] and got[51]._n_sentences == 0
+    for k in range(1, 12):
+        host, text = rows[k][1], got[k].text
+        assert passage not in text and plain[2 * s.GAP : -2 * s.GAP] not in text
+        # What is around the passages stays.
+        assert text.startswith(host[: 31 + k]) and text.endswith(host[-(40 - k) :])
+        assert len(host) - len(text) <= len(passage) + len(plain)
+
+
+def test_wide_signs_do_not_matter(documents):
+    random.seed(9)
+    parts = ["".join(chr(0x4E00 + random.randrange(3000)) for _ in range(12)) for _ in range(6)]
+    one, two = "。".join(parts) + "。", "！".join(p[:5] + "，" + p[5:] for p in parts) + "？"
+    got = {r.doc_id: r for r in s.cut_repeated_spans(documents((1, one), (2, two))).collect()}
+    assert got[1].text == one and got[2].text == ""
