@@ -251,10 +251,18 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(row.select(*[c for c in row.columns if c != "metadata_json"], parsed))
 
 
+# A gzip file, and one with line breaks in its texts, is read by one task.
+LANDING_ROWS = 250_000
+
+
 def _write_landing(df: DataFrame, path: str) -> None:
-    """Landing files as a source system would leave them: header, quotes doubled, text untouched."""
-    df.select(*BUSINESS_COLUMNS).write.mode("append").csv(
-        path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    """Landing files as a source system would leave them: header, quotes doubled, text untouched.
+
+    They are compressed and of bounded length, so more rows make more files.
+    """
+    bounded = {"maxRecordsPerFile": LANDING_ROWS, "zlib.compress.level": "BEST_SPEED"}
+    df.select(*BUSINESS_COLUMNS).write.mode("append").options(**bounded).csv(
+        path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, compression="gzip"
     )
 
 

@@ -56,3 +56,12 @@ def test_lines_are_dealt_into_parts_that_grow(spark, given, monkeypatch):
     monkeypatch.setattr(inputs, "DEAL_BYTES", 20)
     dealt = [text for text in plan_of(inputs.raw_base(spark, given)).split("\n") if "REPARTITION_BY_NUM" in text]
     assert int(dealt[0].split("l_orderkey#")[1].split("), REPARTITION")[0].split(", ")[1]) > 8
+
+
+def test_landing_files_are_bounded_and_compressed(spark, orders, tmp_path, monkeypatch):
+    monkeypatch.setattr(spark_queries, "LANDING_ROWS", 10)
+    path = f"{tmp_path}/landing"
+    spark_queries._write_landing(orders(*[{"order_id": f"O{i}"} for i in range(45)]).coalesce(1), path)
+    assert len(list(Path(path).glob("*.csv.gz"))) == 5
+    back = spark_queries.read_landing(spark, path, multi_line=True)
+    assert sorted(r.order_id for r in back.collect()) == sorted(f"O{i}" for i in range(45))
