@@ -29,9 +29,12 @@ def _latest_cleaned(
 
     Cleaning passes keys and ingest time through, so the order of the two does not change
     the result; done first, it runs once, on the map side, and the shuffle carries typed
-    values. The row hash rides along to settle ties.
+    values. The row hash rides along to settle ties, as bytes: their order is that of the
+    digits and they take half the room.
     """
     cleaned = clean_orders(raw, transformed_at, rule, date_formats, keep=["_row_hash"])
+    digits = F.col("_row_hash")
+    cleaned = cleaned.withColumn("_row_hash", F.coalesce(F.unhex(digits), F.encode(digits, "UTF-8")))
     return latest_per_key(cleaned, keys, latest_ingest()).drop("_row_hash")
 
 

@@ -73,3 +73,17 @@ def test_stored_rows_take_zstd(spark, layers, land):  # noqa: F811
     frozen = freeze(stored, "raw")
     for df in (stored, frozen):
         assert all(name.endswith(".zstd.parquet") for name in df.inputFiles()) and df.count() == 2
+
+
+def test_row_hash_is_shuffled_as_bytes(spark, raw):
+    df = raw(*[{"order_id": "O1", "plant_code": f"P{i}"} for i in range(40)])
+    staged = stage_runs(df, datetime(2024, 3, 1))
+    assert "unhex" in plan_of(staged)
+    smallest = min(df.collect(), key=lambda r: r._row_hash)
+    assert [r.plant_code for r in staged.collect()] == [smallest.plant_code]
+
+
+def test_hash_that_is_no_hex_settles_ties_too(spark, raw):
+    df = raw(*[{"order_id": "O1", "plant_code": p} for p in ("A", "B")])
+    df = df.withColumn("_row_hash", F.when(F.col("plant_code") == "A", "zz").otherwise("xx"))
+    assert [r.plant_code for r in stage_runs(df, datetime(2024, 3, 1)).collect()] == ["B"]
