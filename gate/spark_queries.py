@@ -193,7 +193,9 @@ def dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dim_merge_insert_only(spark: SparkSession, sf_dir: str) -> DataFrame:
-    staged = freeze(stage_runs(raw_orders(spark, sf_dir), AT), "staged")
+    key, attributes, _ = CUSTOMER
+    used = [key, *attributes, "_pipeline_run_id", "_ingested_at", "_is_valid"]
+    staged = freeze(stage_runs(raw_orders(spark, sf_dir), AT).select(*used), "staged")
     return plain(_dimension_loads(spark, staged, CUSTOMER, DIM_CUSTOMER))
 
 
