@@ -87,3 +87,37 @@ def test_hash_that_is_no_hex_settles_ties_too(spark, raw):
     df = raw(*[{"order_id": "O1", "plant_code": p} for p in ("A", "B")])
     df = df.withColumn("_row_hash", F.when(F.col("plant_code") == "A", "zz").otherwise("xx"))
     assert [r.plant_code for r in stage_runs(df, datetime(2024, 3, 1)).collect()] == ["B"]
+
+
+@pytest.mark.parametrize("least,kept", [(0, True), (1 << 40, False)])
+def test_large_closing_leaves_the_files_of_its_day(spark, layers, land, rows, monkeypatch, least, kept):  # noqa: F811
+    monkeypatch.setattr(closing, "APPEND_BYTES", least)
+    setup_raw(spark, layers)
+    table = layers.raw_sales_orders
+    land("R1", "O1", "O2")
+    close_runs(spark, LATER, layers)
+    before = set(spark.table(closed_part(table)).inputFiles())
+    land("R2", "O2", "O3")
+    close_runs(spark, LATER, layers)
+    spark.catalog.refreshTable(closed_part(table))
+    assert (before <= set(spark.table(closed_part(table)).inputFiles())) == kept
+    assert rows(table) == [("R1", "O1"), ("R1", "O2"), ("R2", "O2"), ("R2", "O3")]
+    assert rows(table, ["R2"]) == [("R2", "O2"), ("R2", "O3")] and spark.table(table).count() == 0
+    assert RUN in spark.table(closed_part(table)).columns
+
+
+def test_large_closing_that_stops_is_put_right(spark, layers, land, rows, monkeypatch):  # noqa: F811
+    monkeypatch.setattr(closing, "APPEND_BYTES", 0)
+    land("R1", "O1", "O2")
+
+    def stop(entries, table, status, record=closing._record):
+        if status == closing.LOADED:
+            raise RuntimeError("stopped")
+        record(entries, table, status)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(closing, "_record", stop)
+        with pytest.raises(RuntimeError, match="stopped"):
+            close_runs(spark, LATER, layers)
+    close_runs(spark, LATER, layers)
+    assert rows(layers.raw_sales_orders) == [("R1", "O1"), ("R1", "O2")]
