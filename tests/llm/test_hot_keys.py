@@ -48,3 +48,17 @@ def test_a_span_of_very_many_documents(spark, skew):
     )
     rows, plan = executed(repeated_spans(docs, 2, 20))
     assert len({r.id for r in rows}) == 5_999 and "SortMergeJoin(skew=true)" in plan
+
+
+def test_edges_to_a_hub_need_no_round(spark, monkeypatch):
+    monkeypatch.setattr("ordermart.llm.components._large_star", lambda *edges: pytest.fail("a round was made"))
+    edges = spark.range(1, 100).selectExpr("id AS a", "id % 3 - 3 AS b")
+    assert dict(connected_components(edges).collect()) == {n: n % 3 - 3 if n > 0 else n for n in [-3, -2, -1, *range(1, 100)]}
+
+
+def test_a_chain_is_joined_in_few_rounds(spark, monkeypatch):
+    rounds = []
+    monkeypatch.setattr("ordermart.llm.components._large_star", lambda *edges: rounds.append(1) or _large_star(*edges))
+    edges = spark.range(1, 40).selectExpr("id AS a", "id - 1 AS b")
+    assert dict(connected_components(edges).collect()) == dict.fromkeys(range(40), 0)
+    assert len(rounds) < 10
