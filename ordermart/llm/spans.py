@@ -28,6 +28,7 @@ their names and values, whatever they are called.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,12 +39,15 @@ from pyspark.sql import functions as F
 
 from ordermart.llm.common import Block, Words, blocks, column, mix, prefix_sums, signed, slice_hash, words
 from ordermart.session import freeze
+from ordermart.sinks.tables import plan_bytes
 
 LEAST = 2
 LEAST_WORDS = 20
 LONGEST = 24
 GAP, NEAR = 8, 2
 LAST_ID = (1 << 63) - 1
+# Bytes of the stored documents whose span hashes make one file, where a shuffle has more partitions.
+FILE_BYTES = 8 << 20
 
 _STOP = np.zeros(256, dtype=bool)
 _STOP[[ord(c) for c in ".!?"]] = True
@@ -186,11 +190,15 @@ def repeated_spans(keyed: DataFrame, least: int, least_words: int) -> DataFrame:
     source = keyed.select("id", "mark", "text")
     spans = source.mapInArrow(_spans(least, least_words), SPANS)
     again = spans.groupBy("value", "check").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    again = freeze(again, "repeated-hashes")
+    # Dealt by hash, so no task is larger than the others: small ones are merged before they are stored.
+    files = math.ceil(min(plan_bytes(source) / FILE_BYTES, 1 << 20))
+    files = max(keyed.sparkSession.sparkContext.defaultParallelism, files)
+    again = freeze(again.coalesce(files), "repeated-hashes")
     places = freeze(spans.join(again.hint("shuffle_hash"), ["value", "check"]), "repeated-spans")
     place = F.struct("id", "mark", "begin", "last")
     # Stored, so that the join can split a span that very many documents share.
-    first = freeze(places.groupBy("value", "check").agg(F.min(place).alias("first")), "first-places")
+    first = places.groupBy("value", "check").agg(F.min(place).alias("first"))
+    first = freeze(first.coalesce(files), "first-places")
     return places.join(first, ["value", "check"]).where(place != F.col("first")).select("id", "mark", "begin", "last")
 
 

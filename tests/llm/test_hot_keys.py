@@ -3,6 +3,7 @@
 import pytest
 from ordermart.llm.components import _large_star, connected_components
 from ordermart.llm.spans import repeated_spans
+from ordermart.session import freeze
 from pyspark.sql import functions as F
 
 SKEW = {
@@ -62,3 +63,21 @@ def test_a_chain_is_joined_in_few_rounds(spark, monkeypatch):
     edges = spark.range(1, 40).selectExpr("id AS a", "id - 1 AS b")
     assert dict(connected_components(edges).collect()) == dict.fromkeys(range(40), 0)
     assert len(rounds) < 10
+
+
+def test_span_hashes_of_little_text_are_stored_in_few_files(spark, monkeypatch, tmp_path):
+    stored = {}
+    monkeypatch.setattr("ordermart.llm.spans.freeze", lambda df, name: stored.setdefault(name, freeze(df, name)))
+    texts = [(n, n, f"The passage number {n // 2} has words enough to be a span. " * 2 + f"It is number {n}.") for n in range(400)]
+    spark.createDataFrame(texts, "id long, mark long, text string").write.parquet(str(tmp_path / "d"))
+    before = {key: spark.conf.get(key) for key in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = repeated_spans(spark.read.parquet(str(tmp_path / "d")), 2, 20)
+        assert found.select("id").distinct().count() == 200
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    most = max(spark.sparkContext.defaultParallelism, 2)
+    assert all(len(stored[name].inputFiles()) <= most for name in ("repeated-hashes", "first-places"))
