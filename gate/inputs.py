@@ -54,11 +54,11 @@ def raw_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 16 business columns with run id, ingest time and source file.
 
     The joins of ``BASE_SQL`` in another order: customers meet the orders before the lines,
-    which are four times as many, and the lines are dealt into parts that grow with them.
+    which are four times as many. Parts come first and orders last, so that the lines of an
+    order leave side by side and their texts compress; the lines meet the orders in parts
+    that grow with them.
     """
     tables = {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in TABLES}
-    # A file of one row group would leave the derivation to one task. The first join's key
-    # is the one to deal by.
     lines = tables["lineitem"].select(*LINE_COLUMNS)
     parts = max(spark.sparkContext.defaultParallelism, math.ceil(plan_bytes(lines) / DEAL_BYTES))
     orders = (
@@ -67,11 +67,9 @@ def raw_base(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(tables["nation"].alias("n"), F.expr("c.c_nationkey = n.n_nationkey"))
         .join(tables["region"].alias("r"), F.expr("n.n_regionkey = r.r_regionkey"))
     )
-    rows = (
-        lines.repartition(parts, "l_orderkey").alias("l")
-        .join(orders, F.expr("l.l_orderkey = o.o_orderkey"))
-        .join(tables["part"].alias("p"), F.expr("l.l_partkey = p.p_partkey"))
-    )
+    products = lines.alias("l").join(tables["part"].alias("p"), F.expr("l.l_partkey = p.p_partkey"))
+    # A file of one row group would leave the rest of the derivation to one task.
+    rows = products.repartition(parts, "l_orderkey").join(orders, F.expr("l.l_orderkey = o.o_orderkey"))
     return rows.selectExpr(*BASE_COLUMNS.split(",\n"))
 
 

@@ -7,10 +7,11 @@ engines can be compared by value.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType, StructType, TimestampNTZType
 
@@ -44,7 +45,7 @@ from ordermart.schemas import (
     STATUSES,
     Layers,
 )
-from ordermart.session import freeze, scratch_path
+from ordermart.session import freeze, move_files, scratch_path
 from ordermart.sinks.tables import file_ranges, partition_values, setup_raw
 from ordermart.sources.landing import read_landing
 from ordermart.streaming.landing import run_landing_stream
@@ -257,17 +258,28 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 LANDING_ROWS = 250_000
 
 
-def _write_landing(df: DataFrame, path: str) -> None:
+def _write_landing(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
     """Landing files as a source system would leave them: header, quotes doubled, text untouched.
 
-    They are compressed and of bounded length, so more rows make more files.
+    They are compressed and of bounded length, so more rows make more files. With ``by`` there
+    is a folder for each value of these columns.
     """
     bounded = {"maxRecordsPerFile": LANDING_ROWS, "zlib.compress.level": "BEST_SPEED"}
-    df.select(*BUSINESS_COLUMNS).write.mode("append").options(**bounded).csv(
+    df.select(*BUSINESS_COLUMNS, *by).write.mode("append").options(**bounded).partitionBy(*by).csv(
         path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, compression="gzip"
     )
 
 
+def _land_runs(rows: DataFrame, root: str, runs: Column | None = None) -> dict[str, str]:
+    """Run id → its folder of landing files; all are written in one pass over the rows.
+
+    ``runs`` names the runs that deliver a row, by default its own.
+    """
+    own = F.array("_pipeline_run_id") if runs is None else runs
+    _write_landing(rows.withColumn("delivery", F.explode(own)).where(F.col("delivery").isin(RUNS)), f"{root}/landing", ["delivery"])
+    return {run_id: f"{root}/landing/delivery={run_id}" for run_id in RUNS}
+
+
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "landing")
     _write_landing(raw_base(spark, sf_dir), path)
@@ -288,12 +300,11 @@ def csv_quoted_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ingestion_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records of two ingestions, the second without a run id, beside the rows they left."""
     layers = _own_layers(spark)
-    raw = freeze(_quoted(raw_base(spark, sf_dir)), "raw")
+    folders = _land_runs(_quoted(raw_base(spark, sf_dir)), layers.root)
     records = []
     for number, run_id in enumerate(RUNS):
-        _write_landing(of_run(raw, run_id), f"{layers.root}/{run_id}")
         given = None if number else run_id
-        found = run_ingestion(spark, f"{layers.root}/{run_id}", given, layers, multi_line=True)
+        found = run_ingestion(spark, folders[run_id], given, layers, multi_line=True)
         kept = [found[name] for name in ("run_id", "status", "rows_ingested", "rows_malformed", "raw_table_rows")]
         times = [found["start_time"], found["end_time"]]
         records.append((number, *kept, found["counts"]["loadable"], *times))
@@ -339,32 +350,27 @@ def _stored_orders(spark: SparkSession, layers: Layers) -> DataFrame:
 
 def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two deliveries through the landing stream, one start each."""
-    raw = freeze(raw_base(spark, sf_dir), "raw")
     layers = _own_layers(spark)
-    for run_id in RUNS:
-        _write_landing(of_run(raw, run_id), f"{layers.root}/landing")
+    for run_id, folder in _land_runs(raw_base(spark, sf_dir), f"{layers.root}/outbox").items():
+        # The files of both runs have the same names.
+        move_files(spark, folder, f"{layers.root}/landing", f"{run_id}-")
         run_landing_stream(spark, f"{layers.root}/landing", f"{layers.root}/progress", layers)
     return _stored_orders(spark, layers)
 
 
 def stream_two_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two folders with a checkpoint each, by streams of the same name."""
-    raw = freeze(raw_base(spark, sf_dir), "raw")
     layers = _own_layers(spark)
-    for run_id in RUNS:
-        _write_landing(of_run(raw, run_id), f"{layers.root}/{run_id}")
-        run_landing_stream(spark, f"{layers.root}/{run_id}", f"{layers.root}/progress-{run_id}", layers)
+    for run_id, folder in _land_runs(raw_base(spark, sf_dir), layers.root).items():
+        run_landing_stream(spark, folder, f"{layers.root}/progress-{run_id}", layers)
     return _stored_orders(spark, layers)
 
 
 def _land_deliveries(spark: SparkSession, sf_dir: str, layers: Layers) -> dict[str, str]:
     """A landing folder for each run; the second delivers one plant of the first again."""
-    raw = freeze(raw_base(spark, sf_dir), "raw")
     again = (F.col("_pipeline_run_id") == RUNS[0]) & (F.col("plant_code") == "pl1")
-    parts = {RUNS[0]: of_run(raw, RUNS[0]), RUNS[1]: raw.where((F.col("_pipeline_run_id") == RUNS[1]) | again)}
-    for run_id, rows in parts.items():
-        _write_landing(rows, f"{layers.root}/{run_id}")
-    return {run_id: f"{layers.root}/{run_id}" for run_id in RUNS}
+    runs = F.when(again, F.array(*map(F.lit, RUNS))).otherwise(F.array("_pipeline_run_id"))
+    return _land_runs(raw_base(spark, sf_dir), layers.root, runs)
 
 
 def _refresh_in_order(spark: SparkSession, sf_dir: str, order: list[str]) -> DataFrame:
@@ -401,10 +407,8 @@ def second_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _run_job(spark: SparkSession, sf_dir: str) -> Layers:
     layers = _own_layers(spark)
-    raw = freeze(raw_base(spark, sf_dir), "raw")
-    for run_id in RUNS:
-        _write_landing(of_run(raw, run_id), f"{layers.root}/{run_id}")
-        run_full_pipeline(spark, f"{layers.root}/{run_id}", run_id, layers)
+    for run_id, folder in _land_runs(raw_base(spark, sf_dir), layers.root).items():
+        run_full_pipeline(spark, folder, run_id, layers)
     return layers
 
 
@@ -439,10 +443,8 @@ def clustered_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 def closed_run_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of both runs in every table, after each has been closed and the first staged again."""
     layers = _own_layers(spark)
-    raw = freeze(raw_base(spark, sf_dir), "raw")
-    for run_id in RUNS:
-        _write_landing(of_run(raw, run_id), f"{layers.root}/{run_id}")
-        run_full_pipeline(spark, f"{layers.root}/{run_id}", run_id, layers)
+    for run_id, folder in _land_runs(raw_base(spark, sf_dir), layers.root).items():
+        run_full_pipeline(spark, folder, run_id, layers)
         close_runs(spark, utc_now() + timedelta(days=1), layers)
     run_transformations(spark, RUNS[0], AT, layers)
     refresh_stg_sales(spark, AT, layers)
