@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordermart.session import freeze
+from ordermart.sinks.tables import by_rows
 
 # Edges to a file, where they are fewer than a shuffle's partitions hold.
 FILE_EDGES = 1 << 20
@@ -21,13 +22,13 @@ def _large_star(edges: DataFrame, parts: int | None = None) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     # Stored, so that the join reads it apart from the edges and a hub's edges can be split.
     least = both.groupBy("a").agg(F.least("a", F.min("b")).alias("least"))
-    least = freeze(_merged(least, parts), "least-neighbours")
+    least = by_rows(freeze(_merged(least, parts), "least-neighbours"))
     return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
 
 
 def _small_star(edges: DataFrame, parts: int | None = None) -> DataFrame:
     """Hang a node and its smaller neighbours on the least of them; every edge has ``a > b``."""
-    least = freeze(_merged(edges.groupBy("a").agg(F.min("b").alias("least")), parts), "least-neighbours")
+    least = by_rows(freeze(_merged(edges.groupBy("a").agg(F.min("b").alias("least")), parts), "least-neighbours"))
     hung = (
         edges.join(least, "a")
         .select(F.explode(F.array("a", "b")).alias("a"), F.col("least").alias("b"))

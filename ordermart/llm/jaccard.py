@@ -41,6 +41,7 @@ from ordermart.llm.common import (
 from ordermart.llm.components import connected_components
 from ordermart.operators.keys import assign_surrogate_keys
 from ordermart.session import freeze
+from ordermart.sinks.tables import by_rows
 
 NGRAM = 5
 THRESHOLD = 0.8
@@ -237,11 +238,12 @@ def near_copies(
 
     banded = classes.where("n_words > 0").select("node", F.explode("bands").alias("band"))
     shared = banded.groupBy("band").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least < most")
-    ties = banded.join(shared, "band").select(F.col("node").alias("a"), F.col("least").alias("b"))
+    # A side is sized as if a list had one element, and would be broadcast with all its bands.
+    ties = banded.join(shared.hint("merge"), "band").select(F.col("node").alias("a"), F.col("least").alias("b"))
     clusters = freeze(connected_components(ties), "clusters")
 
     wanted = (
-        classes.join(clusters, "node")
+        classes.join(by_rows(clusters), "node")
         .select("node", F.col("root").alias("cluster"), "n_texts", "stands_for.first_doc", "stands_for.text_key")
     )
     candidates = freeze(
@@ -281,6 +283,7 @@ def near_copies(
     linked = freeze(
         small.unionByName(large).groupBy("cell", "i", "j").applyInArrow(_verify(n, threshold), LINKED), "links"
     )
+    linked = by_rows(linked)
     links = linked.groupBy("node").agg(F.sum("links").alias("links"))
     # Within one task the roots are final; over several chunks they are joined once more.
     chunked = connected_components(linked.where("big").select(F.col("node").alias("a"), F.col("root").alias("b")))
@@ -292,7 +295,7 @@ def near_copies(
         "n_copies",
         "stands_for",
     )
-    return signed_rows.select("doc_id", "word_key"), freeze(told, "near-copies")
+    return signed_rows.select("doc_id", "word_key"), by_rows(freeze(told, "near-copies"), "class_key", "word_key")
 
 
 def near_duplicate_classes(docs: DataFrame, **options) -> DataFrame:

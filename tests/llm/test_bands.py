@@ -1,0 +1,21 @@
+from ordermart.llm import jaccard
+from pyspark.sql import functions as F
+
+
+def plan_of(df):
+    return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple")
+
+
+def test_bands_are_not_broadcast(spark, monkeypatch):
+    """A list column is sized as one element, so the bands of many texts look small."""
+    plans = []
+
+    def keep(edges):
+        plans.append(plan_of(edges))
+        return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).limit(0)
+
+    monkeypatch.setattr(jaccard, "connected_components", keep)
+    texts = [(1, "a b c d e f g h"), (2, "a b c d e f g h i"), (3, "x y z")]
+    jaccard.near_copies(spark.createDataFrame(texts, "doc_id long, text string"))
+    assert "Generate explode" in plans[0] and "Join [band#" in plans[0]
+    assert "BroadcastHashJoin" not in plans[0]
